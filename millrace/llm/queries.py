@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import linededup, mixing, secrets, vafile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +17,35 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "whole", "part")
 
 
-QUERIES = {"op4_source_mixing": op4_source_mixing}
-ORACLES: dict[str, str] = {}
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text less the passages that came before."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through monolithic archives, normalised ones and back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best others of every fiftieth vector."""
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
+    "op4_source_mixing": op4_source_mixing,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_warc_round_trip": op9_warc_round_trip,
+    "op10_vafile_topk": op10_vafile_topk,
+}
+ORACLES = {
+    "op3_line_dedup": linededup.SQL,
+    "op9_warc_round_trip": warc.SQL,
+    "op10_vafile_topk": vafile.SQL,
+}
