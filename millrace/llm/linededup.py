@@ -77,18 +77,18 @@ with lines as (
   select doc_id, text, line, n, not regexp_matches(line, '^[\x20\x09-\x0D]*$') as solid
   from (select doc_id, text, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as n from documents where text is not null)
 ), solid as (
-  select *, row_number() over (partition by doc_id order by n) - 1 as at from lines where solid
+  select *, row_number() over (partition by doc_id order by n) - 1 as pos from lines where solid
 ), windows as (
-  select doc_id, at, line as a, lead(line, 1) over w as b, lead(line, 2) over w as c
-  from solid window w as (partition by doc_id order by at)
+  select doc_id, pos, line as a, lead(line, 1) over w as b, lead(line, 2) over w as c
+  from solid window w as (partition by doc_id order by pos)
 ), placed as (
-  select doc_id, at, row_number() over (partition by a, b, c order by doc_id, at) as nth from windows where b is not null and c is not null
+  select doc_id, pos, row_number() over (partition by a, b, c order by doc_id, pos) as nth from windows where b is not null and c is not null
 ), gone as (
-  select distinct doc_id, at + k as at from placed, (select unnest(range(3)) as k) where nth > 1
+  select distinct doc_id, pos + k as pos from placed, (select unnest(range(3)) as k) where nth > 1
 ), kept as (
   select l.doc_id, string_agg(l.line, chr(10) order by l.n) as text
-  from lines l left join solid s on s.doc_id = l.doc_id and s.n = l.n left join gone g on g.doc_id = s.doc_id and g.at = s.at
-  where g.at is null group by l.doc_id
+  from lines l left join solid s on s.doc_id = l.doc_id and s.n = l.n left join gone g on g.doc_id = s.doc_id and g.pos = s.pos
+  where g.pos is null group by l.doc_id
 ), counted as (select doc_id, count(*) as n_removed from gone group by doc_id)
 select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text,
   cast(case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as integer) as n_lines,

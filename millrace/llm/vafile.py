@@ -111,7 +111,7 @@ def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: in
                 mine = own[:, None] == owners[None, :]  # a query's own rows take no part
                 lower[mine] = upper[mine] = np.iinfo(np.int64).min
                 if len(ids) > k:
-                    kth = -np.partition(-lower, k - 1, axis=1)[:, k - 1]
+                    kth = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
                     near = (upper >= kth[:, None]) & ~mine
                 else:
                     near = ~mine
