@@ -41,6 +41,12 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def bind(value: Column, fn) -> Column:
+    """fn(value) with ``value`` computed once a row. A lambda that names a column's expression would compute it anew
+    for each element; a lambda's own variable is a value."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only, whatever the locale or script."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

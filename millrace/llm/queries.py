@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing, secrets, vafile, warc
+from . import decontaminate, langid, linededup, mixing, neardup, secrets, vafile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and which."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start", "n_words", "n_windows")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     return secrets.scan(table(spark, sf_dir, "documents"))
@@ -40,6 +56,9 @@ def op10_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mixing": op4_source_mixing,
+    "op5_decontamination": op5_decontamination,
+    "op6_language_id": op6_language_id,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_vafile_topk": op10_vafile_topk,
