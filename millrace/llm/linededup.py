@@ -15,27 +15,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bind, written
 
 WINDOW = 3
 _BLANK = r"^[\x20\x09-\x0D]*$"
 
 
-def _lines(text):
-    return F.split(text, "\n", -1)
-
-
 def line_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, version, at, h1, h2): a row per window; ``at`` counts non-blank lines. ``version`` tells texts of one doc_id apart."""
-    solid = F.filter(_lines(F.col("text")), lambda x: ~x.rlike(_BLANK))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), F.transform(solid, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("__lines"))
-    rows = rows.where(F.size("__lines") >= WINDOW)
+    solid = F.filter(F.split("text", "\n", -1), lambda x: ~x.rlike(_BLANK))
+    hashed = F.transform(solid, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b")))
 
-    def window(i):
-        part = F.slice(F.col("__lines"), i + 1, WINDOW)
-        return F.struct(i.alias("at"), F.xxhash64(part["a"]).alias("h1"), F.xxhash64(part["b"]).alias("h2"))
+    def window(lines, i):
+        return bind(F.slice(lines, i + 1, WINDOW), lambda part: F.struct(i.alias("at"), F.xxhash64(part["a"]).alias("h1"), F.xxhash64(part["b"]).alias("h2")))
 
-    return rows.select("doc_id", "version", F.inline(F.transform(F.sequence(F.lit(0), F.size("__lines") - WINDOW), window)))
+    every = bind(hashed, lambda lines: F.when(F.size(lines) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(lines) - WINDOW), lambda i: window(lines, i))))
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), F.inline(every))
 
 
 def repeats(windows: DataFrame) -> DataFrame:
@@ -55,19 +50,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     again = repeats(written(line_windows(docs), "line-windows")).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("starts").alias("__starts"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(again, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left")
-    lines = _lines(F.col("text"))
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    solid = F.filter(numbers, lambda i: ~F.get(lines, i).rlike(_BLANK))
-    joined = joined.withColumn("__lines", lines).withColumn("__solid", F.when(F.col("__starts").isNotNull(), solid))
-    covered = F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1))))
-    gone = F.transform(F.array_distinct(covered), lambda k: F.get(F.col("__solid"), k))
-    joined = joined.withColumn("__gone", F.when(F.col("__starts").isNotNull(), gone))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col("__lines"), i)), "\n"))
+    covered = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1)))))
+
+    def left(lines):
+        numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+        solid = F.filter(numbers, lambda i: ~F.get(lines, i).rlike(_BLANK))
+        gone = bind(solid, lambda at: F.transform(covered, lambda k: F.get(at, k)))
+        return F.array_join(F.transform(F.array_except(numbers, gone), lambda i: F.get(lines, i)), "\n")
+
+    text = F.when(F.col("__starts").isNull(), F.col("text")).otherwise(bind(F.split("text", "\n", -1), left))
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return joined.select(
         *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.coalesce(F.when(F.col("text").isNotNull(), F.size("__lines")), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).alias("n_removed"),
+        F.coalesce(n_lines, F.lit(0)).alias("n_lines"),
+        F.when(F.col("__starts").isNull(), F.lit(0)).otherwise(F.size(covered)).alias("n_removed"),
     )
 
 
