@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .common import bind, written
 
 WINDOW = 3
+_BLANK_TEXT = r"\A[\x20\x09-\x0D]*\z"
 _BLANK = r"^[\x20\x09-\x0D]*$"
 
 
@@ -67,6 +68,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` in its own columns, repeated passages removed from its texts; rows of which no line with text is left go."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hidden = {c: f"__own_{c}" for c in docs.columns if c in ("n_lines", "n_removed")}
+    out = dedup_lines(docs.withColumnsRenamed(hidden))
+    out = out.where((F.col("n_removed") == 0) | ~F.col("text").rlike(_BLANK_TEXT)).drop("n_lines", "n_removed")
+    return out.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*columns)
+
+
 #: The same in DuckDB, on the lines themselves.
 SQL = r"""
 with lines as (

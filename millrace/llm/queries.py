@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, linededup, mixing, neardup, secrets, vafile, warc
+from . import decontaminate, langid, linededup, mixing, neardup, pseudonyms, secrets, tokencounts, vafile, warc
+from .common import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,20 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "whole", "part")
 
 
+#: For the registered query only; a real key is a secret of whoever runs the operator.
+PSEUDONYM_KEY = "millrace-demonstration-key"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens by source, language and tokenizer version, after a load, its repetition and a full refresh."""
+    return tokencounts.corpus_totals(table(spark, sf_dir, "documents"), new_path(spark, "token-rollup"), tokencounts.public_tokenizer(spark))
+
+
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers, dates and addresses pseudonymised."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text less the passages that came before."""
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
@@ -54,6 +69,8 @@ def op10_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_pii_pseudonyms": op2_pii_pseudonyms,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_decontamination": op5_decontamination,
