@@ -9,7 +9,7 @@ kind     valid                                                  permuted
 =======  =====================================================  ============================================
 card     13-19 digits with a right Luhn digit                   all but the first digit; check digit anew
 ssn      area 001-899 but 666, group and serial not 0           all
-phone    ten digits with or without +1, area, exchange >= 200   all ten digits
+phone    ten digits with or without 1 before                    all ten digits, assignable ones among themselves
 ip       four octets up to 255                                  all 32 bits
 date     1900-2099: y-m-d, y/m/d, d.m.y, and d/m or m/d by      the day's number
          ``slash``
@@ -38,7 +38,7 @@ SHAPES = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9/-]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
 }
@@ -168,9 +168,14 @@ def phone(m: Column, key: str, back: bool = False) -> Column:
     def of(d):
         ten = F.substring(d, -10, 10)
         area, exchange, line = (F.substring(ten, i, n).cast("int") for i, n in ((1, 3), (4, 3), (7, 4)))
-        pair = permute(area - 200, (exchange - 200) * 10000 + line, 800, 8_000_000, key, "phone", back)
-        out = bind(pair, lambda p: F.concat(F.substring(d, F.lit(1), F.length(d) - 10), (p["l"] + 200).cast("string"), (F.floor(p["r"] / 10000) + 200).cast("string"), _pad(p["r"] % 10000, 4)))
-        return F.when((area >= 200) & (exchange >= 200) & ((F.length(d) == 10) | d.startswith("1")), fill(m, out))
+        # three sets of numbers, each permuted within itself: assignable ones, other exchanges, other areas
+        kind = F.when(area < 200, 2).when(exchange < 200, 1).otherwise(0)
+        start = F.when(kind == 2, 0).otherwise(200)
+        first = F.when(kind == 0, 200).otherwise(0)
+        exchanges = F.when(kind == 0, 800).when(kind == 1, 200).otherwise(1000)
+        pair = permute(area - start, (exchange - first) * 10000 + line, F.when(kind == 2, 200).otherwise(800), exchanges * 10000, key, F.concat(F.lit("phone"), kind.cast("string")), back)
+        out = bind(pair, lambda p: F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _pad(p["l"] + start, 3), _pad(F.floor(p["r"] / 10000) + first, 3), _pad(p["r"] % 10000, 4)))
+        return F.when((F.length(d) == 10) | d.startswith("1"), fill(m, out))
 
     return bind(_digits(m), of)
 
