@@ -9,8 +9,8 @@ the collisions expected by chance, and what may reach the threshold is verified
 
 Pairs in a band's bucket are not expanded. Every member first meets the bucket's centre, another one in each band;
 members already connected then need no pair of their own, and only buckets that still hold several components are
-compared, in blocks of at most ``BLOCK`` members a side, where pairs inside a component are left out. Links of
-equal sets are implied by the class. So a group of near copies costs about its size times the number of bands.
+compared, on full sets in blocks of about ``BLOCK`` shingles a side, where pairs inside a component are left out and only
+links are given out. So a group of near copies makes about its size times the number of bands rows, not its square.
 
 Defined cases: null and empty texts and texts without words have no shingles, link with nothing and are their own
 component; texts under five words are one shingle; rows that share a doc_id with equal texts get the same result; a
@@ -36,7 +36,7 @@ WORDS = 5
 REGISTERS, MANTISSA, REST = 256, 10, 56
 BAND = 5
 SMALL = 40
-BLOCK = 2000
+BLOCK = 400_000
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -186,41 +186,99 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, num: int, de
     return pairs.join(one, "a").join(two, "b").where(common * den >= union * num).select("a", "b")
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): what may be linked among buckets that hold several components (key, node, label, n), in blocks.
-
-    A bucket of n members is cut into ceil(n / BLOCK) chunks by hash; each pair of chunks is a group of its own.
+class Postings:
+    """Sorted sets, to tell how many values each shares with another one."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+        values, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], owners[order]
+
+    def overlaps(self, own: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How many values of ``own`` each of the sets ``at`` has too."""
+        if len(at) > 40:
+            lo, hi = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
+            size = hi - lo
+            rows = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+            return np.bincount(self.owners[rows], minlength=len(self.sets))[at]
+        out = np.zeros(len(at), np.int64)
+        for k, i in enumerate(at):
+            other = self.sets[i]
+            found = np.searchsorted(other, own)
+            out[k] = np.count_nonzero(other[np.minimum(found, len(other) - 1)] == own)
+        return out
+
+
+def compare_block(one: list[np.ndarray], two: list[np.ndarray] | None, labels_one: np.ndarray, labels_two: np.ndarray | None, key: int, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """(index in one, index in two) of the links between components, of sets that share the bucket ``key``; within ``one`` if
+    ``two`` is None. Members of the commonest component are met from the others' side only, and a pair that shares several
+    buckets is met in the first of its bands."""
+    inside = two is None
+    two, labels_two = (one, labels_one) if inside else (two, labels_two)
+    values, counts = np.unique(np.concatenate([labels_one, labels_two]), return_counts=True)
+    if len(values) < 2:
+        return
+    main = values[np.argmax(counts)]
+    sides = []
+    for sets in (one,) if inside else (one, two):
+        regs = np.stack([registers(x.view(np.uint64)) for x in sets])
+        sides.append((regs, np.stack([band_keys(r) for r in regs]).view(np.int64), np.array([len(x) for x in sets])))
+    (regs_one, keys_one, n_one), (regs_two, keys_two, n_two) = sides[0], sides[-1]
+
+    def meet(mine, labels, regs, keys, n, postings, labels_, regs_, keys_, n_, rows, allowed):
+        likely = chance(n_)
+        for k in rows:
+            near = allowed(k) & (labels_ != labels[k]) & (n_ * den >= n[k] * num) & (n[k] * den >= n_ * num)
+            at = np.flatnonzero(near)
+            if len(at):
+                shared = keys_[at] == keys[k]
+                if n[k] > SMALL and (keys[k] == key).any():
+                    first = np.flatnonzero(keys[k] == key)[0]
+                    at = at[(shared.argmax(1) == first) | (n_[at] <= SMALL)]
+            if not len(at):
+                continue
+            equal = ((regs_[at] == regs[k]) & (regs[k] > 0)).sum(1)
+            either = ((regs_[at] > 0) | (regs[k] > 0)).sum(1)
+            at = at[may_reach(equal, either, likely[at] @ chance(n[k]) / (1 << MANTISSA), num / den)]
+            common = postings.overlaps(mine[k], at)
+            for i in at[common * den >= (n[k] + n_[at] - common) * num]:
+                yield k, i
+
+    place = np.arange(len(two))
+    out = np.flatnonzero(labels_one != main)
+    rank = np.full(len(two), -1)
+    if inside:  # a pair of two others is met once, from the later one
+        rank[out] = out
+    yield from meet(one, labels_one, regs_one, keys_one, n_one, Postings(two), labels_two, regs_two, keys_two, n_two, out, lambda k: (rank < k) if inside else place >= 0)
+    if not inside:
+        yield from ((i, k) for k, i in meet(two, labels_two, regs_two, keys_two, n_two, Postings(one), labels_one, regs_one, keys_one, n_one, np.flatnonzero(labels_two != main), lambda k: labels_one == main))
+
+
+def cross_links(members: DataFrame, docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the links between components in buckets that hold several (key, node, label), found on full sets in blocks.
+
+    A bucket is cut into chunks of about ``BLOCK`` shingles by hash of the node; each pair of chunks is a group of its own, so
+    a group's size is bounded and only links leave it.
     """
-    chunks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    rows = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.join(classes.select("node", "n_shingles", "regs"), "node")
+    sized = members.join(classes.select("node", "n_shingles"), "node")
+    chunks = sized.groupBy("key").agg(F.ceil(F.sum("n_shingles") / F.lit(BLOCK)).cast("int").alias("chunks"))
+    sets = full_sets(members.select(F.col("node").alias("a"), F.col("node").alias("b")), docs, classes)
+    rows = members.join(chunks, "key").join(sets, "node").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "label", "n_shingles", "regs")
+    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "label", "shingles")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        one = frame[frame["chunk"] == i]
-        two = one if i == j else frame[frame["chunk"] == j]
-        out_a, out_b = [], []
+        one, two = frame[frame["chunk"] == i], frame[frame["chunk"] == j]
+        found = []
         if len(one) and len(two) and frame["label"].nunique() > 1:
-            regs = [np.frombuffer(b"".join(f["regs"]), np.uint16).reshape(-1, REGISTERS) for f in (one, two)]
-            nodes, labels, sizes = ([f[c].to_numpy(np.int64) for f in (one, two)] for c in ("node", "label", "n_shingles"))
-            likely = chance(sizes[1])
-            for k in range(len(one)):
-                near = (labels[1] != labels[0][k]) & (sizes[1] * den >= sizes[0][k] * num) & (sizes[0][k] * den >= sizes[1] * num)
-                if i == j:
-                    near[: k + 1] = False
-                at = np.flatnonzero(near)
-                if not len(at):
-                    continue
-                mine, others = regs[0][k], regs[1][at]
-                equal = ((others == mine) & (mine > 0)).sum(1)
-                either = ((others > 0) | (mine > 0)).sum(1)
-                by_chance = likely[at] @ chance(sizes[0][k]) / (1 << MANTISSA)
-                at = at[may_reach(equal, either, by_chance, num / den)]
-                out_a.append(np.minimum(nodes[0][k], nodes[1][at]))
-                out_b.append(np.maximum(nodes[0][k], nodes[1][at]))
-        return pd.DataFrame({"a": np.concatenate(out_a) if out_a else np.zeros(0, np.int64), "b": np.concatenate(out_b) if out_b else np.zeros(0, np.int64)})
+            sets_ = [[np.asarray(x, np.int64).view(np.uint64) for x in f["shingles"]] for f in (one, two)]
+            labels = [f["label"].to_numpy(np.int64) for f in (one, two)]
+            a, b = one["node"].to_numpy(np.int64), two["node"].to_numpy(np.int64)
+            pairs = compare_block(sets_[0], None if i == j else sets_[1], labels[0], labels[1], int(frame["key"].iloc[0]), num, den)
+            found = [(min(a[k], b[m]), max(a[k], b[m])) for k, m in pairs]
+        return pd.DataFrame({"a": np.array([x[0] for x in found], np.int64), "b": np.array([x[1] for x in found], np.int64)})
 
     return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
@@ -235,12 +293,10 @@ def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     labels = components(sure)
     member = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     member = written(member, "neardup-members")
-    open_keys = member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", "n")
-    rest = written(cross_pairs(member.join(open_keys, "key"), classes, num, den).join(stars, ["a", "b"], "left_anti"), "neardup-cross")
-    if rest.limit(1).count():
-        more = written(verified(rest, docs, classes, num, den), "neardup-links")
-        if more.limit(1).count():
-            labels = components(sure.unionByName(more))
+    open_keys = member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    more = written(cross_links(member.join(open_keys, "key"), docs, classes, num, den), "neardup-links")
+    if more.limit(1).count():
+        labels = components(sure.unionByName(more))
     return labels
 
 

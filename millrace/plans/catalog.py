@@ -1,4 +1,8 @@
-"""Every query of the library's own operators: name -> callable, and its DuckDB SQL."""
+"""Every query of the library's own operators: name -> callable, and its DuckDB SQL where SQL can express it.
+
+Queries run over whole tables. Stand-ins are named as such: ``labels`` and ``lang`` stand for the scores of models, so that
+what is done with scores can be checked; the scorers themselves work from text.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import arrow, text as tx
+from millrace.operators import curate, gates, lsh, stats
+from millrace.sources import ingest
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,6 +35,481 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("curation_survivors", "select lang, count(*) as n_docs from documents group by lang")
-def curation_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n_docs"))
+# --- SQL pieces -------------------------------------------------------------------------------------------------------
+
+CONTROLS_SQL = r"[\x00-\x08\x0B-\x1F\x7F\x{200B}\x{200C}\x{00AD}\x{FFFD}]"
+BOILERPLATE_SQL = r"(?is:<(?:script|style)\b[^>]*>.*?</(?:script|style)>)|<[^>]+>|(?i:\bpage\s+\d+\s+of\s+\d+\b)|(?i:copyright\s+(?:\(c\)|©)?\s*\d{4}[^.\n]*\.)|(?i:\b(?:confidential - internal use only|confidential|draft copy)\b)"
+
+
+def _count(c: str, what: str) -> str:
+    return f"((length({c}) - length(replace({c}, '{what}', ''))) // {len(what)})"
+
+
+def _total(c: str, what: list[str]) -> str:
+    return "(" + " + ".join(_count(c, w) for w in what) + ")"
+
+
+_LOW = f"translate(text, '{''.join(map(chr, range(65, 91)))}', '{''.join(map(chr, range(97, 123)))}')"
+_WORDS = f"({_count('text', ' ')} + 1)"
+PUNCTUATION_SQL = f"cast({_total('text', tx.PUNCTUATION)} as double) / {_WORDS}"
+SYMBOL_SQL = f"cast({_total('text', tx.SYMBOLS)} as double) / {_WORDS}"
+STOP_SQL = f"cast({_total(_LOW, [f' {w} ' for w in tx.STOP_WORDS])} as double) / {_WORDS}"
+DENSITY_SQL = f"cast({_total('t', tx.CODE_SYMBOLS)} as double) / greatest(length(regexp_replace(t, '\\s+', '', 'g')), 1)"
+STRIP_SQL = rf"trim(regexp_replace(regexp_replace(coalesce(html, ''), '{BOILERPLATE_SQL}', '', 'g'), '\n[ \t\n]*\n', chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+SIGNATURE_SQL = "md5_number_upper(text)"
+TOKENS_SQL = r"list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '')"
+ALNUM_SQL = r"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_\s]', ' ', 'g'), '\s+'), lambda w: w <> '')"
+
+
+def grams_sql(source: str, key: str, n: int, words: str = TOKENS_SQL) -> str:
+    """(key, gram): a row per n-gram of a table's texts."""
+    return f"""(select {key}, array_to_string(w[i:i + {n - 1}], ' ') as gram
+      from (select {key}, w, unnest(range(1, len(w) - {n - 2})) as i from (select {key}, {words} as w from {source}) where len(w) >= {n}))"""
+
+
+DEDUP_SQL = "select * exclude (nth) from (select *, row_number() over (partition by md5(text) order by doc_id) as nth from documents) where nth = 1"
+RATIOS_SQL = f"{PUNCTUATION_SQL} > 0 and {PUNCTUATION_SQL} <= 0.3 and {SYMBOL_SQL} <= 0.10 and {STOP_SQL} >= 0.05"
+
+
+def repeats_sql(source: str) -> str:
+    """doc_id of the texts of at least 15 words whose commonest 3-gram is over 15 % of all."""
+    return f"""(select doc_id from (select doc_id, n, sum(n) over (partition by doc_id) as total from (
+      select doc_id, gram, count(*) as n from {grams_sql(source, 'doc_id', 3)} group by doc_id, gram))
+      group by doc_id having max(n) / max(total) > 0.15 and max(total) >= 13)"""
+
+
+# --- cleaning and signatures ------------------------------------------------------------------------------------------
+
+
+@query("normalize_controls", f"select doc_id, length(regexp_replace(text, '{CONTROLS_SQL}', '', 'g')) as n_clean, length(text) as n_raw from documents")
+def normalize_controls(spark, sf_dir):
+    """Control and phantom characters out."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(tx.strip_controls(tx.text("text"))).alias("n_clean").cast("long"), F.length(tx.text("text")).cast("long").alias("n_raw"))
+
+
+@query("normalize_full")
+def normalize_full(spark, sf_dir):
+    """Controls, hyphenation and compatibility composition; SQL has no NFKC."""
+    return curate.normalise(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+@query("dehyphenate", r"""select doc_id, regexp_replace(text, '\b([A-Za-z]{2,})-\s*\n\s*([A-Za-z]{2,})\b', '\1\2', 'g') as text from documents""")
+def dehyphenate(spark, sf_dir):
+    """Words split over lines joined."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.dehyphenate(tx.text("text")).alias("text"))
+
+
+@query("boilerplate_strip", f"select page_id, md5({STRIP_SQL}) as digest, cast(length({STRIP_SQL}) as integer) as n from pages")
+def boilerplate_strip(spark, sf_dir):
+    """Markup, stamps and blank lines out of pages."""
+    out = table(spark, sf_dir, "pages").select("page_id", tx.strip_boilerplate(tx.text("html")).alias("text"))
+    return out.select("page_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").alias("n"))
+
+
+@query("code_density_flag", f"with p as (select page_id, {STRIP_SQL} as t from pages) select page_id, cast(cast({_total('t', tx.CODE_MARKS)} as double) / greatest(length(t), 1) as float) > 0.05 as is_code_heavy from p")
+def code_density_flag(spark, sf_dir):
+    """Pages whose text is code-heavy once stripped."""
+    out = curate.strip_boilerplate(table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text")))
+    return out.select("page_id", "is_code_heavy")
+
+
+@query("symbol_density", f"select page_id, {DENSITY_SQL} as density from (select page_id, coalesce(html, '') as t from pages)")
+def symbol_density(spark, sf_dir):
+    """Programming symbols per solid character."""
+    return table(spark, sf_dir, "pages").select("page_id", tx.symbol_density(tx.text("html")).alias("density"))
+
+
+@query("content_signature", f"select doc_id, cast(case when {SIGNATURE_SQL} >= 9223372036854775808 then cast({SIGNATURE_SQL} as hugeint) - 18446744073709551616 else {SIGNATURE_SQL} end as bigint) as signature from documents")
+def content_signature(spark, sf_dir):
+    """The 64-bit signature of every text."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.content_signature(tx.text("text")).alias("signature"))
+
+
+@query("exact_dedup", f"select doc_id from ({DEDUP_SQL})")
+def exact_dedup(spark, sf_dir):
+    """The first document of each text."""
+    return curate.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+@query("dup_clusters", "select min(doc_id) as first_id, count(*) as n_docs from documents group by md5(text) having count(*) > 1")
+def dup_clusters(spark, sf_dir):
+    """Texts that occur more than once."""
+    signed = table(spark, sf_dir, "documents").select("doc_id", tx.content_signature(tx.text("text")).alias("s"))
+    return signed.groupBy("s").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_docs")).where("n_docs > 1").select("first_id", "n_docs")
+
+
+@query("historical_dedup_antijoin", "select min(doc_id) as doc_id from documents where source <> 'src0' and md5(text) not in (select md5(text) from documents where source = 'src0') group by md5(text)")
+def historical_dedup_antijoin(spark, sf_dir):
+    """First documents of texts that an earlier load, here all of one source, doesn't have."""
+    docs = table(spark, sf_dir, "documents")
+    earlier = curate.exact_dedup(docs.where("source = 'src0'")).select("document_hash_signature")
+    return curate.exact_dedup(docs.where("source <> 'src0'"), earlier).select("doc_id")
+
+
+@query("normalization_fixpoint", "select count(*) as n_docs, 0::bigint as n_changed from documents")
+def normalization_fixpoint(spark, sf_dir):
+    """Normalising twice changes nothing: how many documents there are, and how many it would change."""
+    once = curate.normalise(table(spark, sf_dir, "documents")).select("text")
+    again = once.withColumn("again", arrow.nfkc(tx.strip_controls(F.col("text"))))
+    return again.agg(F.count("*").alias("n_docs"), F.count_if(F.col("text") != F.col("again")).alias("n_changed"))
+
+
+# --- routing and filters ----------------------------------------------------------------------------------------------
+
+
+@query("route_branch", f"select page_id, cast(case when {DENSITY_SQL} >= 0.15 then 1 else 0 end as tinyint) as branch_id from (select page_id, coalesce(html, '') as t from pages)")
+def route_branch(spark, sf_dir):
+    """Pages to the technical or the prose branch."""
+    return curate.route(table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))).select("page_id", "branch_id")
+
+
+@query("branch_union", f"""with r as (select page_id, length(t) as n, {DENSITY_SQL} >= 0.15 as code from (select page_id, coalesce(html, '') as t from pages))
+  select page_id, case when code then cast(n as bigint) end as n_code, case when not code then cast(n as bigint) end as n_prose from r""")
+def branch_union(spark, sf_dir):
+    """Both branches again in one table, each with its own columns."""
+    routed = curate.route(table(spark, sf_dir, "pages").select("page_id", tx.text("html").alias("text")))
+    n = F.length("text").cast("long")
+    return curate.union_branches(curate.branch(routed, 0).select("page_id", n.alias("n_prose")), curate.branch(routed, 1).select("page_id", n.alias("n_code")))
+
+
+@query("prose_ratios", f"select doc_id, {PUNCTUATION_SQL} as punctuation_ratio, {SYMBOL_SQL} as symbol_ratio, {STOP_SQL} as stop_word_ratio from documents")
+def prose_ratios(spark, sf_dir):
+    """Punctuation, symbols and stop words per word."""
+    return curate.prose_ratios(table(spark, sf_dir, "documents")).select("doc_id", "punctuation_ratio", "symbol_ratio", "stop_word_ratio")
+
+
+@query("prose_filter", f"select doc_id from documents where {RATIOS_SQL} and doc_id not in {repeats_sql('documents')}")
+def prose_filter(spark, sf_dir):
+    """Documents that pass every rule for prose."""
+    return curate.prose_filter(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+@query("prose_reject_reasons", f"""select count(*) filter ({PUNCTUATION_SQL} = 0) as no_punctuation, count(*) filter ({PUNCTUATION_SQL} > 0.3) as much_punctuation,
+  count(*) filter ({SYMBOL_SQL} > 0.10) as many_symbols, count(*) filter ({STOP_SQL} < 0.05) as few_stop_words, lang from documents group by lang""")
+def prose_reject_reasons(spark, sf_dir):
+    """How many documents each rule rejects, per language."""
+    rules = curate.prose_rules(tx.text("text"))
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+
+
+@query("ngram_repetition", f"""select doc_id, max(n) / max(total) as share from (select doc_id, n, sum(n) over (partition by doc_id) as total from (
+  select doc_id, gram, count(*) as n from {grams_sql('documents', 'doc_id', 3)} group by doc_id, gram)) group by doc_id having max(total) >= 13""")
+def ngram_repetition(spark, sf_dir):
+    """The commonest 3-gram's share, of documents of 15 words and more."""
+    out = table(spark, sf_dir, "documents").select("doc_id", tx.top_gram_share(tx.text("text")).alias("share"))
+    return out.where("share > 0")
+
+
+@query("empty_purge", r"select doc_id from documents where length(text) > 0")
+def empty_purge(spark, sf_dir):
+    """Documents with a text."""
+    return curate.drop_empty(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+@query("code_band", f"select page_id from (select page_id, coalesce(html, '') as t from pages) where {DENSITY_SQL} between 0.01 and 0.45 and list_max(list_transform(string_split(t, chr(10)), lambda l: length(l))) <= 2000")
+def code_band(spark, sf_dir):
+    """Pages within the density band of code, without overlong lines."""
+    return curate.code_filter(table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))).select("page_id")
+
+
+@query("quality_filter", "select d.doc_id, coalesce(cast(l.quality as double), 1.0) as cqf_quality_score from documents d left join labels l using (doc_id) where coalesce(l.quality, 1) >= 0.65")
+def quality_filter(spark, sf_dir):
+    """Documents of good quality; labels stand for scores, and no label for no model."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    name = F.when(F.col("quality") == 0, "lq").otherwise("hq")
+    return curate.quality_filter(docs, lambda _: name, lambda _: F.lit(1.0)).select("doc_id", "cqf_quality_score")
+
+
+@query("toxicity_filter", "select d.doc_id from documents d left join labels l using (doc_id) where trim(d.text) = '' or coalesce(l.toxic, 0) <= 0.4")
+def toxicity_filter(spark, sf_dir):
+    """Documents that aren't toxic; labels stand for scores."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    return curate.toxicity_filter(docs, lambda _: F.col("toxic").cast("double")).select("doc_id")
+
+
+@query("language_filter", "select doc_id from documents where lang = 'en'")
+def language_filter(spark, sf_dir):
+    """English documents; the lang column stands for a detector, so a document is all of one language."""
+    return curate.language_filter(table(spark, sf_dir, "documents").where("lang is not null"), lambda _: F.col("lang")).select("doc_id")
+
+
+@query("language_agreement")
+def language_agreement(spark, sf_dir):
+    """The function-word detector against the lang column: counts of each pair."""
+    docs = table(spark, sf_dir, "documents").select("lang", curate.guess_language(tx.for_model(tx.text("text"), 1500)).alias("guess"))
+    return docs.groupBy("lang", "guess").agg(F.count("*").alias("n_docs"))
+
+
+@query("pii_redact", "select doc_id, md5(" + "regexp_replace(" * len(tx.ENTITIES) + "text" + "".join(f", '{p}', '[{e}]', 'g')" for e, p in tx.ENTITIES.items()) + ") as digest from documents")
+def pii_redact(spark, sf_dir):
+    """Entities replaced by their names."""
+    out = curate.redact(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("pii_counts", "select " + ", ".join(f"sum(len(regexp_extract_all(text, '{p}'))) ::bigint as {e.lower()}" for e, p in tx.ENTITIES.items()) + " from documents")
+def pii_counts(spark, sf_dir):
+    """Entities of each kind in all texts."""
+    return table(spark, sf_dir, "documents").agg(*[F.sum(tx.entity_count(tx.text("text"), e)).cast("long").alias(e.lower()) for e in tx.ENTITIES])
+
+
+# --- fuzzy dedup and decontamination ----------------------------------------------------------------------------------
+
+
+@query("shingle_jaccard_pairs", f"""with s as (select distinct doc_id, gram from {grams_sql('documents', 'doc_id', 3)} union select doc_id, text from documents where len({TOKENS_SQL}) < 3),
+  n as (select doc_id, count(*) as n from s group by doc_id),
+  c as (select a.doc_id as id_a, b.doc_id as id_b, count(*) as c from s a join s b on a.gram = b.gram and a.doc_id < b.doc_id group by a.doc_id, b.doc_id)
+  select id_a, id_b, c / (x.n + y.n - c) as jaccard from c join n x on x.doc_id = id_a join n y on y.doc_id = id_b where c / (x.n + y.n - c) >= 0.8""")
+def shingle_jaccard_pairs(spark, sf_dir):
+    """Exactly similar pairs over word 3-grams, 0.8 and more."""
+    return lsh.similar_pairs(table(spark, sf_dir, "documents"))
+
+
+@query("minhash_dedup")
+def minhash_dedup(spark, sf_dir):
+    """Documents that stay when each is taken unless it collides with one that stays. Depends on the hash family."""
+    return lsh.fuzzy_dedup(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+@query("decontaminate_ngram", f"select doc_id from documents where doc_id not in (select doc_id from {grams_sql('documents', 'doc_id', 13)} where gram in (select gram from {grams_sql('benchmark', 'item_id', 13)}))")
+def decontaminate_ngram(spark, sf_dir):
+    """Documents that share no 13-gram with the benchmark."""
+    return curate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), mode="drop").select("doc_id")
+
+
+@query("decontaminate_lcs")
+def decontaminate_lcs(spark, sf_dir):
+    """As before, but a long common substring must confirm a shared 13-gram."""
+    return curate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id")
+
+
+@query("contamination_report", f"""with b as (select distinct item_id, gram from {grams_sql('benchmark', 'item_id', 13, ALNUM_SQL)}), d as (select distinct doc_id, gram from {grams_sql('documents', 'doc_id', 13, ALNUM_SQL)})
+  select doc_id, item_id, count(*) as n_grams from d join b using (gram) group by doc_id, item_id""")
+def contamination_report(spark, sf_dir):
+    """Which documents share how many 13-grams with which items."""
+    hits = gates.leakage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", F.explode("items").alias("item_id")).groupBy("doc_id", "item_id").agg(F.count("*").alias("n_grams"))
+
+
+@query("gate2_audit", "select count(*) as n_rows, count(*) filter (doc_id is null) as null_ids, count(*) filter (text is null) as null_texts from documents")
+def gate2_audit(spark, sf_dir):
+    """Rows, null ids and null texts of the documents."""
+    return gates.silver_audit(table(spark, sf_dir, "documents"))
+
+
+@query("gate3_leakage", f"""with b as (select distinct gram from {grams_sql('benchmark', 'item_id', 13, ALNUM_SQL)}), d as (select distinct doc_id, gram from {grams_sql('documents', 'doc_id', 13, ALNUM_SQL)})
+  select count(*) as n_hits, count(distinct doc_id) as n_docs from d join b using (gram)""")
+def gate3_leakage(spark, sf_dir):
+    """Hits of benchmark 13-grams, and the documents that have them."""
+    return gates.leakage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).agg(F.count("*").alias("n_hits"), F.count_distinct("doc_id").alias("n_docs"))
+
+
+@query("gate3_canaries", "select 'no benchmark n-gram' as rule, true as passed")
+def gate3_canaries(spark, sf_dir):
+    """The canary texts don't occur in the documents."""
+    rules = gates.leakage_rules(table(spark, sf_dir, "documents"))
+    return gates.as_rows(spark, rules).select("rule", "passed")
+
+
+# --- chunks, tokens, packing ------------------------------------------------------------------------------------------
+
+
+@query("audit_chunks")
+def audit_chunks(spark, sf_dir):
+    """Long documents cut between lines, 4000 characters and more; greedy and stateful, tested against plain Python."""
+    return curate.chunk(table(spark, sf_dir, "documents"), most=4000, separator="\n").select("doc_id", "chunk", F.length("text").alias("n_chars"), "preserve_whitespace")
+
+
+@query("token_counts", f"select doc_id, cast(len({TOKENS_SQL}) as integer) as n_tokens from documents")
+def token_counts(spark, sf_dir):
+    """White-space tokens of every document."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(tx.tokens(tx.text("text"))).alias("n_tokens"))
+
+
+@query("sequence_pack_windows", f"""with t as (select sum(len({TOKENS_SQL})) as n from documents) select cast(n as bigint) // 512 as n_windows, cast(512 as integer) as least, cast(512 as integer) as most from t""")
+def sequence_pack_windows(spark, sf_dir):
+    """Packed windows of 512 tokens: how many, and their lengths."""
+    rows = curate.pack(curate.hash_tokens(table(spark, sf_dir, "documents")), length=512)
+    return rows.agg(F.count("*").alias("n_windows"), F.min(F.size("input_ids")).alias("least"), F.max(F.size("attention_mask")).alias("most"))
+
+
+@query("sequence_pack", f"""with w as (select doc_id, unnest({TOKENS_SQL}) as w, unnest(range(len({TOKENS_SQL}))) as k from documents),
+  o as (select w, row_number() over (order by doc_id, k) - 1 as pos from w)
+  select cast(pos // 512 as bigint) as chunk, md5(string_agg(w, ' ' order by pos)) as digest from o group by pos // 512 having count(*) = 512""")
+def sequence_pack(spark, sf_dir):
+    """Full windows of 512 words in document order, by digest."""
+    words = table(spark, sf_dir, "documents").withColumn("input_ids", tx.tokens(tx.text("text")))
+    return curate.pack(words, length=512).select("chunk", F.md5(F.array_join("input_ids", " ").cast("binary")).alias("digest"))
+
+
+# --- ingestion --------------------------------------------------------------------------------------------------------
+
+
+@query("incremental_delta", "select event_id from events where ts > timestamp '2024-01-20 12:00:00'")
+def incremental_delta(spark, sf_dir):
+    """Events after a watermark."""
+    return table(spark, sf_dir, "events").where(ingest.newer(F.col("ts"), ingest.watermark("2024-01-20T12:00:00"))).select("event_id")
+
+
+@query("watermark_max", "select count(*) as n, max(ts) as watermark from events")
+def watermark_max(spark, sf_dir):
+    """The watermark after a full load."""
+    return table(spark, sf_dir, "events").agg(F.count("*").alias("n"), F.max("ts").alias("watermark"))
+
+
+@query("delta_sensor", "select count(*) > 0 as has_delta from events where ts > timestamp '2024-01-20 12:00:00'")
+def delta_sensor(spark, sf_dir):
+    """Whether there is anything new."""
+    found = ingest.has_delta(table(spark, sf_dir, "events"), ingest.watermark("2024-01-20 12:00:00"), "ts")
+    return spark.createDataFrame([(found,)], "has_delta boolean")
+
+
+@query("partition_counts_ymd", "select strftime(ts, '%Y') as year, strftime(ts, '%m') as month, strftime(ts, '%d') as day, count(*) as n from events group by 1, 2, 3")
+def partition_counts_ymd(spark, sf_dir):
+    """Rows of each date partition."""
+    return ingest.with_date_parts(table(spark, sf_dir, "events"), "ts").groupBy("year", "month", "day").agg(F.count("*").alias("n"))
+
+
+@query("division_filter", "select c_custkey from customer where c_mktsegment not in ('BUILDING', 'MACHINERY')")
+def division_filter(spark, sf_dir):
+    """Customers outside two segments; rows without a segment go too."""
+    return ingest.division_filter(table(spark, sf_dir, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY"]).select("c_custkey")
+
+
+@query("jdbc_bounds", "select min(o_orderkey) as low, max(o_orderkey) as high, greatest(1, least(8, (max(o_orderkey) - min(o_orderkey)) // 500)) as partitions from orders")
+def jdbc_bounds(spark, sf_dir):
+    """Bounds of a range-partitioned read, and into how many ranges it goes."""
+    low, high = ingest.bounds(table(spark, sf_dir, "orders"), "o_orderkey")
+    return spark.createDataFrame([(low, high, ingest.partitions_for(low, high))], "low long, high long, partitions long")
+
+
+# --- evaluation -------------------------------------------------------------------------------------------------------
+
+_PAIRS = "(select user_id, event_type, case event_id % 3 when 0 then 'Candidate 1' when 1 then 'Candidate 2' else 'Tie' end as one, case event_id % 5 when 0 then 'Candidate 1' when 1 then 'Candidate 2' when 2 then 'Candidate 2' else 'Tie' end as two from events)"
+_RESOLVED = f"(select event_type, case when one = 'Candidate 1' and two = 'Candidate 2' then 'candidate' when one = 'Candidate 2' and two = 'Candidate 1' then 'baseline' when one = two and one <> 'Tie' then 'inconsistent' else 'tie' end as w from {_PAIRS})"
+
+
+def _trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judgements made up of event ids."""
+    pick = lambda n, a, b: F.when(F.col("event_id") % n == 0, "Candidate 1").when((F.col("event_id") % n >= a) & (F.col("event_id") % n <= b), "Candidate 2").otherwise("Tie")
+    out = table(spark, sf_dir, "events").select("event_type", pick(3, 1, 1).alias("one"), pick(5, 1, 2).alias("two"))
+    return out.withColumn("resolved_winner", stats.resolve_pair(F.col("one"), F.col("two")))
+
+
+@query("pairwise_resolution", f"select event_type, w as resolved_winner, count(*) as n from {_RESOLVED} group by event_type, w")
+def pairwise_resolution(spark, sf_dir):
+    """Judgements in both orders, resolved."""
+    return _trials(spark, sf_dir).groupBy("event_type", "resolved_winner").agg(F.count("*").alias("n"))
+
+
+@query("tournament_scorecard", f"""with c as (select event_type, count(*) as total, count(*) filter (w = 'candidate') as candidate_wins, count(*) filter (w = 'baseline') as baseline_wins, count(*) filter (w = 'tie') as ties, count(*) filter (w = 'inconsistent') as inconsistent_trials from {_RESOLVED} group by event_type),
+  p as (select *, cast(total as double) as n, (candidate_wins + (ties + inconsistent_trials) * 0.5) / total as p from c),
+  i as (select *, ((p + 3.8416 / (2 * n)) - sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n)) * 1.96) / (1 + 3.8416 / n) as wilson_low, ((p + 3.8416 / (2 * n)) + sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n)) * 1.96) / (1 + 3.8416 / n) as wilson_high from p)
+  select event_type, total, candidate_wins, baseline_wins, ties, inconsistent_trials, round(candidate_wins / n, 9) as raw_win_rate, round(p, 9) as effective_win_rate, round(wilson_low, 9) as wilson_low, round(wilson_high, 9) as wilson_high, wilson_low >= 0.5 and p >= 0.52 as certified from i""")
+def tournament_scorecard(spark, sf_dir):
+    """Tournament counts, rates and Wilson bounds per segment."""
+    out = stats.scorecard(_trials(spark, sf_dir), "event_type")
+    return out.withColumns({c: F.round(c, 9) for c in ("raw_win_rate", "effective_win_rate", "wilson_low", "wilson_high")})
+
+
+@query("mcnemar_counts", "select event_type, count(*) filter (event_id % 4 = 0 and event_id % 3 <> 0) as n_regressions, count(*) filter (event_id % 4 <> 0 and event_id % 3 = 0) as n_improvements from events group by event_type")
+def mcnemar_counts(spark, sf_dir):
+    """Discordant answers of two models made up of event ids."""
+    answers = table(spark, sf_dir, "events").select("event_type", (F.col("event_id") % 4 == 0).cast("int").alias("base"), (F.col("event_id") % 3 == 0).cast("int").alias("cand"))
+    return stats.paired_counts(answers, "event_type")
+
+
+@query("composite_score", "select round(0.25 * avg(cast(quality as double)) + 0.25 * avg(1.0 - toxic) + 0.25 * avg(case when quality = 1 and toxic = 0 then 1.0 else 0.0 end) + 0.25, 9) as composite from labels")
+def composite_score(spark, sf_dir):
+    """Four accuracies under equal weights."""
+    flags = {"a": F.col("quality") == 1, "b": F.col("toxic") == 0, "c": (F.col("quality") == 1) & (F.col("toxic") == 0), "d": F.lit(True)}
+    return table(spark, sf_dir, "labels").agg(F.round(stats.composite({k: stats.accuracy(v) for k, v in flags.items()}), 9).alias("composite"))
+
+
+@query("calibration_error", """with b as (select label, least(floor((conf) * 10), 9) as bin, count(*) as n, abs(avg(conf) - avg(correct)) as gap from (
+  select event_type as label, (event_id % 97) / 97.0::double as conf, case when event_id % 2 = 0 then 1.0 else 0.0 end as correct from events) group by 1, 2) select label, round(sum(n * gap) / sum(n), 9) as ece from b group by label""")
+def calibration_error(spark, sf_dir):
+    """Expected calibration error over ten bins."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"), ((F.col("event_id") % 97) / 97.0).alias("confidence"), (F.col("event_id") % 2 == 0).alias("correct"))
+    return stats.calibration_error(rows, "label").withColumn("ece", F.round("ece", 9))
+
+
+@query("best_choice", """select o_orderkey, choice from (select l_orderkey as o_orderkey, l_linenumber as choice, row_number() over (partition by l_orderkey order by -cast(l_extendedprice as double) / cast(l_quantity as double) desc, l_linenumber) as n from lineitem) where n = 1""")
+def best_choice(spark, sf_dir):
+    """The best of each question's choices; order lines stand for them."""
+    choices = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("choice"), (-F.col("l_extendedprice").cast("double")).alias("logprob"), F.col("l_quantity").cast("double").alias("length"))
+    return stats.best_choice(choices, "o_orderkey")
+
+
+@query("lr_schedule", "select s as step, round(case when s < 100 then s * 0.001 / 100 when s > 1000 then 0.0001 else 0.0001 + 0.0009 * 0.5 * (1 + cos(pi() * (s - 100) / 900.0)) end, 12) as lr from (select unnest(range(1201)) as s)")
+def lr_schedule(spark, sf_dir):
+    """Learning rates of 1201 steps."""
+    return spark.range(1201).select(F.col("id").alias("step"), F.round(stats.learning_rate(F.col("id"), warmup=100, total=1000, top=0.001, least=0.0001), 12).alias("lr"))
+
+
+@query("snapshot_retention", "select event_type, event_id from (select event_type, event_id, row_number() over (partition by event_type order by event_id desc) as n from events where value > 0) where n <= 3")
+def snapshot_retention(spark, sf_dir):
+    """The three newest completed snapshots of each kind; events stand for them."""
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", (F.col("value") > 0).alias("completed"))
+    return stats.newest(rows, 3, "event_type", order="event_id").select("event_type", "event_id")
+
+
+@query("final_number_extract", r"""select conv_id, turn, regexp_extract(regexp_replace(text, '[,$]', '', 'g'), '(?s).*(?:^|[^0-9.-]|-)(-?\d+(?:\.\d+)?)', 0) <> '' as has_number from conversations""")
+def final_number_extract(spark, sf_dir):
+    """Whether a turn ends on a number."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.final_number(tx.text("text")).isNotNull().alias("has_number"))
+
+
+@query("json_keys", "select event_id, coalesce(json_type(try_cast(props as json)) = 'OBJECT', false) as valid from events")
+def json_keys(spark, sf_dir):
+    """Whether events' properties are JSON objects."""
+    return table(spark, sf_dir, "events").select("event_id", tx.json_has_keys(F.col("props"), []).alias("valid"))
+
+
+@query("dataset_fingerprint")
+def dataset_fingerprint(spark, sf_dir):
+    """A digest of the documents that doesn't depend on their order."""
+    return stats.fingerprint(table(spark, sf_dir, "documents"))
+
+
+# --- the flagship -----------------------------------------------------------------------------------------------------
+
+
+def funnel(docs: DataFrame, items: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Exact dedup, the rules for prose, decontamination; without compatibility composition, which SQL lacks."""
+    unique = curate.exact_dedup(docs)
+    prose = curate.prose_filter(unique)
+    return [("deduplicated", unique), ("prose", prose), ("decontaminated", curate.decontaminate(prose, items, mode="drop"))]
+
+
+_FUNNEL_SQL = f"""with unique_docs as ({DEDUP_SQL}), prose as (select * from unique_docs where {RATIOS_SQL} and doc_id not in {repeats_sql('unique_docs')}),
+  clean as (select * from prose where doc_id not in (select doc_id from {grams_sql('prose', 'doc_id', 13)} where gram in (select gram from {grams_sql('benchmark', 'item_id', 13)})))"""
+
+
+@query("curation_funnel", _FUNNEL_SQL + " select 'deduplicated' as stage, count(*) as n_docs from unique_docs union all select 'prose', count(*) from prose union all select 'decontaminated', count(*) from clean")
+def curation_funnel(spark, sf_dir):
+    """Documents that each stage leaves."""
+    stages = funnel(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    counts = [df.agg(F.count("*").alias("n_docs")).select(F.lit(name).alias("stage"), "n_docs") for name, df in stages]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+@query("curation_survivors", _FUNNEL_SQL + f" select lang, count(*) as n_docs, round(avg({PUNCTUATION_SQL}), 9) as punctuation, round(avg({STOP_SQL}), 9) as stop_words from clean group by lang")
+def curation_survivors(spark, sf_dir):
+    """Survivors of the funnel per language, with mean ratios."""
+    clean = funnel(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))[-1][1]
+    t = tx.text("text")
+    return clean.groupBy("lang").agg(F.count("*").alias("n_docs"), F.round(F.avg(tx.punctuation_ratio(t)), 9).alias("punctuation"), F.round(F.avg(tx.stop_word_ratio(t)), 9).alias("stop_words"))
+
+
+# --- chat -------------------------------------------------------------------------------------------------------------
+
+
+@query("chat_messages", "select conv_id, count(*) as n_turns, count(*) filter (role = 'assistant') as n_trained, sum(length(text)) filter (role = 'assistant') ::bigint as trained_chars from conversations group by conv_id")
+def chat_messages(spark, sf_dir):
+    """Conversations as message lists, with what an assistant-only loss would train on."""
+    rows = table(spark, sf_dir, "conversations")
+    chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"))
+    own = F.filter("messages", lambda m: m["role"] == "assistant")
+    trained = F.aggregate(own, F.lit(0).cast("long"), lambda acc, m: acc + F.coalesce(F.length(m["text"]), F.lit(0)))
+    return chats.select("conv_id", F.size("messages").cast("long").alias("n_turns"), F.size(own).cast("long").alias("n_trained"), F.when(F.size(own) > 0, trained).alias("trained_chars"))
