@@ -108,7 +108,9 @@ _BRANCHES = (ast.If, ast.For, ast.AsyncFor, ast.While, ast.ExceptHandler, ast.If
 
 
 def complexity(text: str) -> int:
-    """Cyclomatic complexity summed over functions, methods and classes; 0 without any; 10 if it can't be parsed."""
+    """Cyclomatic complexity summed over functions and methods; 0 without any; 10 for blank text or what can't be parsed."""
+    if not text.strip():
+        return 10
     try:
         tree = ast.parse(text)
     except (SyntaxError, ValueError, RecursionError, MemoryError):
