@@ -210,3 +210,15 @@ def test_packing_carries_over(spark, tmp_path):
     run()
     rows = spark.read.parquet(f"file://{tmp_path}/out").orderBy("seq").collect()
     assert [r["input_ids"] for r in rows] == [list(range(10)), list(range(10, 20))]
+
+
+def test_jdbc_in_ranges(spark):
+    """Against the embedded database that Spark ships for its catalogue."""
+    url, props = "jdbc:derby:memory:ledger;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), "A" if i % 4 else "Human Resources") for i in range(1, 2001)]
+    spark.createDataFrame(rows, "id long, created_at timestamp, corporate_division string").write.option("createTableColumnTypes", "corporate_division VARCHAR(30)").jdbc(url, "ledger", properties=props)
+    read = lambda since=None: ingest.read_jdbc(spark, url, "ledger", since=since, properties=props)
+    full = read()
+    assert full.rdd.getNumPartitions() == 3 and full.count() == 1500
+    assert sorted(r["id"] for r in read(dt.datetime(2024, 1, 2, 9, 18)).collect()) == [1999]
+    assert read(dt.datetime(2030, 1, 1)) is None
