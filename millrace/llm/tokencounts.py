@@ -126,9 +126,12 @@ class TokenRollup:
         rows = changes.select("op", key.alias("key"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), "text")
         held = self.ledger().where(F.col("tokenizer") == self.tokenizer.version)
         if self.batches():
-            # a revision that repeats what is held has no effect; it is matched by all that it would change
-            same = held.where("docs = 1").select(F.col("key").alias("k"), F.col("version").alias("v"), F.col("source").alias("s"), F.col("lang").alias("l"), F.lit("revise").alias("o"))
-            rows = rows.join(same, (F.col("op") == F.col("o")) & (F.col("key") == F.col("k")) & (F.col("version") == F.col("v")) & F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("l")), "left_anti")
+            # a key whose revisions are what it holds already is left out, whole: its texts aren't tokenised again
+            revised = rows.where("op = 'revise'")
+            own = ["key", "version", "source", "lang"]
+            now = held.join(revised.select("key").distinct(), "key", "left_semi").select(*own, (-F.col("docs")).alias("d"))
+            changed = revised.select(*own, F.lit(1).cast("long").alias("d")).unionByName(now).groupBy(*own).agg(F.sum("d").alias("d")).where("d <> 0").select("key").distinct()
+            rows = rows.where("op <> 'revise'").unionByName(revised.join(changed, "key", "left_semi").select(*rows.columns))
             gone = rows.where("op in ('delete', 'revise')").select("key").distinct()
             less = held.join(gone, "key", "left_semi").select("key", "version", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
         else:
