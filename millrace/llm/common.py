@@ -29,10 +29,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, is computed once, survives lost executors."""
+    """``df`` as a table in the shared folder: cuts lineage, is computed once, survives lost executors.
+
+    It is written in at most four files a core, so that many almost empty partitions don't become as many files.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.coalesce(max(24, 4 * spark.sparkContext.defaultParallelism)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,5 +1,6 @@
-"""Connected components of a link table, by minimum labels and pointer jumping. Every round is written to the shared
-folder; nothing but counts reaches the driver."""
+"""Connected components of a link table, by contraction: every vertex goes to its least neighbour, links are rewritten
+between what is left and shrink from round to round. Every round is written to the shared folder; nothing but counts
+reaches the driver."""
 
 from __future__ import annotations
 
@@ -11,16 +12,20 @@ from .common import written
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): the least node that it reaches. No links, no rows."""
-    both = written(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("label")), "labels")
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        lower = written(lower, "labels-near")
-        above = lower.select(F.col("node").alias("top"), F.col("label").alias("over"))
-        jumped = lower.join(above, F.col("label") == F.col("top"), "left").select("node", F.least("label", "over").alias("label"), "old")
-        jumped = written(jumped, "labels")
-        changed = jumped.where("label <> old").limit(1).count()
-        labels = jumped.select("node", "label")
-        if not changed:
-            return labels
+    edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    labels = None
+    while edges.limit(1).count():
+        ends = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("w")))
+        up = ends.groupBy("v").agg(F.least("v", F.min("w")).alias("p"))
+        up = written(up, "parents")
+        over = up.select(F.col("v").alias("pv"), F.col("p").alias("pp"))
+        up = written(up.join(over, F.col("p") == F.col("pv")).select("v", F.col("pp").alias("p")), "parents")  # one jump: a parent has a parent
+        if labels is None:
+            labels = up.select(F.col("v").alias("node"), F.col("p").alias("label"))
+        else:
+            labels = labels.join(up, F.col("label") == F.col("v"), "left").select("node", F.coalesce("p", "label").alias("label"))
+            labels = written(labels, "labels")
+        first = edges.join(up, F.col("a") == F.col("v")).select(F.col("p").alias("a"), "b")
+        both = first.join(up, F.col("b") == F.col("v")).select("a", F.col("p").alias("b"))
+        edges = written(both.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    return labels if labels is not None else links.sparkSession.createDataFrame([], "node long, label long")
