@@ -53,5 +53,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}", as_dealt=True)
     return docs

@@ -28,14 +28,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *, as_dealt: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, is computed once, survives lost executors.
 
-    It is written in at most four files a core, so that many almost empty partitions don't become as many files.
+    It is written in at most four files a core, so that many almost empty partitions don't become as many files; ``as_dealt``
+    keeps the partitions of a scan of texts, whose tasks are long as they are.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.coalesce(max(24, 4 * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    (df if as_dealt else df.coalesce(max(24, 4 * spark.sparkContext.defaultParallelism))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

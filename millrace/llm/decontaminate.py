@@ -142,3 +142,20 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, num: int = 75, den:
     bad = written(contaminated(docs, items, num=num, den=den).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version")).distinct(), "decon-bad")
     bad = small(bad, bad.count())
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left_anti")
+
+
+#: The same in DuckDB, window by window, for documents that share a shingle with an item.
+SQL = r"""
+with dw as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents where text is not null),
+bw as (select distinct item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from benchmark where text is not null),
+d as (select doc_id, len(w) - 4 as m, i - 1 as pos, array_to_string(w[i:i + 4], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from dw where len(w) >= 5)),
+b as (select item_id, len(w) - 4 as n, array_to_string(w[i:i + 4], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 3)) as i from bw where len(w) >= 5)),
+bc as (select item_id, n, g, count(*) as c from b group by item_id, n, g),
+pairs as (select distinct d.doc_id, d.m, b.item_id, b.n from d join b on d.g = b.g),
+windows as (select doc_id, item_id, m, n, unnest(range(0, greatest(m - n, 0) + 1)) as start from pairs),
+counts as (select w.doc_id, w.item_id, w.m, w.n, w.start, d.g, count(*) as c from windows w join d on d.doc_id = w.doc_id and d.pos >= w.start and d.pos < w.start + w.n group by all),
+common as (select x.doc_id, x.item_id, least(x.m, x.n) as size, x.n, x.start, sum(least(x.c, y.c)) as common from counts x join bc y on y.item_id = x.item_id and y.g = x.g group by all),
+good as (select *, common / (size + n - common) as similarity from common where 100 * common >= 75 * (size + n - common))
+select doc_id, item_id, max(similarity) as similarity, cast(min(start) filter (similarity = best) as integer) as start, cast(max(n) + 4 as integer) as n_words, count(*) as n_windows
+from (select *, max(similarity) over (partition by doc_id, item_id) as best from good) group by doc_id, item_id
+"""

@@ -133,7 +133,7 @@ def sample_features(training: DataFrame, sample: int, seed: int) -> list[tuple[s
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
-    found = written(rows.mapInArrow(extract, "lang string, doc_id string, features binary, counts binary"), "langid-features").toArrow()
+    found = written(rows.mapInArrow(extract, "lang string, doc_id string, features binary, counts binary"), "langid-features", as_dealt=True).toArrow()
     out = [(lang, doc_id, np.frombuffer(f, np.int32), np.frombuffer(c, np.int32)) for lang, doc_id, f, c in zip(*(found.column(i).to_pylist() for i in range(4)), strict=True)]
     out.sort(key=lambda r: (r[1], r[0], len(r[2])))
     return [(lang, f, c) for lang, _, f, c in out[: 4 * sample]]

@@ -48,7 +48,7 @@ def repeats(windows: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with its text less the repeated passages, and n_lines and n_removed (replaced if they exist)."""
-    again = repeats(written(line_windows(docs), "line-windows")).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("starts").alias("__starts"))
+    again = repeats(written(line_windows(docs), "line-windows", as_dealt=True)).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("starts").alias("__starts"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(again, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left")
     covered = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1)))))

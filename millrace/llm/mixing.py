@@ -114,7 +114,7 @@ def take(rows: DataFrame, mix: DataFrame, n_sources: int, *, seed: int = 17) ->
 
 def mix_plan(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, whole, part, taken. Texts are read once and never shuffled."""
-    rows = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")), "mix-sizes")
+    rows = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")), "mix-sizes", as_dealt=True)
     mix, n = plan(rows, weights=weights, max_epochs=max_epochs, seed=seed)
     return take(rows, mix, n, seed=seed)
 
@@ -124,7 +124,7 @@ def mix_documents(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), max_
     given whole if at least half of its words are due, so texts are never cut."""
     columns = [c for c in docs.columns if c not in ("epoch", "size")]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("size", word_count(F.col("text")))
-    mix, n = plan(written(rows.select("doc_id", "source", "size"), "mix-sizes"), weights=weights, max_epochs=max_epochs, seed=seed)
+    mix, n = plan(written(rows.select("doc_id", "source", "size"), "mix-sizes", as_dealt=True), weights=weights, max_epochs=max_epochs, seed=seed)
     times = (F.col("whole") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)).cast("int")
     taken = take(rows, mix, n, seed=seed).withColumn("__times", times).where("size > 0 and __times > 0")
     return taken.select(*columns, F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("epoch"))

@@ -153,7 +153,7 @@ def full_sets(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
             values = [shingle_set(x.as_py(), WORDS).view(np.int64) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(values, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    return written(texts.mapInArrow(work, "node long, shingles array<bigint>"), "neardup-sets")
+    return written(texts.mapInArrow(work, "node long, shingles array<bigint>"), "neardup-sets", as_dealt=True)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -302,7 +302,7 @@ def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, num: int = 75, den: int = 100) -> DataFrame:
     """(doc_id, version, n_shingles, component_id, kept) for every row; links have den * |A & B| >= num * |A | B|."""
-    signed = written(signatures(docs, num, den), "neardup-signatures")
+    signed = written(signatures(docs, num, den), "neardup-signatures", as_dealt=True)
     classes = written(set_classes(signed), "neardup-classes")
     labels = links(docs, classes, num, den)
     owned = written(classes.select("node", "h1", "h2", "doc_id").join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), "h1", "h2", "doc_id"), "neardup-owned")
@@ -317,3 +317,23 @@ def drop_near_duplicates(docs: DataFrame, *, num: int = 75, den: int = 100) -> D
     """The rows of ``docs`` that stand for their component, in full and with the columns of ``docs``."""
     gone = near_duplicates(docs, num=num, den=den).where("not kept").select(F.col("doc_id").alias("__id"), F.col("version").alias("__version")).distinct()
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left_anti")
+
+
+#: The same in DuckDB, on the shingles themselves.
+SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents where text is not null
+), s as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from words where len(w) >= 5)
+  union all select doc_id, 'short ' || array_to_string(w, ' ') from words where len(w) between 1 and 4
+), n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+reach(id, root) as (
+  select doc_id, doc_id from documents
+  union select l.b, r.root from reach r join links l on l.a = r.id where r.root < l.b
+), least_root as (select id, min(root) as component_id from reach group by id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, r.component_id, d.doc_id = r.component_id as kept
+from documents d left join n using (doc_id) join least_root r on r.id = d.doc_id
+"""

@@ -82,6 +82,8 @@ QUERIES = {
 }
 ORACLES = {
     "op3_line_dedup": linededup.SQL,
+    "op5_decontamination": decontaminate.SQL,
+    "op7_near_duplicates": neardup.SQL,
     "op9_warc_round_trip": warc.SQL,
     "op10_vafile_topk": vafile.SQL,
 }

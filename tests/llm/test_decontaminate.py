@@ -2,6 +2,7 @@ from collections import Counter
 
 from millrace.llm import decontaminate
 
+from ..compare import same
 from .helpers import WORDS, frame, odd_rows, rng, sentence
 
 
@@ -80,3 +81,9 @@ def test_blocks_cover_the_radius():
     near = {m for m in range(256) if m.bit_count() <= decontaminate.NEAR}
     assert len(near) == 37
     assert decontaminate.RADIUS < decontaminate.BLOCKS * (decontaminate.NEAR + 1)
+
+
+def test_sql(spark, sf_dir, duck):
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    out = decontaminate.contaminated(read("documents"), read("benchmark")).select("doc_id", "item_id", "similarity", "start", "n_words", "n_windows")
+    same(out, duck, decontaminate.SQL)

@@ -4,6 +4,7 @@ from millrace.llm import neardup
 from millrace.llm.components import components
 from millrace.llm.shingles import PIECE, sequence_hashes, shingle_set, word_hashes
 
+from ..compare import same
 from .helpers import frame, odd_rows, rng, sentence, shingles
 
 
@@ -103,3 +104,8 @@ def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (4, 4)], "a long, b long")
     assert {(r["node"], r["label"]) for r in components(links).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (7, 5), (8, 5), (9, 5)}
     assert components(links.limit(0)).count() == 0
+
+
+def test_sql(spark, sf_dir, duck):
+    out = neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id", "kept")
+    same(out, duck, neardup.SQL)
