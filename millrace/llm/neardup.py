@@ -7,8 +7,8 @@ ones filled by rotation) give candidates; sets of up to ``SMALL`` shingles, for
 their prefix under a fixed order, which loses no pair. A candidate's similarity is estimated from the registers, less
 the collisions expected by chance, and what may reach the threshold is verified on the full sets.
 
-Pairs in a band's bucket are not expanded. Every member first meets the bucket's centre, another one in each band;
-members already connected then need no pair of their own, and only buckets that still hold several components are
+Pairs in a band's bucket are not expanded. Every member meets the bucket's centre, another one in each band, in two
+turns; members already connected then need no pair of their own, and only buckets that still hold several components are
 compared, on full sets in blocks of about ``BLOCK`` shingles a side, where pairs inside a component are left out and only
 links are given out. So a group of near copies makes about its size times the number of bands rows, not its square.
 
@@ -34,7 +34,9 @@ from .shingles import mix, shingle_set
 
 WORDS = 5
 REGISTERS, MANTISSA, REST = 256, 10, 56
-BAND = 5
+BAND, BANDS = 4, 34
+#: The share of buckets, one in so many, whose stars are looked at first.
+EARLY = 8
 SMALL = 40
 BLOCK = 400_000
 
@@ -61,9 +63,8 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(regs)
     lent = full[np.searchsorted(full, np.arange(REGISTERS)) % len(full)]
     values = regs[lent].astype(np.uint64)[_order()]
-    bands = REGISTERS // BAND
-    rows = values[: bands * BAND].reshape(bands, BAND)
-    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
+    rows = values[: BANDS * BAND].reshape(BANDS, BAND)
+    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
     for k in range(BAND):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
     return key
@@ -142,9 +143,10 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     return classes.select("node", "n_shingles", "regs", "prefix").mapInArrow(work, "key long, x long")
 
 
-def full_sets(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, shingles): the full sets of the classes in ``pairs``, from their whole texts."""
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", F.col("doc_id").alias("__id"), F.col("version").alias("__version")), "node"), "neardup-nodes")
+def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, shingles): the full sets of these classes, from their whole texts. Texts are read once; they are shuffled only if
+    the classes are too many to be broadcast."""
+    nodes = written(nodes.join(classes.select("node", F.col("doc_id").alias("__id"), F.col("version").alias("__version")), "node"), "neardup-nodes")
     wanted = small(nodes, nodes.count())
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version"))).select("node", "text")
 
@@ -177,9 +179,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
     return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(work, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The links among ``pairs``, on full sets. Sets are read for the classes in pairs only."""
-    sets = full_sets(pairs, docs, classes)
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The links among ``pairs``, on full sets."""
     one, two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
@@ -255,7 +256,7 @@ def compare_block(one: list[np.ndarray], two: list[np.ndarray] | None, labels_on
         yield from ((i, k) for k, i in meet(two, labels_two, regs_two, keys_two, n_two, Postings(one), labels_one, regs_one, keys_one, n_one, np.flatnonzero(labels_two != main), lambda k: labels_one == main))
 
 
-def cross_links(members: DataFrame, docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def cross_links(members: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): the links between components in buckets that hold several (key, node, label), found on full sets in blocks.
 
     A bucket is cut into chunks of about ``BLOCK`` shingles by hash of the node; each pair of chunks is a group of its own, so
@@ -263,7 +264,6 @@ def cross_links(members: DataFrame, docs: DataFrame, classes: DataFrame, num: in
     """
     sized = members.join(classes.select("node", "n_shingles"), "node")
     chunks = sized.groupBy("key").agg(F.ceil(F.sum("n_shingles") / F.lit(BLOCK)).cast("int").alias("chunks"))
-    sets = full_sets(members.select(F.col("node").alias("a"), F.col("node").alias("b")), docs, classes)
     rows = members.join(chunks, "key").join(sets, "node").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "label", "shingles")
@@ -288,13 +288,26 @@ def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     rows = written(bucket_rows(classes), "neardup-bands")
     held = rows.groupBy("key").agg(F.min("x").alias("c"), F.count("*").alias("n")).where("n > 1")
     met = written(rows.join(held, "key").where("x <> c").select("key", F.col("x").bitwiseXOR(F.col("key")).alias("node"), F.col("c").bitwiseXOR(F.col("key")).alias("centre")), "neardup-buckets")
-    stars = written(met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "neardup-stars")
-    sure = written(verified(written(estimated(stars, classes, num, den), "neardup-likely"), docs, classes, num, den), "neardup-links")
+    # whoever shares a bucket may have to be verified, at one turn or another
+    sets = full_sets(met.select("node").union(met.select(F.col("centre").alias("node"))).distinct(), docs, classes)
+    pair = [F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")]
+
+    def linked(pairs):
+        pairs = written(pairs, "neardup-stars")
+        return written(verified(written(estimated(pairs, classes, num, den), "neardup-likely"), sets, num, den), "neardup-links")
+
+    # a few of every class's stars connect most of a large group; of the others only those between components are left
+    sure = linked(met.where(F.pmod("key", F.lit(EARLY)) == 0).select(*pair).distinct())
+    labels = components(sure)
+    one, two = (labels.select(F.col("node").alias(v), F.col("label").alias(f"label_{v}")) for v in ("a", "b"))
+    late = met.where(F.pmod("key", F.lit(EARLY)) != 0).select(*pair).distinct().join(one, "a", "left").join(two, "b", "left")
+    late = late.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    sure = sure.unionByName(linked(late))
     labels = components(sure)
     member = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     member = written(member, "neardup-members")
     open_keys = member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    more = written(cross_links(member.join(open_keys, "key"), docs, classes, num, den), "neardup-links")
+    more = written(cross_links(member.join(open_keys, "key"), sets, classes, num, den), "neardup-links")
     if more.limit(1).count():
         labels = components(sure.unionByName(more))
     return labels
