@@ -97,7 +97,11 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 
 def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: int) -> DataFrame:
     """(query, row, lower, upper) for what a block of cells can still add to a query's k best."""
-    pairs = cells.join(grid, "dim").join(queries, F.col("dim") == F.col("qdim"))
+    # every lane has a share of the cells and all queries, so that block pairs are spread over tasks
+    lanes = max(1, min(4096, -(-cells.count() // 4)))
+    laned = queries.withColumn("qlane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    dealt = cells.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
+    pairs = dealt.join(grid, "dim").join(laned, (F.col("dim") == F.col("qdim")) & (F.col("lane") == F.col("qlane")))
     schema = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("lower", pa.int64()), ("upper", pa.int64())])
 
     def bound(batches):
