@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small, written
+
 KEYS = ["source", "lang", "tokenizer"]
 LEDGER = "key string, version long, source string, lang string, tokenizer string, docs long, tokens long"
 ROLLUP = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -131,6 +133,8 @@ class TokenRollup:
             own = ["key", "version", "source", "lang"]
             now = held.join(revised.select("key").distinct(), "key", "left_semi").select(*own, (-F.col("docs")).alias("d"))
             changed = revised.select(*own, F.lit(1).cast("long").alias("d")).unionByName(now).groupBy(*own).agg(F.sum("d").alias("d")).where("d <> 0").select("key").distinct()
+            changed = written(changed, "token-changes")
+            changed = small(changed, changed.count())  # few, as a rule: then texts aren't shuffled to find theirs
             rows = rows.where("op <> 'revise'").unionByName(revised.join(changed, "key", "left_semi").select(*rows.columns))
             gone = rows.where("op in ('delete', 'revise')").select("key").distinct()
             less = held.join(gone, "key", "left_semi").select("key", "version", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
