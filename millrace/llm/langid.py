@@ -113,10 +113,13 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 def sample_features(training: DataFrame, sample: int, seed: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(lang, features, counts) of at most ``sample`` training documents, about as many of each language."""
     keys = training.select("doc_id", "lang", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")).alias("h"))
-    languages = keys.select("lang").distinct().count()
+    counts = written(keys.groupBy("lang").agg(F.count("*").alias("docs")), "langid-languages")
+    languages = counts.count()
     each = max(1, sample // max(1, languages))
+    # twice as many as needed pass a threshold on the hash, so what is ranked follows the sample, not the corpus
+    share = F.shiftrightunsigned("h", 11) / float(1 << 53)
+    keys = keys.join(small(counts, languages), "lang").where(share * F.col("docs") <= 2.0 * each + 20)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    # ranks are limited before the shuffle as well, so a common language sends no more rows than the limit a task
     picked = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select(F.col("doc_id").alias("__id")).distinct().limit(sample)
     picked = written(picked, "langid-sample")
     rows = training.join(small(picked, sample), F.col("doc_id") == F.col("__id"), "left_semi").select("doc_id", "lang", "text")
@@ -134,9 +137,10 @@ def sample_features(training: DataFrame, sample: int, seed: int) -> list[tuple[s
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     found = written(rows.mapInArrow(extract, "lang string, doc_id string, features binary, counts binary"), "langid-features", as_dealt=True).toArrow()
-    out = [(lang, doc_id, np.frombuffer(f, np.int32), np.frombuffer(c, np.int32)) for lang, doc_id, f, c in zip(*(found.column(i).to_pylist() for i in range(4)), strict=True)]
-    out.sort(key=lambda r: (r[1], r[0], len(r[2])))
-    return [(lang, f, c) for lang, _, f, c in out[: 4 * sample]]
+    order = sorted(range(found.num_rows), key=lambda i: (found["doc_id"][i].as_py(), found["lang"][i].as_py(), len(found["features"][i].as_py())))
+    # views of the table's own buffers
+    part = lambda name, i: np.frombuffer(found[name][i].as_buffer(), np.int32)
+    return [(found["lang"][i].as_py(), part("features", i), part("counts", i)) for i in order[: 4 * sample]]
 
 
 @dataclass
@@ -190,7 +194,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, epochs:
     if not languages:
         return Model([], idf, np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0))
     number = {lang: i for i, lang in enumerate(languages)}
-    data = [(np.append(f, DIMENSIONS).astype(np.int64), np.append(vector(f, c, idf), 1.0), number[lang]) for lang, f, c in rows]
+    data = [(np.append(f, DIMENSIONS).astype(np.int32), np.append(vector(f, c, idf), 1.0).astype(np.float32), number[lang]) for lang, f, c in rows]
     kept = [d for i, d in enumerate(data) if i % 6 or len(data) < 12]
     aside = [d for i, d in enumerate(data) if i % 6 == 0] or data
     learner, rng = Ftrl(DIMENSIONS + 1, len(languages)), np.random.default_rng(seed)
@@ -204,18 +208,23 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, epochs:
     def loss(t: float) -> float:
         s = z / t
         s = s - s.max(1, keepdims=True)
-        return float((np.log(np.exp(s).sum(1)) - s[np.arange(len(y)), y]).mean())
+        own, others = s[np.arange(len(y)), y], s.sum(1)
+        spread = (others - own) / max(1, len(languages) - 1)
+        doubt = 1 / (len(y) + 2)  # a sample without an error doesn't make for certainty
+        return float((np.log(np.exp(s).sum(1)) - (1 - doubt) * own - doubt * spread).mean())
 
     temperature = min((0.05 * 1.15**k for k in range(43)), key=loss)
     return Model(languages, idf, weights[:-1].astype(np.float32), weights[-1], temperature)
 
 
-def train(docs: DataFrame, *, sample: int = 6000, seed: int = 11) -> Model:
+def train(docs: DataFrame, *, sample: int = 3000, seed: int = 11) -> Model:
     """A model of the training rows of ``docs`` (doc_id, text, lang)."""
     training = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     df, n = document_frequencies(training)
     idf = np.log((1 + n) / (1 + df)) + 1
-    return fit(sample_features(training, sample, seed), idf, seed=seed)
+    model = fit(sample_features(training, sample, seed), idf, seed=seed)
+    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -234,13 +243,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
-def identify(docs: DataFrame, *, sample: int = 6000) -> DataFrame:
+def identify(docs: DataFrame, *, sample: int = 3000) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document, by a model trained on the others."""
     found = predict(docs.select("doc_id", "text"), train(docs, sample=sample))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, *, least: float = 0.4, sample: int = 6000) -> DataFrame:
+def keep_identified(docs: DataFrame, *, least: float = 0.3, sample: int = 3000) -> DataFrame:
     """``docs``, in its own columns, less those whose language is unknown or scored below ``least``."""
     found = predict(docs.withColumnsRenamed({"score": "__score", "lang_pred": "__lang_pred"}), train(docs, sample=sample))
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
