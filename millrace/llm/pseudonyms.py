@@ -4,6 +4,12 @@ Values are found by shape, validated, and permuted within the set of valid value
 a card with a right check digit, a date stays a date. A permutation maps different values to different ones and equal
 values to equal ones in every document, so links survive; who has the key can undo it.
 
+A shape that fails validation takes nothing from its neighbours. Kinds are sought in the order email, IBAN, card as
+printed (one run, 4-4-4-4 with up to three more, 4-6-4, 4-6-5), phone, date, SSN and IP, card in other groups. In a run
+of digit groups with a space or hyphen between, each group may start a card or IBAN, and the longest valid one is taken.
+Undoing reads the new text by the same rules; where digits touch a value with only a space or hyphen between, a chance
+check digit can make another card of them, so there the undo isn't certain.
+
 =======  =====================================================  ============================================
 kind     valid                                                  permuted
 =======  =====================================================  ============================================
@@ -44,18 +50,21 @@ SHAPES = {
 }
 
 
-def _any_shape() -> str:
-    out, groups = [], 0
-    for shape in SHAPES.values():
-        own = shape.count("([")  # capturing groups, whose references are numbered across the alternation
-        for k in range(own, 0, -1):
-            shape = shape.replace(f"\\{k}", f"\\{groups + k}")
-        out.append(shape)
-        groups += own
-    return "|".join(out)
-
-
-ANY = _any_shape()
+#: Runs in which cards and IBANs are sought by validity: values may touch others with a space or hyphen between.
+CARD_RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
+IBAN_RUN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![a-z])(?: [A-Z0-9]++(?![a-z]))*+"
+#: How cards are printed. Other groupings are tried after phone numbers, SSNs and dates.
+PRINTED = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+#: Noncharacters around what is done: OPEN, the kind's letter, the new value, CLOSE. Those of the text itself are escaped.
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
+DONE = f"{OPEN}[^{CLOSE}]*+{CLOSE}"
+#: Dates, SSNs and IP addresses, which may also touch a value that is done with a hyphen between.
+REST = "|".join((
+    rf"(?:(?<![0-9./-])|(?<={CLOSE}-))(?:(?:19|20)[0-9]{{2}}([-/])[0-9]{{2}}\1[0-9]{{2}}|[0-9]{{2}}([./])[0-9]{{2}}\2(?:19|20)[0-9]{{2}})(?![0-9/]|-(?!{OPEN})|\.[0-9])",
+    rf"(?:(?<![0-9-])|(?<={CLOSE}-))[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9]|-(?!{OPEN}))",
+    SHAPES["ip"],
+))
+LETTERS = {"card": "c", "ssn": "s", "phone": "p", "ip": "i", "date": "d", "iban": "b", "email": "e"}
 
 
 def _long(x) -> Column:
@@ -236,28 +245,78 @@ def email(m: Column, key: str, back: bool = False) -> Column:
 
 
 def replaced(m: Column, key: str, slash: str, back: bool = False) -> Column:
-    """struct(kind, out) for a string of one of the shapes; out is null where it isn't valid."""
-    whole = lambda kind: m.rlike(f"^(?:{SHAPES[kind]})$")
-    made = {
-        "email": email(m, key, back), "iban": iban(m, key, back), "date": date(m, key, slash, back), "ssn": ssn(m, key, back),
-        "card": card(m, key, back), "phone": phone(m, key, back), "ip": ip(m, key, back),
-    }
-    kind = out = None
-    for name in SHAPES:
-        kind = F.when(whole(name), name) if kind is None else kind.when(whole(name), name)
-    return bind(kind, lambda k: F.struct(k.alias("kind"), F.coalesce(*[F.when(k == name, value) for name, value in made.items()]).alias("out"))) if out is None else out
+    """A date, SSN or IP address made anew and marked; null where it isn't valid."""
+    made = {"date": date(m, key, slash, back), "ssn": ssn(m, key, back), "ip": ip(m, key, back)}
+    return F.coalesce(*[F.when(m.rlike(f"^(?:{SHAPES[name]})$"), _done(name, value)) for name, value in made.items()])
+
+
+def _done(kind: str, out: Column) -> Column:
+    return F.concat(F.lit(OPEN + LETTERS[kind]), out, F.lit(CLOSE))
+
+
+def _escaped(text: Column) -> Column:
+    """Noncharacters of the text itself as marked digits 0 and 1."""
+    parts = F.split(text, f"(?<=[{OPEN}{CLOSE}])|(?=[{OPEN}{CLOSE}])", -1)
+    marked = F.transform(parts, lambda p: F.when(p == OPEN, F.lit(f"{OPEN}0{CLOSE}")).when(p == CLOSE, F.lit(f"{OPEN}1{CLOSE}")).otherwise(p))
+    return F.when(text.rlike(f"[{OPEN}{CLOSE}]"), F.array_join(marked, "")).otherwise(text)
+
+
+def _unescaped(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, f"{OPEN}0{CLOSE}", OPEN), f"{OPEN}1{CLOSE}", CLOSE)
+
+
+def _pass(text: Column, shape: str, new) -> Column:
+    """``text`` with every match of ``shape`` outside what is done replaced by new(match), or left where that is null."""
+    pattern = f"{DONE}|{shape}"
+
+    def of(t):
+        made = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: F.when(m.startswith(OPEN), m).otherwise(F.coalesce(new(m), m)))
+        return F.when(t.rlike(shape), F.array_join(F.zip_with(F.split(t, pattern, -1), made, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")).otherwise(t)
+
+    return bind(text, of)
+
+
+def _in_run(run: Column, kind: str, cut: str, most: int, begins: str, whole: str, new) -> Column:
+    """``run`` with its valid values marked: from the left, at each word that ``begins`` one, the longest of up to ``most``
+    words that has the shape ``whole`` and for which ``new`` isn't null."""
+
+    def of(words):
+        joined = lambda i, k: F.regexp_replace(F.array_join(F.slice(words, i, k), ""), "^[ -]", "")
+        tried = lambda m: F.when(m.rlike(whole), new(m))
+        none = F.struct(F.lit(0).alias("k"), F.lit(None).cast("string").alias("out"))
+
+        def longest(i):
+            lengths = F.sequence(F.least(F.lit(most), F.size(words) - i + 1), F.lit(1), F.lit(-1))
+            return F.aggregate(lengths, none, lambda acc, k: F.when(acc["k"] > 0, acc).otherwise(bind(bind(joined(i, k), tried), lambda out: F.struct(F.when(out.isNotNull(), k).otherwise(0).alias("k"), out.alias("out")))))
+
+        def step(acc, i):
+            word = F.get(words, i - 1)
+            put = lambda b: F.struct((i + F.greatest(b["k"], F.lit(1))).alias("next"), F.concat(acc["out"], F.when(b["k"] > 0, F.concat(F.regexp_extract(word, "^[ -]?", 0), _done(kind, b["out"]))).otherwise(word)).alias("out"))
+            return F.when(i < acc["next"], acc).otherwise(bind(F.when(word.rlike(begins), longest(i)).otherwise(none), put))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(words)), F.struct(F.lit(1).alias("next"), F.lit("").alias("out")), step)["out"]
+
+    return bind(F.split(run, cut, -1), of)
 
 
 def pseudonymise(docs: DataFrame, key: str, *, slash: str = "mdy", text_col: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with its text pseudonymised and n_<kind> for every kind (replaced if they exist). ``back`` undoes it."""
     counts = [f"n_{k}" for k in KINDS]
-    columns = [c for c in docs.columns if c not in counts and c not in ("__found", "__new")]
+    columns = [c for c in docs.columns if c not in counts and c != "__new"]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns])
     text = F.col(f"`{text_col}`")
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    made = F.transform(found, lambda m: bind(replaced(m, key, slash, back), lambda r: F.struct(r["kind"].alias("kind"), F.coalesce(r["out"], m).alias("out"), r["out"].isNotNull().alias("ok"))))
-    rows = rows.withColumn("__new", made)
-    joined = lambda parts: F.array_join(F.zip_with(parts, F.transform("__new", lambda x: x["out"]), lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    new = F.when(F.size("__new") > 0, bind(F.split(text, ANY, -1), joined)).otherwise(text)
-    number = lambda kind: F.coalesce(F.size(F.filter("__new", lambda x: (x["kind"] == kind) & x["ok"])), F.lit(0))
-    return rows.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns], *[F.when(F.col("__new").isNull(), F.lit(0)).otherwise(number(k)).alias(f"n_{k}") for k in KINDS])
+    cards = lambda shape: lambda m: _in_run(m, "card", "(?=[ -])", 19, "[0-9]", shape, lambda x: card(x, key, back))
+    passes = [
+        (SHAPES["email"], lambda m: _done("email", email(m, key, back))),
+        (IBAN_RUN, lambda m: _in_run(m, "iban", "(?= )", 9, "^ ?[A-Z]{2}[0-9]{2}", f"^(?:{SHAPES['iban']})$", lambda x: iban(x, key, back))),
+        (CARD_RUN, cards(PRINTED)),
+        (SHAPES["phone"], lambda m: _done("phone", phone(m, key, back))),
+        (REST, lambda m: replaced(m, key, slash, back)),
+        (CARD_RUN, cards(f"^{SHAPES['card']}$")),
+    ]
+    rows = rows.withColumn("__new", F.when(text.rlike("[0-9@]"), _escaped(text)))
+    for shape, new in passes:  # a projection each: in one, the lambdas nest deeper than the analyzer goes
+        rows = rows.withColumn("__new", _pass(F.col("__new"), shape, new))
+    plain = _unescaped(F.regexp_replace("__new", f"{OPEN}[a-z]([^{CLOSE}]*+){CLOSE}", "$1"))
+    number = lambda kind: F.coalesce(F.regexp_count("__new", F.lit(OPEN + LETTERS[kind])), F.lit(0))
+    return rows.select(*[F.coalesce(plain, text).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns], *[number(k).alias(f"n_{k}") for k in KINDS])

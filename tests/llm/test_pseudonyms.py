@@ -94,3 +94,21 @@ def test_odd_rows(spark):
     assert sorted(map(repr, (r["text"] for r in out.collect()))) == sorted(map(repr, (r[1] for r in rows)))
     assert out.columns == [*docs.columns, *[f"n_{k}" for k in pseudonyms.KINDS]]
     assert pseudonyms.pseudonymise(docs.limit(0), KEY).count() == 0
+
+
+def test_values_next_to_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    cases = [
+        (f"{card} 12/25", {"card": 1}), (f"{card} 123", {"card": 1}), (f"2024 {card}", {"card": 1}), (f"62704 {card}", {"card": 1}), (f"{card} 10.0.0.1", {"card": 1, "ip": 1}),
+        ("217-555-0123 217-555-0124", {"phone": 2}), ("62704 217-555-0123", {"phone": 1}), ("1987 123-45-6789", {"ssn": 1}), (f"{card}-217-555-0123", {"card": 1, "phone": 1}),
+        ("217-555-0123-123-45-6789", {"phone": 1, "ssn": 1}), (f"{card} {card}", {"card": 2}), ("BE68 5390 0754 7034 2024", {"iban": 1}), ("PO12 3456 7890 DE89 3704 0044 0532 0130 00", {"iban": 1}),
+        ("DE88 3704 0044 217 555 0123", {"phone": 1}), ("﷐ 217-555-0123 ﷑﷑", {"phone": 1}),
+    ]
+    out = run(spark, [t for t, _ in cases])
+    for i, (text, want) in enumerate(cases):
+        assert {k: out[i][f"n_{k}"] for k in pseudonyms.KINDS if out[i][f"n_{k}"]} == want, text
+        for value in (card, "217-555-0123", "217-555-0124", "123-45-6789", "10.0.0.1", "5390 0754 7034", "3704 0044 0532"):
+            assert value not in out[i]["text"]
+        for c in "﷐﷑":
+            assert out[i]["text"].count(c) == text.count(c)
+    assert out[0]["text"].endswith(" 12/25") and out[2]["text"].startswith("2024 ")
