@@ -6,7 +6,8 @@ shorter than an item is one window.
 
 * Only windows that can qualify are fingerprinted: a window that similar shares one of the item's rarest shingles
   (the quarter by which it may differ, and one more), so starts are those that cover such a shingle. This loses nothing.
-* A fingerprint has 64 bits, each the majority of that bit over the window's shingle hashes.
+* A fingerprint has 64 bits, each the majority of that bit over the hashes of the window's shingles and their occurrences
+  (first, second, ...), so that distances follow the weighted similarity of windows with repeated shingles, too.
 * Fingerprints are cut into eight blocks of eight bits. Within ``RADIUS`` = 23 bits, one block differs in at most two
   (eight blocks with three or more would be 24), so items are indexed under all 37 values that near for each block,
   and every pair within the radius meets. At 75 % similarity the expected distance is 11 bits with a deviation of 3,
@@ -50,8 +51,9 @@ def lanes(h: Column) -> list[Column]:
 
 
 def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and fp, the SimHash of the shingles in ``sh``. Windows of up to 32767 shingles."""
-    each = rows.select(*keys, F.explode("sh").alias("h"))
+    """``keys`` and fp, the SimHash of the shingles in ``sh``, told apart by occurrence: a shingle that occurs k times counts
+    with k, not its square. Windows of up to 32767 shingles."""
+    each = rows.select(*keys, F.explode(tagged(F.col("sh"))).alias("h"))
     sums = each.groupBy(*keys).agg(F.count("*").alias("m"), *[F.sum(x).alias(f"s{j}") for j, x in enumerate(lanes(F.col("h")))])
     count = lambda b: F.shiftrightunsigned(f"s{b // 4}", 16 * (b % 4)).bitwiseAND(F.lit(0xFFFF).cast("long"))
     bits = [F.when(count(b) * 2 > F.col("m"), F.lit((1 << b) if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")) for b in range(64)]

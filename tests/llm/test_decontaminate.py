@@ -87,3 +87,14 @@ def test_sql(spark, sf_dir, duck):
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     out = decontaminate.contaminated(read("documents"), read("benchmark")).select("doc_id", "item_id", "similarity", "start", "n_words", "n_windows")
     same(out, duck, decontaminate.SQL)
+
+
+def test_items_that_repeat_a_shingle(spark):
+    r, items, docs = rng(5), [], []
+    for n in range(12):  # 200 shingles, 24 of them one; the window has 172 of the others
+        words = [f"i{n}x{k}" for k in range(176)]
+        items.append((n, " ".join([*words, *["____"] * 28])))
+        docs.append((n, " ".join([*words, *sentence(r, 28).split()]), "en", "a"))
+    want = brute(docs, items)
+    assert len(want) == len(items)
+    assert {(x["doc_id"], x["item_id"]): round(x["similarity"], 9) for x in run(spark, docs, items).collect()} == want
