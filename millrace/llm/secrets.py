@@ -3,7 +3,8 @@
 Fixed patterns find assignments of passwords and tokens, access keys and long hexadecimal strings. The method adds
 values that follow a credential word but no fixed pattern: the cheapest segmentation of the value into words, dates,
 repeats, keyboard walks and brute-force spans gives the guesses needed, and values that need at least ``threshold``
-(a power of ten) are secrets.
+(a power of ten) are secrets, whatever they consist of. After "is", letters in a word's case (the secret is something)
+need twice that power.
 
 Defined cases: null and empty texts have no spans; ties start for start are told apart by kind; texts and values of
 any length are scanned whole (segments are at most ``LONGEST`` characters, so time is linear in a value's length).
@@ -39,6 +40,8 @@ COMMON = (
     "phoenix matrix killer ninja soccer hockey batman superman starwars computer internet google mustang ferrari thunder charlie "
     "jordan michael daniel andrew joshua thomas robert jessica ashley nicole amanda the and that have with this from your pass word"
 ).split()
+#: After "is", what looks like a word of prose needs a threshold so many times as high.
+WORDLIKE, PROSE = re.compile(r"[^\W\d_]?(?:[^\W\d_A-Z]*|[A-Z]*)"), 2.0
 LONGEST = 40
 #: log10 of the guesses for each span to be found as such, and of one brute-force character.
 PER_SPAN, PER_CHAR = 1.0, 1.0
@@ -111,9 +114,10 @@ def added_spans(text: str, cost: GuessCost, threshold: float, taken: list[tuple[
         while end > start and text[end - 1] in ".)]}:!?":
             end -= 1
         value = text[start:end]
-        if len(value) < 6 or not (re.search(r"\d", value) or re.search(r"[^\w]", value)) or any(a < end and start < b for a, b, _ in taken):
+        if len(value) < 6 or any(a < end and start < b for a, b, _ in taken):
             continue
-        if (guesses := cost(value)) >= threshold:
+        prose = m.group().casefold()[: m.start(1) - m.start()].rstrip("\"' ").endswith(" is") and WORDLIKE.fullmatch(value)
+        if (guesses := cost(value)) >= threshold * (PROSE if prose else 1):
             out.append((start, end, "guess", guesses))
     return out
 

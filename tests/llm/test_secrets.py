@@ -73,3 +73,9 @@ def test_odd_rows(spark):
     assert len(out) == len(rows)
     assert all(r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in out)
     assert secrets.scan(frame(spark, [])).count() == 0
+
+
+def test_letters_only_values_are_judged_by_cost(spark):
+    texts = ["pwd=QxZwLmTrVbNpYsKj", "passphrase: xkqzvb_nmwrtp", "the passcode is QxZwLmTrVbNp", "the secret is something", "The secret is Understanding", "pwd: qwertyuiop", "credential => passwordlogin"]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    assert out == {0: "guess:4:20", 1: "guess:12:25", 2: "guess:16:28", 3: "", 4: "", 5: "", 6: ""}
