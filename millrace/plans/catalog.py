@@ -235,8 +235,8 @@ def language_filter(spark, sf_dir):
 
 @query("language_agreement")
 def language_agreement(spark, sf_dir):
-    """The function-word detector against the lang column: counts of each pair."""
-    docs = table(spark, sf_dir, "documents").select("lang", curate.guess_language(tx.for_model(tx.text("text"), 1500)).alias("guess"))
+    """The function-word detector, over whole texts, against the lang column: counts of each pair."""
+    docs = table(spark, sf_dir, "documents").select("lang", curate.guess_language(tx.text("text")).alias("guess"))
     return docs.groupBy("lang", "guess").agg(F.count("*").alias("n_docs"))
 
 

@@ -181,3 +181,11 @@ def test_similar_pairs(spark):
 def test_contract(spark):
     with pytest.raises(ValueError, match="text"):
         curate.normalise(spark.range(1))
+
+
+def test_language_agreement_reads_whole_texts(spark, tmp_path):
+    from millrace.plans import catalog
+
+    text = "the and of " * 140 + "der die und das ist nicht " * 200
+    spark.createDataFrame([(1, text, "de")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in catalog.QUERIES["language_agreement"](spark, str(tmp_path)).collect()] == [("de", "de", 1)]
