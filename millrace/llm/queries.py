@@ -82,6 +82,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_line_dedup": linededup.SQL,
+    "op4_source_mixing": mixing.SQL,
     "op5_decontamination": decontaminate.SQL,
     "op7_near_duplicates": neardup.SQL,
     "op9_warc_round_trip": warc.SQL,

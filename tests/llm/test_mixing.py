@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import mixing
 
+from ..compare import same
 from .helpers import WORDS, frame, odd_rows, rng, sentence
 
 
@@ -80,3 +81,47 @@ def test_documents_as_often_as_taken(spark):
     for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect():
         p = plan[r["doc_id"]]
         assert r["n"] == p["whole"] + (p["part"] * 2 >= p["size"] > 0 and p["part"] > 0)
+
+
+def clashing(spark, names):
+    """The corpus with columns of these names, each with values of its own."""
+    docs = frame(spark, corpus()).select("doc_id", "text", "source")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.col("doc_id") * 100 + k)
+    return docs
+
+
+def test_columns_of_any_name_come_through(spark):
+    names = ["size", "target", "part", "rest", "end_range", "end_words", "whole", "taken", "key", "row", "times", "source_size", "weight", "a.b", "range", "level"]
+    docs = clashing(spark, names)
+    out = mixing.mix_documents(docs)
+    assert out.columns == [*docs.columns, "epoch"]
+    rows = out.collect()
+    assert rows and all(r[name] == r["doc_id"] * 100 + k for r in rows for k, name in enumerate(names))
+    plain = mixing.mix_documents(docs.select("doc_id", "text", "source"))
+    assert sorted((r["doc_id"], r["epoch"]) for r in rows) == sorted((r["doc_id"], r["epoch"]) for r in plain.collect())
+
+
+def test_an_epoch_of_ones_own_is_replaced(spark):
+    out = mixing.mix_documents(clashing(spark, ["epoch"]))
+    assert out.columns == ["doc_id", "text", "source", "epoch"] and out.agg(F.max("epoch")).first()[0] < 4
+
+
+def test_a_budget_ends_in_one_of_many_ranges(spark, monkeypatch):
+    docs = frame(spark, corpus() + odd_rows(rng()))
+    one = sorted(map(tuple, mixing.mix_plan(docs).collect()), key=repr)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 1)
+    assert sorted(map(tuple, mixing.mix_plan(docs).collect()), key=repr) == one
+
+
+def test_sql(spark, sf_dir, duck):
+    same(mixing.mix_plan(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken", "source", "whole", "part"), duck, mixing.SQL)
+
+
+def test_sql_of_capped_sources(spark, tmp_path):
+    import duckdb
+
+    frame(spark, corpus() + odd_rows(rng())).write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/d/*.parquet')")
+    same(mixing.mix_plan(spark.read.parquet(f"{tmp_path}/d")), con, mixing.SQL)
