@@ -1,17 +1,21 @@
 """Exact top-k search by inner product with a vector-approximation file.
 
-Every component is an integer; its range is cut into 2^bits cells, and the approximation of a vector is its cell
+Every component becomes a whole number; its range is cut into 2^bits cells, and the approximation of a vector is its cell
 numbers. Cells bound a score from above and below. A scan of the approximations keeps, for each query, the vectors
 whose upper bound reaches the kth best lower bound; exact vectors are then read in the order of their bounds - first
 those with the highest upper bounds, then only those whose upper bound still reaches the kth exact score - so the
 result is that of a full scan.
 
-Queries are a stated set, met with all rows block by block; a block pair gives at most what can still be in the result.
+Equal vectors are one class with the k + 1 least ids of its rows, of which a query can use no more; so a vector that many
+rows share is scanned, bounded and scored once. Queries are a stated set, met with all classes block by block; a block pair
+gives at most what can still be in the result.
 
-Defined cases: vectors that are null or hold null or non-finite components take no part; vectors are compared with
-those of the same number of components; rows equal in vec_id and vector count once; a null vec_id is never a query and
-comes last among ties; an empty table or one vector gives no rows; fewer than k others gives all of them.
-Scores are exact while dim * max(x)^2 < 2^53, and up to 2^63 by slower integer arithmetic.
+Defined cases: vectors that are null or hold null or non-finite components take no part, nor do those with a component
+beyond 2^500, whose products no double holds; vectors are compared with those of the same number of components; rows equal
+in vec_id and vector count once; an id with several vectors asks with each of them and gets the k best of all; a null
+vec_id is never a query and comes last among ties; an empty table or one vector gives no rows; fewer than k others gives
+all of them. Scores are exact as long as the sum of the products' absolute values is below 2^63; beyond, they are ranked by
+their value as a double and given as the nearest long.
 """
 
 from __future__ import annotations
@@ -29,45 +33,65 @@ from .common import written
 
 BLOCK = 4096
 QUERY_BLOCK = 512
+LANES = 4096
+LARGEST = 2.0**500
+SHARED = -(2**63) + 1  # in place of an owner, for a class that several ids share
 
 
 def scaled(embedding: Column, factor: int = 256) -> Column:
-    """floor(factor * x) of each component x, as double, as longs; null for vectors that take no part."""
-    values = F.transform(embedding, lambda x: F.floor(x.cast("double") * factor))
-    good = embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
-    return F.when(good, values)
+    """floor(factor * x) of each component x, as doubles, which hold them exactly; null for vectors that take no part."""
+    values = F.transform(embedding, lambda x: x.cast("double") * factor)
+    whole = F.transform(values, lambda x: F.when(F.abs(x) < 2.0**52, F.floor(F.when(F.abs(x) < 2.0**52, x)).cast("double")).otherwise(x))
+    good = embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= LARGEST))
+    return F.when(good, whole)
 
 
 def _matrix(column) -> np.ndarray:
-    return np.stack([np.asarray(x, dtype=np.int64) for x in column]) if len(column) else np.zeros((0, 0), np.int64)
-
-
-def exact_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T over integers: in floating point where that is exact, else in 64-bit integers."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if top < 2**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    return np.stack([np.asarray(x, dtype=np.float64) for x in column]) if len(column) else np.zeros((0, 0))
 
 
 def cell_bounds(codes: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least and greatest integer of each component's cell."""
-    least = low + codes.astype(np.int64) * width
-    return least, least + width - 1
+    """Bounds of each component's cell; wider by what rounding may take where numbers don't fit a double's 53 bits."""
+    span = codes * width
+    least, most = low + span, low + span + width - 1
+    size = np.abs(low) + span + width
+    slack = np.where(size < 2.0**52, 0.0, size * 2.0**-50)
+    return least - slack, most + slack
 
 
 def score_bounds(queries: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of every query's score with every vector."""
     plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-    lower = exact_product(plus, least) + exact_product(minus, most)
-    upper = exact_product(plus, most) + exact_product(minus, least)
-    return lower, upper
+    lower = plus @ least.T + minus @ most.T
+    upper = plus @ most.T + minus @ least.T
+    size = np.abs(queries) @ np.maximum(np.abs(least), np.abs(most)).T
+    slack = np.where(size < 2.0**52, 0.0, size * (queries.shape[1] + 8) * 2.0**-51)
+    return lower - slack, upper + slack
+
+
+def keyed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(vec_id, v, h1, h2): the rows that take part, and 128 bits of hash of the vector."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), scaled(F.col(vector_col)).alias("v")).where("v is not null")
+    return rows.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
+
+
+def vector_classes(rows: DataFrame, k: int) -> DataFrame:
+    """(row, dim, v, ids, owner): a row per distinct vector with the k + 1 least ids that have it, null last; owner is its only
+    id, or ``SHARED``. Ids are limited before they are shuffled, so a very common vector sends a few rows a task."""
+    order = Window.partitionBy("h1", "h2").orderBy(F.col("vec_id").isNull(), "vec_id")
+    least = rows.select("h1", "h2", "vec_id").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    names = least.groupBy("h1", "h2").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id"))).alias("ids"))  # k + 1 at most
+    found = rows.groupBy("h1", "h2").agg(F.first("v").alias("v")).join(names, ["h1", "h2"])
+    ids = F.transform("ids", lambda x: x["vec_id"])
+    owner = F.when(F.size(ids) > 1, F.lit(SHARED)).otherwise(F.coalesce(F.get(ids, F.lit(0)), F.lit(SHARED)))
+    return found.select(F.monotonically_increasing_id().alias("row"), F.size("v").alias("dim"), "v", ids.alias("ids"), owner.alias("owner"))
 
 
 def approximations(vectors: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks of cell numbers (dim, ids, codes) and the cell geometry per number of components (dim, low, width)."""
+    """Blocks of cell numbers (dim, ids, owners, codes) and the cell geometry per number of components (dim, low, width)."""
     spread = vectors.select("dim", F.posexplode("v").alias("at", "x")).groupBy("dim", "at").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    cell = F.floor((F.col("hi") - F.col("lo")) / (1 << bits)) + 1
+    cell = F.ceil(F.least((F.col("hi") - F.col("lo") + 1) / (1 << bits), F.lit(2.0**50))).cast("double")
+    cell = F.when(cell < 2.0**50, cell).otherwise((F.col("hi") - F.col("lo")) / (1 << bits) * (1 + 2.0**-40))
     grid = spread.groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("at", "lo", cell.alias("w")))).alias("g"))  # one entry a component
     grid = written(grid.select("dim", F.col("g.lo").alias("low"), F.col("g.w").alias("width")), "va-grid")
     coded = vectors.join(grid, "dim")
@@ -77,43 +101,46 @@ def approximations(vectors: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]
             for dim, part in frame.groupby("dim"):
                 for start in range(0, len(part), BLOCK):
                     rows = part.iloc[start : start + BLOCK]
-                    low, width = np.asarray(rows["low"].iloc[0], np.int64), np.asarray(rows["width"].iloc[0], np.int64)
-                    codes = ((_matrix(rows["v"]) - low) // np.maximum(width, 1)).astype(np.uint16 if bits > 8 else np.uint8)
+                    low, width = np.asarray(rows["low"].iloc[0], np.float64), np.asarray(rows["width"].iloc[0], np.float64)
+                    codes = np.clip((_matrix(rows["v"]) - low) // width, 0, (1 << bits) - 1).astype(np.uint16 if bits > 8 else np.uint8)
                     yield pd.DataFrame({"dim": [dim], "ids": [rows["row"].to_numpy(np.int64).tobytes()], "owners": [rows["owner"].to_numpy(np.int64).tobytes()], "codes": [codes.tobytes()]})
 
     return written(coded.select("dim", "row", "owner", "v", "low", "width").mapInPandas(pack, "dim int, ids binary, owners binary, codes binary"), "va-cells"), grid
 
 
 def query_blocks(queries: DataFrame) -> DataFrame:
+    """Blocks of (query, query_id, v)."""
+
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dim, part in frame.groupby("dim"):
                 for start in range(0, len(part), QUERY_BLOCK):
                     rows = part.iloc[start : start + QUERY_BLOCK]
-                    yield pd.DataFrame({"qdim": [dim], "queries": [rows["row"].to_numpy(np.int64).tobytes()], "qowners": [rows["owner"].to_numpy(np.int64).tobytes()], "values": [_matrix(rows["v"]).tobytes()]})
+                    yield pd.DataFrame({"qdim": [dim], "queries": [rows["query"].to_numpy(np.int64).tobytes()], "qowners": [rows["query_id"].to_numpy(np.int64).tobytes()], "values": [_matrix(rows["v"]).tobytes()]})
 
-    return written(queries.coalesce(8).mapInPandas(pack, "qdim int, queries binary, qowners binary, values binary"), "va-queries")
+    return written(queries.repartition(max(1, -(-queries.count() // QUERY_BLOCK)), "query").mapInPandas(pack, "qdim int, queries binary, qowners binary, values binary"), "va-queries")
 
 
 def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: int) -> DataFrame:
     """(query, row, lower, upper) for what a block of cells can still add to a query's k best."""
     # every lane has a share of the cells and all queries, so that block pairs are spread over tasks
-    lanes = max(1, min(4096, -(-cells.count() // 4)))
+    lanes = max(1, min(LANES, -(-cells.count() // 4)))
     laned = queries.withColumn("qlane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     dealt = cells.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
     pairs = dealt.join(grid, "dim").join(laned, (F.col("dim") == F.col("qdim")) & (F.col("lane") == F.col("qlane")))
-    schema = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("lower", pa.int64()), ("upper", pa.int64())])
+    schema = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("lower", pa.float64()), ("upper", pa.float64())])
+    kind = np.uint16 if bits > 8 else np.uint8
 
     def bound(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                dim, kind = r["dim"], np.uint16 if bits > 8 else np.uint8
+                dim = r["dim"]
                 ids, owners = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["owners"], np.int64)
                 names, own = np.frombuffer(r["queries"], np.int64), np.frombuffer(r["qowners"], np.int64)
-                least, most = cell_bounds(np.frombuffer(r["codes"], kind).reshape(len(ids), dim), np.array(r["low"], np.int64), np.array(r["width"], np.int64))
-                lower, upper = score_bounds(np.frombuffer(r["values"], np.int64).reshape(len(names), dim), least, most)
+                least, most = cell_bounds(np.frombuffer(r["codes"], kind).reshape(len(ids), dim).astype(np.float64), np.array(r["low"], np.float64), np.array(r["width"], np.float64))
+                lower, upper = score_bounds(np.frombuffer(r["values"], np.float64).reshape(len(names), dim), least, most)
                 mine = own[:, None] == owners[None, :]  # a query's own rows take no part
-                lower[mine] = upper[mine] = np.iinfo(np.int64).min
+                lower[mine] = upper[mine] = -np.inf
                 if len(ids) > k:
                     kth = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
                     near = (upper >= kth[:, None]) & ~mine
@@ -122,35 +149,45 @@ def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: in
                 q, c = np.nonzero(near)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[q], ids[c], lower[q, c], upper[q, c])], schema=schema)
 
-    return pairs.mapInArrow(bound, "query long, row long, lower long, upper long")
+    return pairs.mapInArrow(bound, "query long, row long, lower double, upper double")
 
 
-def exact_scores(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(query, row, query_id, vec_id, score), reading the exact vectors of ``pairs`` only."""
-    left = vectors.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("__q"))
-    right = vectors.select("row", "vec_id", "v")
-    dot = F.aggregate(F.zip_with("__q", "v", lambda x, y: x * y), F.lit(0).cast("long"), lambda a, x: a + x)
-    return pairs.join(right, "row").join(left, "query").select("query", "row", "query_id", "vec_id", dot.alias("score"))
+def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
+    """(query, query_id, row, ids, score, wide, slack), reading the exact vectors of ``pairs`` only; wide is the score as a
+    double, which is off by at most slack."""
+    joined = pairs.join(classes.select("row", "v", "ids"), "row").join(queries.select("query", "query_id", F.col("v").alias("q")), "query")
+    total = lambda values, kind: F.aggregate(values, F.lit(0).cast(kind), lambda a, x: a + x)
+    products = F.zip_with("q", "v", lambda x, y: x * y)
+    joined = joined.withColumns({"wide": total(products, "double"), "size": total(F.transform(products, F.abs), "double")})
+    long_fits = (F.col("size") < 2.0**62) & F.forall("q", lambda x: F.abs(x) < 2.0**62) & F.forall("v", lambda x: F.abs(x) < 2.0**62)
+    as_longs = total(F.zip_with("q", "v", lambda x, y: x.cast("long") * y.cast("long")), "long")
+    nearest = F.when(F.abs("wide") < 2.0**63, F.col("wide").cast("long")).when(F.col("wide") > 0, F.lit(2**63 - 1)).otherwise(F.lit(-(2**63)))
+    score = F.when(F.col("size") < 2.0**53, F.col("wide").cast("long")).when(long_fits, as_longs).otherwise(nearest)
+    slack = F.when(F.col("size") < 2.0**53, F.lit(0.0)).otherwise(F.col("size") * (F.size("v") + 8) * 2.0**-51)
+    return joined.select("query", "query_id", "row", "ids", score.alias("score"), "wide", slack.alias("slack"))
 
 
 def top_k(vectors: DataFrame, *, k: int = 5, bits: int = 7, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, its k best others."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), scaled(F.col(vector_col)).alias("v")).where("v is not null")
-    rows = rows.dropDuplicates(["vec_id", "v"]).withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows.withColumn("owner", F.coalesce("vec_id", F.lit(-(2**63) + 1))), "va-exact")
-    cells, grid = approximations(rows, bits)
-    bounds = written(scan(cells, grid, query_blocks(rows.where(F.col("vec_id") % every == 0)), k, bits), "va-bounds")
+    rows = keyed(vectors, id_col, vector_col)
+    classes = written(vector_classes(rows, k), "va-exact")
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "h1", "h2").agg(F.first("v").alias("v"))
+    queries = written(asked.select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), F.size("v").alias("dim"), "v"), "va-asked")
+    cells, grid = approximations(classes, bits)
+    bounds = written(scan(cells, grid, query_blocks(queries), k, bits), "va-bounds")
     # lower bounds of all blocks together: what cannot be among the k best any more is never read
     best = bounds.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("lower")))).where(F.col("n") <= k)
     kth = best.groupBy("query").agg(F.min("lower").alias("least"), F.count("*").alias("have"))
-    left = bounds.join(kth, "query").where((F.col("have") < k) | (F.col("upper") >= F.col("least"))).select("query", "row", "upper")
-    left = written(left.withColumn("turn", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), "row"))), "va-left")
-    first = written(exact_scores(left.where(F.col("turn") <= 2 * k), rows), "va-first")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id").isNull(), "vec_id")
-    sure = first.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("n") == k).select("query", F.col("score").alias("sure"))
-    rest = left.where(F.col("turn") > 2 * k).join(sure, "query").where(F.col("upper") >= F.col("sure")).select("query", "row")
-    found = first.unionByName(exact_scores(rest, rows)).dropDuplicates(["query_id", "row"])
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    left = written(bounds.join(kth, "query").where((F.col("have") < k) | (F.col("upper") >= F.col("least"))).select("query", "row", "upper"), "va-left")
+    turn = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), "row"))
+    first = written(exact_scores(left.withColumn("turn", turn).where(F.col("turn") <= 2 * k).drop("turn"), queries, classes), "va-first")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.desc("wide")))
+    sure = first.withColumn("n", nth).where(F.col("n") == k).select("query", (F.col("wide") - F.col("slack")).alias("sure"))
+    rest = left.join(sure, "query").where(F.col("upper") >= F.col("sure")).join(first.select("query", "row"), ["query", "row"], "left_anti")
+    found = first.unionByName(exact_scores(rest.select("query", "row", "upper"), queries, classes).select(*first.columns))
+    each = found.select("query_id", "score", "wide", F.explode("ids").alias("vec_id")).where(~F.col("vec_id").eqNullSafe(F.col("query_id")))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc(F.when(F.abs("wide") >= 2.0**63, F.col("wide")).otherwise(0.0)), F.col("vec_id").isNull(), "vec_id")
+    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """

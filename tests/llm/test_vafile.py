@@ -20,6 +20,11 @@ def brute(rows, k=5, every=50):
     return sorted(out, key=repr)
 
 
+def capped(rows):
+    """Scores as the nearest long."""
+    return sorted(((q, n, i, max(-(2**63), min(2**63 - 1, s))) for q, n, i, s in rows), key=repr)
+
+
 def run(spark, rows, kind="float", **kw):
     df = spark.createDataFrame([(i, v, 1, 0) for i, v in rows], f"vec_id long, embedding array<{kind}>, row int, score int")
     return sorted((tuple(r) for r in vafile.top_k(df, **kw).collect()), key=repr)
@@ -51,11 +56,37 @@ def test_large_components_stay_exact(spark):
     assert run(spark, rows, kind="double") == brute(rows)
 
 
+@pytest.mark.parametrize("size", [1e8, 1e14, 1e30, 1e149])
+def test_components_of_any_finite_size_do_not_overflow(spark, size):
+    r = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in r.normal(0, 1, 4) * (size if i % 3 else 1.0)]) for i in range(160)]
+    got, want = run(spark, rows, kind="double"), capped(brute(rows))
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert all(abs(x[3] - y[3]) <= abs(y[3]) * 1e-12 for x, y in zip(got, want, strict=True))
+
+
+def test_beyond_what_products_can_hold_takes_no_part(spark):
+    assert run(spark, [(0, [1.0]), (1, [1e200]), (2, [2.0])], kind="double") == [(0, 1, 2, 131072)]
+
+
+def test_long_arithmetic_is_exact(spark):
+    rows = [(i, [float(2**22), float(2**21 + i), float(i)]) for i in range(60)]
+    assert run(spark, rows, kind="double") == brute(rows)
+
+
+def test_a_common_vector_is_scored_once(spark):
+    rows = [(i, [0.5, 0.5]) for i in range(300)] + [(1000 + i, [0.5, i / 256]) for i in range(130)]
+    assert run(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes = vafile.vector_classes(vafile.keyed(df, "vec_id", "embedding"), 5).collect()
+    assert len(classes) == 130 and max(len(c["ids"]) for c in classes) == 6
+
+
 def test_bounds_hold():
     r = np.random.default_rng(5)
     v, q = r.integers(-300, 300, (50, 8)), r.integers(-300, 300, (6, 8))
     low, width = v.min(0), (v.max(0) - v.min(0)) // 16 + 1
-    lower, upper = vafile.score_bounds(q, *vafile.cell_bounds((v - low) // width, low, width))
+    lower, upper = vafile.score_bounds(q.astype(float), *vafile.cell_bounds(((v - low) // width).astype(float), low.astype(float), width.astype(float)))
     assert (lower <= q @ v.T).all() and (q @ v.T <= upper).all()
 
 
