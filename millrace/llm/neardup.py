@@ -9,12 +9,14 @@ the collisions expected by chance, and what may reach the threshold is verified
 
 Pairs in a band's bucket are not expanded. Every member meets the bucket's centre, another one in each band, in two
 turns; members already connected then need no pair of their own, and only buckets that still hold several components are
-compared, on full sets in blocks of about ``BLOCK`` shingles a side, where pairs inside a component are left out and only
-links are given out. So a group of near copies makes about its size times the number of bands rows, not its square.
+compared, on full sets: the members outside of the bucket's largest component with all members, in blocks of about ``BLOCK``
+shingles a side, where only links are given out. So a group of near copies makes about its size times the number of bands
+rows, not its square, and is copied once for each block of outsiders.
 
 Defined cases: null and empty texts and texts without words have no shingles, link with nothing and are their own
 component; texts under five words are one shingle; rows that share a doc_id with equal texts get the same result; a
-null doc_id is never a component's id unless there is no other; other columns play no part; an empty table gives no rows.
+null doc_id is never a component's id unless there is no other; other columns play no part and are carried through by
+``drop_near_duplicates``, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,17 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import packed, small, unpacked, written
 from .components import components
 from .shingles import mix, shingle_set
 
 WORDS = 5
 REGISTERS, MANTISSA, REST = 256, 10, 56
 BAND, BANDS = 4, 34
+#: Sets of up to so many shingles leave many registers empty, whose borrowed values make bands alike: they get all bands there are.
+SPARSE, MORE_BANDS = 160, 64
 #: The share of buckets, one in so many, whose stars are looked at first.
 EARLY = 8
 SMALL = 40
-BLOCK = 400_000
+BLOCK = 60_000
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -53,18 +57,18 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _order() -> np.ndarray:
-    """The registers in a fixed shuffled order, so that the registers of a band don't borrow from each other."""
-    return np.argsort(mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(977)))
+#: The registers in a fixed shuffled order, so that the registers of a band don't borrow from each other.
+_ORDER = np.argsort(mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(977)))
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A key for each band of ``BAND`` registers."""
+def band_keys(regs: np.ndarray, n: int) -> np.ndarray:
+    """A key for each band of ``BAND`` registers of a set of ``n`` shingles."""
     full = np.flatnonzero(regs)
     lent = full[np.searchsorted(full, np.arange(REGISTERS)) % len(full)]
-    values = regs[lent].astype(np.uint64)[_order()]
-    rows = values[: BANDS * BAND].reshape(BANDS, BAND)
-    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
+    values = regs[lent].astype(np.uint64)[_ORDER]
+    bands = MORE_BANDS if n <= SPARSE else BANDS
+    rows = values[: bands * BAND].reshape(bands, BAND)
+    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
     for k in range(BAND):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
     return key
@@ -133,7 +137,7 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
         for batch in batches:
             nodes, keys = [], []
             for node, n, regs, prefix in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "regs", "prefix")), strict=True):
-                for found in ([band_keys(np.frombuffer(regs, np.uint16))] if n > SMALL else []) + ([mix(np.frombuffer(prefix, np.uint64))] if prefix else []):
+                for found in ([band_keys(np.frombuffer(regs, np.uint16), n)] if n > SMALL else []) + ([mix(np.frombuffer(prefix, np.uint64))] if prefix else []):
                     keys.append(found.view(np.int64))
                     nodes.append(np.full(len(found), node, np.int64))
             if keys:
@@ -146,9 +150,9 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
 def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, shingles): the full sets of these classes, from their whole texts. Texts are read once; they are shuffled only if
     the classes are too many to be broadcast."""
-    nodes = written(nodes.join(classes.select("node", F.col("doc_id").alias("__id"), F.col("version").alias("__version")), "node"), "neardup-nodes")
+    nodes = written(nodes.join(classes.select("node", F.col("doc_id").alias("own_id"), F.col("version").alias("own_version")), "node"), "neardup-nodes")
     wanted = small(nodes, nodes.count())
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version"))).select("node", "text")
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.xxhash64("text") == F.col("own_version"))).select("node", "text")
 
     def work(batches):
         for batch in batches:
@@ -211,76 +215,69 @@ class Postings:
         return out
 
 
-def compare_block(one: list[np.ndarray], two: list[np.ndarray] | None, labels_one: np.ndarray, labels_two: np.ndarray | None, key: int, num: int, den: int) -> Iterator[tuple[int, int]]:
-    """(index in one, index in two) of the links between components, of sets that share the bucket ``key``; within ``one`` if
-    ``two`` is None. Members of the commonest component are met from the others' side only, and a pair that shares several
-    buckets is met in the first of its bands."""
-    inside = two is None
-    two, labels_two = (one, labels_one) if inside else (two, labels_two)
-    values, counts = np.unique(np.concatenate([labels_one, labels_two]), return_counts=True)
-    if len(values) < 2:
+def compare_block(one: list[np.ndarray], two: list[np.ndarray], allowed: np.ndarray, key: int, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """(index in one, index in two) of the links among ``allowed`` pairs of sets that share the bucket ``key``. A pair that shares
+    several buckets is met in the first of its bands."""
+
+    def sides(sets):
+        regs = np.stack([registers(x) for x in sets])
+        keys = np.zeros((len(sets), MORE_BANDS), np.uint64)
+        for row, r, x in zip(keys, regs, sets, strict=True):
+            found = band_keys(r, len(x))
+            row[: len(found)] = found
+        return regs, keys.view(np.int64), np.array([len(x) for x in sets])
+
+    rows = np.flatnonzero(allowed.any(1))
+    if not len(rows):
         return
-    main = values[np.argmax(counts)]
-    sides = []
-    for sets in (one,) if inside else (one, two):
-        regs = np.stack([registers(x.view(np.uint64)) for x in sets])
-        sides.append((regs, np.stack([band_keys(r) for r in regs]).view(np.int64), np.array([len(x) for x in sets])))
-    (regs_one, keys_one, n_one), (regs_two, keys_two, n_two) = sides[0], sides[-1]
-
-    def meet(mine, labels, regs, keys, n, postings, labels_, regs_, keys_, n_, rows, allowed):
-        likely = chance(n_)
-        for k in rows:
-            near = allowed(k) & (labels_ != labels[k]) & (n_ * den >= n[k] * num) & (n[k] * den >= n_ * num)
-            at = np.flatnonzero(near)
-            if len(at):
-                shared = keys_[at] == keys[k]
-                if n[k] > SMALL and (keys[k] == key).any():
-                    first = np.flatnonzero(keys[k] == key)[0]
-                    at = at[(shared.argmax(1) == first) | (n_[at] <= SMALL)]
-            if not len(at):
-                continue
-            equal = ((regs_[at] == regs[k]) & (regs[k] > 0)).sum(1)
-            either = ((regs_[at] > 0) | (regs[k] > 0)).sum(1)
-            at = at[may_reach(equal, either, likely[at] @ chance(n[k]) / (1 << MANTISSA), num / den)]
-            common = postings.overlaps(mine[k], at)
-            for i in at[common * den >= (n[k] + n_[at] - common) * num]:
-                yield k, i
-
-    place = np.arange(len(two))
-    out = np.flatnonzero(labels_one != main)
-    rank = np.full(len(two), -1)
-    if inside:  # a pair of two others is met once, from the later one
-        rank[out] = out
-    yield from meet(one, labels_one, regs_one, keys_one, n_one, Postings(two), labels_two, regs_two, keys_two, n_two, out, lambda k: (rank < k) if inside else place >= 0)
-    if not inside:
-        yield from ((i, k) for k, i in meet(two, labels_two, regs_two, keys_two, n_two, Postings(one), labels_one, regs_one, keys_one, n_one, np.flatnonzero(labels_two != main), lambda k: labels_one == main))
+    (regs_one, keys_one, n_one), (regs_two, keys_two, n_two) = sides(one), sides(two)
+    likely, postings = chance(n_two), Postings(two)
+    for k in rows:
+        n = n_one[k]
+        at = np.flatnonzero(allowed[k] & (n_two * den >= n * num) & (n * den >= n_two * num))
+        if len(at) and n > SMALL and (keys_one[k] == key).any():
+            band = np.flatnonzero(keys_one[k] == key)[0]
+            at = at[((keys_two[at] == keys_one[k]).argmax(1) == band) | (n_two[at] <= SMALL)]
+        if not len(at):
+            continue
+        equal = ((regs_two[at] == regs_one[k]) & (regs_one[k] > 0)).sum(1)
+        either = ((regs_two[at] > 0) | (regs_one[k] > 0)).sum(1)
+        at = at[may_reach(equal, either, likely[at] @ chance(n) / (1 << MANTISSA), num / den)]
+        common = postings.overlaps(one[k], at)
+        for i in at[common * den >= (n + n_two[at] - common) * num]:
+            yield k, i
 
 
 def cross_links(members: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): the links between components in buckets that hold several (key, node, label), found on full sets in blocks.
 
-    A bucket is cut into chunks of about ``BLOCK`` shingles by hash of the node; each pair of chunks is a group of its own, so
-    a group's size is bounded and only links leave it.
+    A bucket's members, and those outside of its largest component once more, are cut into chunks of about ``BLOCK`` shingles
+    by hash of the node; each chunk of outsiders meets each of all members in a group of its own, so a group's size is bounded
+    and only links leave it.
     """
     sized = members.join(classes.select("node", "n_shingles"), "node")
-    chunks = sized.groupBy("key").agg(F.ceil(F.sum("n_shingles") / F.lit(BLOCK)).cast("int").alias("chunks"))
-    rows = members.join(chunks, "key").join(sets, "node").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "label", "shingles")
+    each = sized.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    top = each.groupBy("key").agg(F.max(F.struct("n", "label", "w")).alias("top"), F.sum("w").alias("w"))
+    chunks = lambda w: F.greatest(F.ceil(w / F.lit(BLOCK)), F.lit(1)).cast("int")
+    top = top.select("key", F.col("top.label").alias("main"), chunks(F.col("w")).alias("n_all"), chunks(F.col("w") - F.col("top.w")).alias("n_out"))
+    rows = members.join(top, "key").join(sets, "node").withColumn("out", F.col("label") != F.col("main"))
+    dealt = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = rows.where("out").select("key", dealt("n_out", 1).alias("i"), upto("n_all").alias("j"), F.lit(True).alias("asks"), "out", "node", "label", "shingles")
+    every = rows.select("key", upto("n_out").alias("i"), dealt("n_all", 2).alias("j"), F.lit(False).alias("asks"), "out", "node", "label", "shingles")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        one, two = frame[frame["chunk"] == i], frame[frame["chunk"] == j]
+        one, two = frame[frame["asks"]], frame[~frame["asks"]]
         found = []
-        if len(one) and len(two) and frame["label"].nunique() > 1:
-            sets_ = [[np.asarray(x, np.int64).view(np.uint64) for x in f["shingles"]] for f in (one, two)]
-            labels = [f["label"].to_numpy(np.int64) for f in (one, two)]
+        if len(one) and len(two):
             a, b = one["node"].to_numpy(np.int64), two["node"].to_numpy(np.int64)
-            pairs = compare_block(sets_[0], None if i == j else sets_[1], labels[0], labels[1], int(frame["key"].iloc[0]), num, den)
-            found = [(min(a[k], b[m]), max(a[k], b[m])) for k, m in pairs]
+            # two outsiders are met once, from the lesser one
+            allowed = (one["label"].to_numpy(np.int64)[:, None] != two["label"].to_numpy(np.int64)[None, :]) & (~two["out"].to_numpy(bool)[None, :] | (a[:, None] < b[None, :]))
+            sets_ = [[np.asarray(x, np.int64).view(np.uint64) for x in f["shingles"]] for f in (one, two)]
+            found = [(min(a[k], b[m]), max(a[k], b[m])) for k, m in compare_block(*sets_, allowed, int(frame["key"].iloc[0]), num, den)]
         return pd.DataFrame({"a": np.array([x[0] for x in found], np.int64), "b": np.array([x[1] for x in found], np.int64)})
 
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return mine.unionByName(every).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -298,18 +295,18 @@ def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
 
     # a few of every class's stars connect most of a large group; of the others only those between components are left
     sure = linked(met.where(F.pmod("key", F.lit(EARLY)) == 0).select(*pair).distinct())
-    labels = components(sure)
+    labels = components(sure, least=False)
     one, two = (labels.select(F.col("node").alias(v), F.col("label").alias(f"label_{v}")) for v in ("a", "b"))
     late = met.where(F.pmod("key", F.lit(EARLY)) != 0).select(*pair).distinct().join(one, "a", "left").join(two, "b", "left")
     late = late.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
     sure = sure.unionByName(linked(late))
-    labels = components(sure)
+    labels = components(sure, least=False)
     member = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     member = written(member, "neardup-members")
     open_keys = member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     more = written(cross_links(member.join(open_keys, "key"), sets, classes, num, den), "neardup-links")
     if more.limit(1).count():
-        labels = components(sure.unionByName(more))
+        labels = components(sure.unionByName(more), least=False)
     return labels
 
 
@@ -328,8 +325,11 @@ def near_duplicates(docs: DataFrame, *, num: int = 75, den: int = 100) -> DataFr
 
 def drop_near_duplicates(docs: DataFrame, *, num: int = 75, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stand for their component, in full and with the columns of ``docs``."""
-    gone = near_duplicates(docs, num=num, den=den).where("not kept").select(F.col("doc_id").alias("__id"), F.col("version").alias("__version")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left_anti")
+    gone = near_duplicates(docs, num=num, den=den).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).distinct()
+    gone = written(gone, "neardup-gone")
+    rows = packed(docs, "doc_id", "text").select("row", "doc_id", F.xxhash64("text").alias("version"))
+    stays = rows.join(small(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("version") == F.col("gone_version")), "left_anti")
+    return stays.select(*unpacked(docs.columns))
 
 
 #: The same in DuckDB, on the shingles themselves.

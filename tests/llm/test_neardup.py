@@ -1,6 +1,7 @@
 import numpy as np
 
 from millrace.llm import neardup
+from millrace.llm.common import written as module_written
 from millrace.llm.components import components
 from millrace.llm.shingles import PIECE, sequence_hashes, shingle_set, word_hashes
 
@@ -100,6 +101,42 @@ def test_estimate_is_close():
         assert abs(equal - share) < 0.12
 
 
+def test_columns_of_any_name_come_through(spark):
+    names = ["__id", "__version", "version", "row", "gone_id", "label", "n_shingles", "kept", "a.b"]
+    docs = frame(spark, near_copies(1, 4, 4, (60, 90))).select("doc_id", "text")
+    plain = {r["doc_id"] for r in neardup.drop_near_duplicates(docs).collect()}
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] * 10 + k)
+    out = neardup.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == plain
+    assert all(r[name] == r["doc_id"] * 10 + k for r in out.collect() for k, name in enumerate(names))
+
+
+def test_outsiders_of_a_large_group_are_found_in_small_blocks(spark, monkeypatch):
+    """Several groups over one passage, so that buckets hold many components."""
+    monkeypatch.setattr(neardup, "BLOCK", 500)
+    r, rows = rng(9), []
+    base = sentence(r, 200).split()
+    for group in range(8):
+        own = base[:120] + sentence(r, 80).split()
+        for copy in range(30 if group == 0 else 5):
+            words = list(own)
+            words[r.randrange(200)] = "changed"
+            rows.append((len(rows), " ".join(words), "en", "a"))
+    check(spark, rows)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    from millrace.llm import components as module
+
+    turns = []
+    monkeypatch.setattr(module, "FEW", 3)
+    monkeypatch.setattr(module, "written", lambda df, name, **kw: turns.append(name) or module_written(df, name, **kw))
+    chain = spark.range(600).selectExpr("id as a", "id + 1 as b")
+    assert {r["label"] for r in module.components(chain).collect()} == {0}
+    assert turns.count("links") < 20
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (4, 4)], "a long, b long")
     assert {(r["node"], r["label"]) for r in components(links).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (7, 5), (8, 5), (9, 5)}
