@@ -1,8 +1,9 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact weighted similarity.
 
 A document holds an item if some window of it, of as many five-word shingles as the item has, is at least 75 %
-similar to the item: sum of minimal over sum of maximal shingle counts. Windows start at every word; a document
-shorter than an item is one window.
+similar to the item: sum of minimal over sum of maximal shingle counts. Windows start at every word, for items of 256
+shingles and more at every (n div 128)th, so that a document that holds a long item has windows by its length and not by
+the item's square; a copy then still has 98 % in common with a window. A document shorter than an item is one window.
 
 * Only windows that can qualify are fingerprinted: a window that similar shares one of the item's rarest shingles
   (the quarter by which it may differ, and one more), so starts are those that cover such a shingle. This loses nothing.
@@ -10,13 +11,13 @@ shorter than an item is one window.
   (first, second, ...), so that distances follow the weighted similarity of windows with repeated shingles, too.
 * Fingerprints are cut into eight blocks of eight bits. Within ``RADIUS`` = 23 bits, one block differs in at most two
   (eight blocks with three or more would be 24), so items are indexed under all 37 values that near for each block,
-  and every pair within the radius meets. At 75 % similarity the expected distance is 11 bits with a deviation of 3,
-  so the radius is four deviations off.
+  and every pair within the radius meets. What the radius itself misses is measured in the README.
 * Pairs within the radius are verified on the windows' shingles themselves.
 
 Only DataFrame functions are used. Defined cases: null and empty texts, and texts and items of fewer than five words,
-have no shingles and match nothing; items that share an id or a text are compared each on its own; documents equal in
-doc_id and text give one row per item; null ids are kept as such; without items or documents there are no rows.
+have no shingles and match nothing; texts and items are of any length (counters of a fingerprint hold 2^31 shingles); items that share an id or a text are compared each on its own; documents equal in
+doc_id and text give one row per item; null ids are kept as such; other columns, of any name, play no part and come through ``drop_contaminated``; without items or
+documents there are no rows.
 """
 
 from __future__ import annotations
@@ -27,14 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, bind, small, word_count, written
+from .common import SPACES, bind, packed, small, unpacked, word_count, written
 
 WORDS = 5
 BLOCKS, NEAR = 8, 2
 RADIUS = BLOCKS * (NEAR + 1) - 1
 #: Rows of the item index up to which it is broadcast (three longs each); beyond it, it is shuffled.
 INDEX_ROWS = 400_000
-LANES = 16  # longs that hold the 64 counters, four of 16 bits each
+#: Windows of an item of n shingles start at every (n div STARTS)th word.
+STARTS = 128
+LANES = 32  # longs that hold the 64 counters, two of 32 bits each
 
 
 def shingle_array(text: Column) -> Column:
@@ -45,17 +48,17 @@ def shingle_array(text: Column) -> Column:
 
 
 def lanes(h: Column) -> list[Column]:
-    """The bits of a hash, four to a long, 16 bits apart, ready to be summed."""
+    """The bits of a hash, two to a long, 32 bits apart, ready to be summed."""
     bit = lambda b: F.shiftright(h, b).bitwiseAND(F.lit(1).cast("long"))
-    return [reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(bit(4 * j + k), 16 * k) for k in range(3)]).bitwiseOR(F.shiftleft(bit(4 * j + 3), 48)) for j in range(LANES)]
+    return [bit(2 * j).bitwiseOR(F.shiftleft(bit(2 * j + 1), 32)) for j in range(LANES)]
 
 
 def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and fp, the SimHash of the shingles in ``sh``, told apart by occurrence: a shingle that occurs k times counts
-    with k, not its square. Windows of up to 32767 shingles."""
+    with k, not its square."""
     each = rows.select(*keys, F.explode(tagged(F.col("sh"))).alias("h"))
     sums = each.groupBy(*keys).agg(F.count("*").alias("m"), *[F.sum(x).alias(f"s{j}") for j, x in enumerate(lanes(F.col("h")))])
-    count = lambda b: F.shiftrightunsigned(f"s{b // 4}", 16 * (b % 4)).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    count = lambda b: F.shiftrightunsigned(f"s{b // 2}", 32 * (b % 2)).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     bits = [F.when(count(b) * 2 > F.col("m"), F.lit((1 << b) if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")) for b in range(64)]
     while len(bits) > 1:
         bits = [x.bitwiseOR(y) for x, y in zip(bits[::2], bits[1::2], strict=True)]
@@ -99,7 +102,9 @@ def windows(docs: DataFrame, rare: DataFrame, n_rare: int) -> DataFrame:
     index = F.broadcast(rare) if n_rare <= INDEX_ROWS else rare
     anchors = found.join(index, "s").select("doc_id", "version", "n", F.greatest(F.lit(0), F.col("pos") - F.col("n") + 1).alias("lo"), F.greatest(F.lit(0), F.least(F.col("pos"), F.col("m") - F.col("n"))).alias("hi"))
     anchors = written(anchors.distinct(), "decon-anchors")
-    starts = anchors.select("doc_id", "version", "n", F.explode(F.sequence(F.least("lo", "hi"), "hi")).alias("start")).distinct()
+    step = F.greatest(F.expr(f"cast(n div {STARTS} as int)"), F.lit(1))
+    first = F.least("lo", "hi") - F.least("lo", "hi") % step
+    starts = anchors.select("doc_id", "version", "n", F.explode(F.sequence(first, F.col("hi"), step)).alias("start")).distinct()
     each = written(starts.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "n")).alias("ws")), "decon-starts")
     wanted = small(each.select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), "ws"), each.count())
     texts = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__version"))).select("doc_id", "version", "text", "ws").dropDuplicates(["doc_id", "version"])
@@ -108,8 +113,16 @@ def windows(docs: DataFrame, rare: DataFrame, n_rare: int) -> DataFrame:
 
 
 def tagged(sh: Column) -> Column:
-    """Shingles told apart by occurrence, so that sets of them have the multisets' minima and maxima."""
-    nth = F.transform(sh, lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice(sh, 1, i), lambda y: y == x))))
+    """Shingles told apart by occurrence, so that sets of them have the multisets' minima and maxima; in no particular order.
+
+    In a sorted array the occurrences before one are its equals to the left; how many there are is found by halving steps.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+
+    def before(a, x, i):
+        return F.aggregate(steps, F.lit(0), lambda d, k: F.when((i - d >= k) & (F.get(a, i - d - k) == x), d + k).otherwise(d))
+
+    nth = bind(F.array_sort(sh), lambda a: F.transform(a, lambda x, i: F.xxhash64(x, before(a, x, i))))
     first = F.transform(sh, lambda x: F.xxhash64(x, F.lit(0)))
     return F.when(F.size(F.array_distinct(sh)) == F.size(sh), first).otherwise(nth)
 
@@ -141,9 +154,10 @@ def contaminated(docs: DataFrame, items: DataFrame, *, num: int = 75, den: int =
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, num: int = 75, den: int = 100) -> DataFrame:
     """``docs`` without those that hold an item."""
-    bad = written(contaminated(docs, items, num=num, den=den).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version")).distinct(), "decon-bad")
-    bad = small(bad, bad.count())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left_anti")
+    bad = written(contaminated(docs, items, num=num, den=den).select(F.col("doc_id").alias("bad_id"), F.col("version").alias("bad_version")).distinct(), "decon-bad")
+    rows = packed(docs, "doc_id", "text").select("row", "doc_id", F.xxhash64("text").alias("version"))
+    clean = rows.join(small(bad, bad.count()), F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("version") == F.col("bad_version")), "left_anti")
+    return clean.select(*unpacked(docs.columns))
 
 
 #: The same in DuckDB, window by window, for documents that share a shingle with an item.
@@ -154,7 +168,7 @@ d as (select doc_id, len(w) - 4 as m, i - 1 as pos, array_to_string(w[i:i + 4],
 b as (select item_id, len(w) - 4 as n, array_to_string(w[i:i + 4], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 3)) as i from bw where len(w) >= 5)),
 bc as (select item_id, n, g, count(*) as c from b group by item_id, n, g),
 pairs as (select distinct d.doc_id, d.m, b.item_id, b.n from d join b on d.g = b.g),
-windows as (select doc_id, item_id, m, n, unnest(range(0, greatest(m - n, 0) + 1)) as start from pairs),
+windows as (select doc_id, item_id, m, n, unnest(range(0, greatest(m - n, 0) + 1, greatest(n // 128, 1))) as start from pairs),
 counts as (select w.doc_id, w.item_id, w.m, w.n, w.start, d.g, count(*) as c from windows w join d on d.doc_id = w.doc_id and d.pos >= w.start and d.pos < w.start + w.n group by all),
 common as (select x.doc_id, x.item_id, least(x.m, x.n) as size, x.n, x.start, sum(least(x.c, y.c)) as common from counts x join bc y on y.item_id = x.item_id and y.g = x.g group by all),
 good as (select *, common / (size + n - common) as similarity from common where 100 * common >= 75 * (size + n - common))

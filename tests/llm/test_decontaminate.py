@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql.functions import col as df_col
+
 from millrace.llm import decontaminate
 
 from ..compare import same
@@ -21,7 +23,7 @@ def brute(docs, items):
             if not own or not mine:
                 continue
             want, best = Counter(own), 0.0
-            for start in range(max(1, len(mine) - len(own) + 1)):
+            for start in range(0, max(1, len(mine) - len(own) + 1), max(1, len(own) // 128)):
                 have = Counter(mine[start : start + len(own)])
                 common = sum((have & want).values())
                 best = max(best, common / (sum(have.values()) + len(own) - common))
@@ -98,3 +100,37 @@ def test_items_that_repeat_a_shingle(spark):
     want = brute(docs, items)
     assert len(want) == len(items)
     assert {(x["doc_id"], x["item_id"]): round(x["similarity"], 9) for x in run(spark, docs, items).collect()} == want
+
+
+def test_items_of_any_length(spark):
+    """Counters that no 16 bits hold, windows that aren't the item's square, and a shingle that repeats thousands of times."""
+    r = rng(6)
+    long, dull = sentence(r, 33_000, 1_000_000), "so it goes and goes on " * 90
+    middling = sentence(r, 700, 100_000)
+    items = [(1, long), (2, dull), (3, middling)]
+    changed = middling.split()
+    changed[100:180] = sentence(r, 80).split()
+    docs = [(1, f"a few words before {long} and after", "en", "a"), (2, f"{sentence(r, 501)} {dull} end", "en", "a"), (3, f"{sentence(r, 333)} {' '.join(changed)} {sentence(r, 9)}", "en", "a"), (4, sentence(r, 3000), "en", "a")]
+    out = {(x["doc_id"], x["item_id"]): round(x["similarity"], 9) for x in run(spark, docs, items).collect()}
+    assert set(out) == {(1, 1), (2, 2), (3, 3)} and out[1, 1] > 0.98
+    assert {k: v for k, v in out.items() if k != (1, 1)} == brute(docs[1:], items[1:])
+
+
+def test_tags_tell_occurrences_apart(spark):
+    rows = [([5, 7, 5, 5, 9, 7],), ([3] * 5000,), ([1, 2, 3],), ([],)]
+    df = spark.createDataFrame(rows, "sh array<bigint>").select("sh", decontaminate.tagged(df_col("sh")).alias("t"))
+    for r in df.collect():
+        assert len(set(r["t"])) == len(r["sh"]) == len(r["t"])
+    a, b = (spark.createDataFrame([(x,)], "sh array<bigint>").select(decontaminate.tagged(df_col("sh"))).first()[0] for x in ([4, 4, 6, 4], [6, 4, 8, 4]))
+    assert len(set(a) & set(b)) == 3
+
+
+def test_columns_of_any_name_come_through(spark):
+    docs, items = corpus()
+    names = ["__id", "__version", "version", "row", "bad_id", "n", "start", "a.b"]
+    plain = decontaminate.drop_contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    wide = frame(spark, docs).select("doc_id", "text")
+    for k, name in enumerate(names):
+        wide = wide.withColumn(name, df_col("doc_id") * 10 + k)
+    out = decontaminate.drop_contaminated(wide, spark.createDataFrame(items, "item_id long, text string"))
+    assert out.columns == wide.columns and {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in plain.collect()}
