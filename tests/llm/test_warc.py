@@ -70,8 +70,8 @@ def test_inflating_in_chunks(monkeypatch):
     monkeypatch.setattr(warc, "CHUNK", 7)
     body = b"head\r\n\r\n" + bytes(range(256)) * 5
     stream = warc.Inflated(io.BytesIO(gzip.compress(body[:600]) + gzip.compress(body[600:])))
-    assert stream.until(b"\r\n\r\n") == b"head"
-    assert b"".join(stream.chunks(1280)) == body[8:] and stream.until(b"\r\n\r\n") == b""
+    assert stream.more() and stream.until(b"\r\n\r\n") == b"head"
+    assert b"".join(stream.chunks(1280)) == body[8:] and not stream.more()
     with pytest.raises(ValueError, match="cut short"):
         list(warc.Inflated(io.BytesIO(gzip.compress(body)[:-20])).chunks(len(body) + 1))
 
@@ -79,3 +79,38 @@ def test_inflating_in_chunks(monkeypatch):
 def test_sql(spark, sf_dir, duck):
     out = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     same(out, duck, warc.SQL)
+
+
+def foreign(spark, data, records=None):
+    """One archive made elsewhere, normalised: its index rows."""
+    mono, members = new_path(spark, "m"), new_path(spark, "n")
+    filesystem, top = pafs.FileSystem.from_uri(mono)
+    filesystem.create_dir(top, recursive=True)
+    with filesystem.open_output_stream(f"{top}/a.warc.gz", compression=None) as out:
+        out.write(gzip.compress(data))
+    manifest = spark.createDataFrame([("a.warc.gz", records, len(data))], warc.MANIFEST)
+    return warc.read_archives(warc.normalise(manifest, mono, members), members).collect()
+
+
+def record(n, kind="response", body=b"HTTP/1.1 200 OK\r\n\r\npayload"):
+    row = {"record_type": kind, "page_id": n, "payload_digest": "d", "url": None, "payload_bytes": 7, "refers_to": 1, "refers_uri": "u"}
+    return warc.record_head(row, len(body)) + body + b"\r\n\r\n"
+
+
+def test_foreign_archives(spark):
+    blank = b"\r\n".join([b"", record(1), b"", b"", record(2), b"\n", record(3), b"\r\n"])
+    assert [r["page_id"] for r in foreign(spark, blank, 3)] == [1, 2, 3]
+    assert [r["page_id"] for r in foreign(spark, blank)] == [1, 2, 3]
+    for data, said in ((record(1).replace(b"Content-Length: ", b"X-Length: "), "no Content-Length"), (record(1) + record(2)[:-9], "cut short"), (record(1).replace(b"payload\r", b"payload more\r"), "doesn't end where")):
+        with pytest.raises(Exception, match=said):
+            foreign(spark, data)
+    with pytest.raises(Exception, match="3 records, 4 by the manifest"):
+        foreign(spark, blank, 4)
+
+
+def test_revisits_name_their_response(spark):
+    rows = warc.classify(pages(spark, ROWS)).where("record_type = 'revisit'").collect()
+    assert {r["refers_to"] for r in rows} == {1, 7} and {r["refers_uri"] for r in rows} == {"http://a/1", "u"}
+    for r in rows:
+        head = warc.parse_head(warc.record_head(r.asDict(), 0).partition(b"\r\n\r\n")[0])
+        assert head["warc-refers-to"] == warc.record_id(r["refers_to"], r["payload_digest"]) and head["warc-refers-to-target-uri"] == r["refers_uri"]
