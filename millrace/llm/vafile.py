@@ -29,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import small, written
 
 BLOCK = 4096
 QUERY_BLOCK = 512
 LANES = 4096
+SHARES = 32
 LARGEST = 2.0**500
 SHARED = -(2**63) + 1  # in place of an owner, for a class that several ids share
 
@@ -152,10 +153,20 @@ def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: in
     return pairs.mapInArrow(bound, "query long, row long, lower double, upper double")
 
 
-def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
+def best_of(rows: DataFrame, key: str, order: list[Column], k: int, rank: str | None = None) -> DataFrame:
+    """The first k rows of each ``key``, found by shares of its rows first, so that a key with very many rows, as a query in a
+    dense cluster has, isn't sorted in one task."""
+    share = F.pmod(F.xxhash64("row"), F.lit(SHARES))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(key, share).orderBy(*order))).where(F.col("n") <= k)
+    name = rank or "n"
+    rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col(name) <= k)
+    return rows if rank else rows.drop("n")
+
+
+def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame, n_queries: int) -> DataFrame:
     """(query, query_id, row, ids, score, wide, slack), reading the exact vectors of ``pairs`` only; wide is the score as a
     double, which is off by at most slack."""
-    joined = pairs.join(classes.select("row", "v", "ids"), "row").join(queries.select("query", "query_id", F.col("v").alias("q")), "query")
+    joined = pairs.join(classes.select("row", "v", "ids"), "row").join(small(queries, n_queries).select("query", "query_id", F.col("v").alias("q")), "query")
     total = lambda values, kind: F.aggregate(values, F.lit(0).cast(kind), lambda a, x: a + x)
     products = F.zip_with("q", "v", lambda x, y: x * y)
     joined = joined.withColumns({"wide": total(products, "double"), "size": total(F.transform(products, F.abs), "double")})
@@ -176,18 +187,20 @@ def top_k(vectors: DataFrame, *, k: int = 5, bits: int = 7, every: int = 50, id_
     cells, grid = approximations(classes, bits)
     bounds = written(scan(cells, grid, query_blocks(queries), k, bits), "va-bounds")
     # lower bounds of all blocks together: what cannot be among the k best any more is never read
-    best = bounds.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("lower")))).where(F.col("n") <= k)
-    kth = best.groupBy("query").agg(F.min("lower").alias("least"), F.count("*").alias("have"))
-    left = written(bounds.join(kth, "query").where((F.col("have") < k) | (F.col("upper") >= F.col("least"))).select("query", "row", "upper"), "va-left")
-    turn = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), "row"))
-    first = written(exact_scores(left.withColumn("turn", turn).where(F.col("turn") <= 2 * k).drop("turn"), queries, classes), "va-first")
-    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.desc("wide")))
-    sure = first.withColumn("n", nth).where(F.col("n") == k).select("query", (F.col("wide") - F.col("slack")).alias("sure"))
-    rest = left.join(sure, "query").where(F.col("upper") >= F.col("sure")).join(first.select("query", "row"), ["query", "row"], "left_anti")
-    found = first.unionByName(exact_scores(rest.select("query", "row", "upper"), queries, classes).select(*first.columns))
-    each = found.select("query_id", "score", "wide", F.explode("ids").alias("vec_id")).where(~F.col("vec_id").eqNullSafe(F.col("query_id")))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc(F.when(F.abs("wide") >= 2.0**63, F.col("wide")).otherwise(0.0)), F.col("vec_id").isNull(), "vec_id")
-    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = best_of(bounds, "query", [F.desc("lower")], k)
+    kth = written(best.groupBy("query").agg(F.min("lower").alias("least"), F.count("*").alias("have")), "va-least")
+    n = kth.count()
+    left = bounds.join(small(kth, n), "query").where((F.col("have") < k) | (F.col("upper") >= F.col("least")))
+    left = written(left.select("query", "row", "upper"), "va-left")
+    first = best_of(left, "query", [F.desc("upper"), F.col("row")], 2 * k).drop("upper")
+    first = written(exact_scores(first, queries, classes, n), "va-first")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.desc("wide")))  # 2k rows a query
+    sure = written(first.withColumn("n", nth).where(F.col("n") == k).select("query", (F.col("wide") - F.col("slack")).alias("sure")), "va-sure")
+    rest = left.join(small(sure, n), "query").where(F.col("upper") >= F.col("sure")).select("query", "row").join(first.select("query", "row"), ["query", "row"], "left_anti")
+    found = first.unionByName(exact_scores(rest, queries, classes, n))
+    each = found.select("query_id", "row", "score", "wide", F.explode("ids").alias("vec_id")).where(~F.col("vec_id").eqNullSafe(F.col("query_id")))
+    beyond = F.when(F.abs("wide") >= 2.0**63, F.col("wide")).otherwise(0.0)
+    return best_of(each, "query_id", [F.desc("score"), F.desc(beyond), F.col("vec_id").isNull(), F.col("vec_id")], k, "rank").select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """
