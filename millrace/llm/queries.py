@@ -58,6 +58,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the scan that SQL can say: the fixed patterns' matches, from the same operator."""
+    return secrets.scan(table(spark, sf_dir, "documents"), words=[]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through monolithic archives, normalised ones and back."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -79,12 +84,14 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_vafile_topk": op10_vafile_topk,
+    "secret_base_spans": secret_base_spans,
 }
 ORACLES = {
     "op3_line_dedup": linededup.SQL,
     "op4_source_mixing": mixing.SQL,
     "op5_decontamination": decontaminate.SQL,
     "op7_near_duplicates": neardup.SQL,
+    "secret_base_spans": secrets.BASE_SQL,
     "op9_warc_round_trip": warc.SQL,
     "op10_vafile_topk": vafile.SQL,
 }

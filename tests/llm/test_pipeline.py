@@ -48,4 +48,4 @@ def test_run_on_odd_rows_and_on_nothing(spark, tmp_path):
 
 
 def test_each_operator_has_its_query():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES if name.startswith("op")] == [f"op{n}" for n in range(1, 11)]

@@ -5,6 +5,7 @@ import pytest
 
 from millrace.llm import secrets
 
+from ..compare import same
 from .helpers import frame, odd_rows, rng
 
 CASES = [
@@ -67,6 +68,59 @@ def test_context_adds_values(spark):
     assert out == {1: "guess:10:21", 2: "", 3: ""}
 
 
+def test_a_rejected_value_may_hold_another_context(spark):
+    texts = ["passcode: hU7#kq9zLw2!", "pwd: password: hU7#kq9zLw2!", "credential: passcode: hU7#kq9zLw2!", "pwd=pin:pass:hU7#kq9zLw2!"]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), words=[]).collect()}
+    assert [texts[i][slice(*map(int, out[i].split(":")[1:]))] for i in range(4)] == ["hU7#kq9zLw2", "hU7#kq9zLw2", "hU7#kq9zLw2", "pin:pass:hU7#kq9zLw2"]
+
+
+def test_every_value_in_context_is_costed(spark):
+    """Those of the fixed patterns too, whose spans stay as they are."""
+    cost = secrets.GuessCost(secrets.COMMON)
+    texts = ["token=aK3x9Lq2Zz81 and pwd: password1", "api_key: passwordpassword", "nothing here"]
+    out = {r["doc_id"]: r for r in secrets.scan(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), words=[]).collect()}
+    assert out[0]["spans"] == "assign:0:18" and out[0]["guesses"] == f"6:18:{cost('aK3x9Lq2Zz81'):.2f},28:37:{cost('password1'):.2f}"
+    assert out[1]["n_values"] == 1 and out[1]["max_log10_guesses"] == pytest.approx(cost("passwordpassword")) and out[1]["max_log10_guesses"] < 8
+    assert out[2]["n_values"] == 0 and out[2]["max_log10_guesses"] is None
+
+
+def test_words_are_learnt_from_the_corpus_but_no_secrets(spark):
+    rows = [(i, f"gribblefonk and (mimsyborogoves) pwd: qxzvkwjpltr {'zyx' * 9}", "en", "a") for i in range(30)]
+    words = secrets.corpus_words(frame(spark, rows))
+    assert set(words) == {"gribblefonk", "and", "mimsyborogoves"}
+    assert len(secrets.corpus_words(frame(spark, rows), 2)) == 2
+    easy, hard = (secrets.GuessCost(w)("gribblefonkmimsyborogoves") for w in (words, []))
+    assert easy < 6 < 20 < hard
+    assert {r["spans"] for r in secrets.scan(frame(spark, rows)).collect()} == {"guess:38:49"}
+
+
+def test_keys_that_touch():
+    touching = secrets._neighbours()
+    assert {"qw", "wq", "qa", "1q", "q2", "sx", "sz", "lk"} <= set(touching) and not {"qs", "1w", "pz", "qq"} & set(touching)
+    cost = secrets.GuessCost([])
+    assert cost("asdfghjkl") < cost("asdfgtrew") < cost("aqplzmxow")
+
+
+def test_time_is_linear():
+    import time
+
+    cost = secrets.GuessCost()
+
+    def took(n):
+        text = "".join(f'password="abcdefgh{i:06d}" ' for i in range(n)) + "pwd:" * n
+        began = time.perf_counter()
+        found = secrets.scan_text(text, cost, 8.0)
+        assert sum(s[2] == "assign" for s in found["all"]) >= n
+        return time.perf_counter() - began
+
+    took(500)
+    assert took(16_000) < 40 * max(0.02, took(1000))
+
+
+def test_base_columns_in_sql(spark, sf_dir, duck):
+    same(secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=[]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256"), duck, secrets.BASE_SQL)
+
+
 def test_odd_rows(spark):
     rows = odd_rows(rng()) + [(9, "pwd: " + "aB3$" * 5000, "en", "a")]
     out = secrets.scan(frame(spark, rows)).collect()
