@@ -3,8 +3,9 @@
 A document is its set of distinct five-word shingles. Sets are sketched into 256 registers: the top byte of a
 shingle's hash picks the register, which stores the least remaining value as its leading-zero count and ten mantissa
 bits. Documents with equal sets form one class and only classes are compared. Bands of compressed registers (empty
-ones filled by rotation) give candidates; sets of up to ``SMALL`` shingles, for which sketches are coarse, also meet by
-their prefix under a fixed order, which loses no pair. A candidate's similarity is estimated from the registers, less
+ones filled by rotation) give candidates. Sets of up to ``SPARSE`` shingles would leave too many registers empty: theirs
+are minima over the whole set under a hash of each register's own, compressed likewise; sets between ``DENSE`` and
+``SPARSE`` have both kinds. Sets of up to ``SMALL`` shingles meet by their prefix under a fixed order, which loses no pair. A candidate's similarity is estimated from the registers, less
 the collisions expected by chance, and what may reach the threshold is verified on the full sets.
 
 Pairs in a band's bucket are not expanded. Every member meets the bucket's centre, another one in each band, in two
@@ -37,23 +38,28 @@ from .shingles import mix, shingle_set
 WORDS = 5
 REGISTERS, MANTISSA, REST = 256, 10, 56
 BAND, BANDS = 4, 34
-#: Sets of up to so many shingles leave many registers empty, whose borrowed values make bands alike: they get all bands there are.
-SPARSE, MORE_BANDS = 160, 64
+#: Sets of up to SPARSE shingles have registers of one hash each, those over DENSE shared ones; a pair at 75 % and more shares a kind.
+DENSE, SPARSE = 120, 160
 #: The share of buckets, one in so many, whose stars are looked at first.
 EARLY = 8
 SMALL = 40
 BLOCK = 60_000
 
 
+def compressed(minima: np.ndarray, bits: int) -> np.ndarray:
+    """1, leading zeros of a number of ``bits`` bits, and the mantissa's first bits."""
+    part, exponent = np.frexp(minima.astype(np.float64))
+    zeros = np.minimum(bits - exponent, bits)
+    mantissa = np.clip((part - 0.5) * 2 * (1 << MANTISSA), 0, (1 << MANTISSA) - 1).astype(np.int64)
+    return 1 + (zeros.astype(np.int64) << MANTISSA) + mantissa
+
+
 def registers(shingles: np.ndarray) -> np.ndarray:
     """256 compressed minima of a sorted set of hashes; 0 where a register is empty."""
     out = np.zeros(REGISTERS, np.uint16)
     bucket = (shingles >> np.uint64(REST)).astype(np.int64)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
-    part, exponent = np.frexp((shingles[first] & np.uint64((1 << REST) - 1)).astype(np.float64))
-    zeros = np.minimum(REST - exponent, REST)
-    mantissa = np.clip((part - 0.5) * 2 * (1 << MANTISSA), 0, (1 << MANTISSA) - 1).astype(np.int64)
-    out[bucket[first]] = 1 + (zeros.astype(np.int64) << MANTISSA) + mantissa
+    out[bucket[first]] = compressed(shingles[first] & np.uint64((1 << REST) - 1), REST)
     return out
 
 
@@ -61,19 +67,39 @@ def registers(shingles: np.ndarray) -> np.ndarray:
 _ORDER = np.argsort(mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(977)))
 
 
-def band_keys(regs: np.ndarray, n: int) -> np.ndarray:
-    """A key for each band of ``BAND`` registers of a set of ``n`` shingles."""
-    full = np.flatnonzero(regs)
-    lent = full[np.searchsorted(full, np.arange(REGISTERS)) % len(full)]
-    values = regs[lent].astype(np.uint64)[_ORDER]
-    bands = MORE_BANDS if n <= SPARSE else BANDS
-    rows = values[: bands * BAND].reshape(bands, BAND)
-    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
+_SEEDS = mix(np.arange(BANDS * BAND, dtype=np.uint64) + np.uint64(31337))
+
+
+def _bands(values: np.ndarray, salt: int) -> np.ndarray:
+    rows = values[: BANDS * BAND].astype(np.uint64).reshape(BANDS, BAND)
+    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(salt)
     for k in range(BAND):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
     return key
 
 
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """A key for each band of ``BAND`` shared registers."""
+    full = np.flatnonzero(regs)
+    lent = full[np.searchsorted(full, np.arange(REGISTERS)) % len(full)]
+    return _bands(regs[lent][_ORDER], 1)
+
+
+def sparse_keys(shingles: np.ndarray) -> np.ndarray:
+    """A key for each band of ``BAND`` registers with a hash of their own."""
+    return _bands(compressed(mix(shingles[None, :] ^ _SEEDS[:, None]).min(1), 64), 1000)
+
+
+def set_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The keys by which a set meets others besides those of shared registers."""
+    n, out = len(shingles), []
+    if 0 < n <= SMALL * den // num + 1:
+        out.append(mix(prefix_keys(shingles, num, den)))
+    if SMALL < n <= SPARSE:
+        out.append(sparse_keys(shingles))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def prefix_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     """The least hashes of a set of which any set at least ``num/den`` similar shares one."""
     n = len(shingles)
@@ -96,18 +122,17 @@ def may_reach(equal, either, by_chance, threshold: float):
 
 
 def signatures(docs: DataFrame, num: int, den: int) -> DataFrame:
-    """(doc_id, version, n_shingles, h1, h2, regs, prefix): one read of the texts.
+    """(doc_id, version, n_shingles, h1, h2, regs, keys): one read of the texts.
 
-    version tells texts of one doc_id apart; h1 and h2 are 128 bits of the set, null without shingles; prefix has the
-    keys by which small sets meet.
+    version tells texts of one doc_id apart; h1 and h2 are 128 bits of the set, null without shingles; keys are those of
+    sets of up to ``SPARSE`` shingles.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, version long, n_shingles long, h1 long, h2 long, regs binary, prefix binary"
-    bound = SMALL * den // num + 1
+    schema = f"doc_id {kind}, version long, n_shingles long, h1 long, h2 long, regs binary, keys binary"
 
     def work(batches):
         for batch in batches:
-            n, h1, h2, regs, prefix = [], [], [], [], []
+            n, h1, h2, regs, keys = [], [], [], [], []
             for value in batch.column("text"):
                 found = shingle_set(value.as_py(), WORDS)
                 n.append(len(found))
@@ -115,18 +140,18 @@ def signatures(docs: DataFrame, num: int, den: int) -> DataFrame:
                 h1.append(int.from_bytes(digest[:8], "little", signed=True) if len(found) else None)
                 h2.append(int.from_bytes(digest[8:], "little", signed=True) if len(found) else None)
                 regs.append(registers(found).tobytes() if len(found) else None)
-                prefix.append(prefix_keys(found, num, den).tobytes() if 0 < len(found) <= bound else None)
-            columns = [batch.column("doc_id"), batch.column("version"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(regs, pa.binary()), pa.array(prefix, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "n_shingles", "h1", "h2", "regs", "prefix"])
+                keys.append(set_keys(found, num, den).tobytes() or None)
+            columns = [batch.column("doc_id"), batch.column("version"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(regs, pa.binary()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "n_shingles", "h1", "h2", "regs", "keys"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(work, schema)
 
 
 def set_classes(signed: DataFrame) -> DataFrame:
-    """(node, h1, h2, doc_id, version, n_shingles, regs, prefix): a row per distinct set, with its least document.
+    """(node, h1, h2, doc_id, version, n_shingles, regs, keys): a row per distinct set, with its least document.
     Copies are merged before the shuffle, so a large group of them weighs no more than another."""
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "n_shingles", "regs", "prefix")).alias("m")
-    return signed.where("n_shingles > 0").groupBy("h1", "h2").agg(least).select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "m.doc_id", "m.version", "m.n_shingles", "m.regs", "m.prefix")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "n_shingles", "regs", "keys")).alias("m")
+    return signed.where("n_shingles > 0").groupBy("h1", "h2").agg(least).select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "m.doc_id", "m.version", "m.n_shingles", "m.regs", "m.keys")
 
 
 def bucket_rows(classes: DataFrame) -> DataFrame:
@@ -136,15 +161,15 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             nodes, keys = [], []
-            for node, n, regs, prefix in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "regs", "prefix")), strict=True):
-                for found in ([band_keys(np.frombuffer(regs, np.uint16), n)] if n > SMALL else []) + ([mix(np.frombuffer(prefix, np.uint64))] if prefix else []):
+            for node, n, regs, own in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "regs", "keys")), strict=True):
+                for found in ([band_keys(np.frombuffer(regs, np.uint16))] if n > DENSE else []) + ([np.frombuffer(own, np.uint64)] if own else []):
                     keys.append(found.view(np.int64))
                     nodes.append(np.full(len(found), node, np.int64))
             if keys:
                 key = np.concatenate(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate(nodes) ^ key)], names=["key", "x"])
 
-    return classes.select("node", "n_shingles", "regs", "prefix").mapInArrow(work, "key long, x long")
+    return classes.select("node", "n_shingles", "regs", "keys").mapInArrow(work, "key long, x long")
 
 
 def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -219,18 +244,20 @@ def compare_block(one: list[np.ndarray], two: list[np.ndarray], allowed: np.ndar
     """(index in one, index in two) of the links among ``allowed`` pairs of sets that share the bucket ``key``. A pair that shares
     several buckets is met in the first of its bands."""
 
-    def sides(sets):
+    def sides(sets, none):
         regs = np.stack([registers(x) for x in sets])
-        keys = np.zeros((len(sets), MORE_BANDS), np.uint64)
+        keys = np.full((len(sets), 2 * BANDS), none, np.uint64)  # ``none`` differs between the sides, so it never meets itself
         for row, r, x in zip(keys, regs, sets, strict=True):
-            found = band_keys(r, len(x))
-            row[: len(found)] = found
+            if SMALL < len(x) <= SPARSE:
+                row[:BANDS] = sparse_keys(x)
+            if len(x) > DENSE:
+                row[BANDS:] = band_keys(r)
         return regs, keys.view(np.int64), np.array([len(x) for x in sets])
 
     rows = np.flatnonzero(allowed.any(1))
     if not len(rows):
         return
-    (regs_one, keys_one, n_one), (regs_two, keys_two, n_two) = sides(one), sides(two)
+    (regs_one, keys_one, n_one), (regs_two, keys_two, n_two) = sides(one, 0), sides(two, 1)
     likely, postings = chance(n_two), Postings(two)
     for k in rows:
         n = n_one[k]
