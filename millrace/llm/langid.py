@@ -2,7 +2,8 @@
 
 N-grams of one to three characters of the lower-cased text, with every run of other characters as one space, are
 hashed into ``DIMENSIONS`` features. Document frequencies count every training text. The classifier is fitted on a
-bounded sample - at most ``sample`` labelled documents, dealt evenly over the languages by a hash of doc_id - by
+bounded sample - at most ``sample`` labelled documents, dealt evenly over the languages by a hash of doc_id, one language
+each if there are more languages than that - by
 follow-the-regularised-leader with elastic-net penalties, one document at a time; a sixth of the sample, left out of
 the fit, sets the temperature of the scores. Whole texts are used throughout.
 
@@ -11,8 +12,9 @@ never inputs of a prediction.
 
 Defined cases: a null doc_id counts as an empty one (held out); texts that are null or have no letter are ``und`` with
 score 0, as is every text if there is nothing to learn from; with one language every text with a letter gets it, score
-1; ties go to the language first in code-point order. Repeated rows get equal results; very long texts are worked
-through in pieces of ``PIECE`` characters whose counts are added up.
+1; ties go to the language first in code-point order. Repeated rows get equal results and are learnt from once; very long
+texts are worked through in pieces of about ``PIECE`` characters, with the same counts as in one. Other columns, of any name,
+come through ``keep_identified``.
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import small, written
+from .common import own, packed, small, unpacked, written
 
 DIMENSIONS = 1 << 16
 PIECE = 1 << 20
@@ -35,43 +38,56 @@ _LETTERS = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
 
 def _codes(text: str) -> np.ndarray:
-    """Lower-case letters as code points, runs of anything else as one 0."""
+    """Lower-case letters as code points, anything else as 0."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _LETTERS[np.minimum(c, 0xFFFF)]
     far = np.flatnonzero(c > 0xFFFF)
     if len(far):
         letter[far] = [chr(x).isalpha() for x in c[far]]
-    c = np.where(letter, c, 0)
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    return np.concatenate([np.zeros(1, np.uint32), c[keep], np.zeros(int(bool(letter[-1:].all())), np.uint32)])
+    return np.where(letter, c, np.uint32(0))
 
 
-def _grams(c: np.ndarray) -> np.ndarray:
-    """Feature numbers of the n-grams, one to three characters, that hold a letter."""
+def _grams(c: np.ndarray, new: int) -> np.ndarray:
+    """Feature numbers of the n-grams, one to three characters, that end in the last ``new`` codes and hold a letter."""
     a = c * np.uint32(2654435761)
     b = c * np.uint32(2246822519) + np.uint32(374761393)
     d = c * np.uint32(3266489917) + np.uint32(668265263)
     two = a[:-1] ^ b[1:]
     three = (two[:-1] * np.uint32(2654435769)) ^ d[2:]
-    found = np.concatenate([a[c > 0], two, three])
+    found = np.concatenate([a[-new:][c[-new:] > 0], two[-new:], three[-new:]])
     found ^= found >> np.uint32(15)
     found *= np.uint32(2246822507)
     return (found >> np.uint32(16)).astype(np.int64)
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """Pieces that end behind something that isn't a letter, where there is one, so that lower-casing sees whole words."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + PIECE)
+        cut = end
+        while end < len(text) and cut > at and text[cut - 1].isalpha():
+            cut -= 1
+        end = cut if cut > at else end
+        yield text[at:end]
+        at = end
+
+
 def gram_counts(text: str | None) -> np.ndarray | None:
-    """Occurrences of every feature; None without a letter."""
+    """Occurrences of every feature; None without a letter. Runs of what isn't a letter count as one space, at both ends, too."""
     if not text:
         return None
-    total = None
-    for at in range(0, len(text), PIECE):
-        c = _codes(text[max(0, at - 2) : at + PIECE] if at else text[:PIECE])
-        if not c.any():
-            continue
-        counts = np.bincount(_grams(c), minlength=DIMENSIONS)
-        total = counts if total is None else total + counts
-    return total
+    total, tail = np.zeros(DIMENSIONS, np.int64), np.zeros(1, np.uint32)
+    for piece in (*_pieces(text), " "):
+        c = np.concatenate([tail, _codes(piece)])
+        keep = c > 0
+        keep[1:] |= c[:-1] > 0
+        fresh = c[len(tail) :][keep[len(tail) :]]
+        if len(fresh):
+            c = np.concatenate([tail, fresh])
+            total += np.bincount(_grams(c, len(fresh)), minlength=DIMENSIONS)
+            tail = c[-2:]
+    return total if len(tail) > 1 else None
 
 
 def held_out(doc_id: Column) -> Column:
@@ -120,27 +136,32 @@ def sample_features(training: DataFrame, sample: int, seed: int) -> list[tuple[s
     share = F.shiftrightunsigned("h", 11) / float(1 << 53)
     keys = keys.join(small(counts, languages), "lang").where(share * F.col("docs") <= 2.0 * each + 20)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select(F.col("doc_id").alias("__id")).distinct().limit(sample)
-    picked = written(picked, "langid-sample")
-    rows = training.join(small(picked, sample), F.col("doc_id") == F.col("__id"), "left_semi").select("doc_id", "lang", "text")
-    schema = pa.schema([("lang", pa.string()), ("doc_id", pa.string()), ("features", pa.binary()), ("counts", pa.binary())])
+    picked = keys.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
+    picked = written(picked.groupBy("h", F.col("doc_id").alias("own_id")).agg(F.lit(1).alias("one")).orderBy("h", "own_id").limit(sample), "langid-sample")
+    rows = training.join(small(picked, sample), F.col("doc_id") == F.col("own_id"), "left_semi")
+    # rows that share an id: equal ones once, and of others no more than the sample has room for
+    rows = rows.select("doc_id", "lang", "text", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("version"))
+    schema = pa.schema([("lang", pa.string()), ("doc_id", pa.string()), ("h", pa.int64()), ("version", pa.int64()), ("features", pa.binary()), ("counts", pa.binary())])
 
     def extract(batches):
         for batch in batches:
             out = []
-            for lang, doc_id, value in zip(batch.column("lang").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for lang, doc_id, h, version, value in zip(*(batch.column(c).to_pylist() for c in ("lang", "doc_id", "h", "version")), batch.column("text"), strict=True):
                 counts = gram_counts(value.as_py())
                 if counts is not None:
                     at = np.flatnonzero(counts)
-                    out.append((lang, str(doc_id), at.astype(np.int32).tobytes(), np.minimum(counts[at], 2**31 - 1).astype(np.int32).tobytes()))
+                    out.append((lang, str(doc_id), h, version, at.astype(np.int32).tobytes(), np.minimum(counts[at], 2**31 - 1).astype(np.int32).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
-    found = written(rows.mapInArrow(extract, "lang string, doc_id string, features binary, counts binary"), "langid-features", as_dealt=True).toArrow()
-    order = sorted(range(found.num_rows), key=lambda i: (found["doc_id"][i].as_py(), found["lang"][i].as_py(), len(found["features"][i].as_py())))
+    found = rows.mapInArrow(extract, "lang string, doc_id string, h long, version long, features binary, counts binary")
+    place = ["h", "doc_id", "lang", "version"]
+    found = found.groupBy(*place).agg(F.first("features").alias("features"), F.first("counts").alias("counts")).orderBy(*place).limit(sample)
+    found = written(found, "langid-features").toArrow()
+    order = sorted(range(found.num_rows), key=lambda i: (found["doc_id"][i].as_py(), found["lang"][i].as_py(), found["version"][i].as_py()))
     # views of the table's own buffers
     part = lambda name, i: np.frombuffer(found[name][i].as_buffer(), np.int32)
-    return [(found["lang"][i].as_py(), part("features", i), part("counts", i)) for i in order[: 4 * sample]]
+    return [(found["lang"][i].as_py(), part("features", i), part("counts", i)) for i in order]
 
 
 @dataclass
@@ -151,18 +172,23 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
 
-    def logits(self, index: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return vector(index, count, self.idf) @ self.weights[index] + self.bias
+    def parts(self) -> tuple:
+        """What workers need, as plain arrays and names: no class that only the driver may know travels."""
+        return self.languages, self.idf, self.weights, self.bias, self.temperature
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts = gram_counts(text)
-        if counts is None or not self.languages:
-            return UNKNOWN, 0.0
-        at = np.flatnonzero(counts)
-        z = self.logits(at, counts[at]) / self.temperature
-        p = np.exp(z - z.max())
-        best = int(np.argmax(p))
-        return self.languages[best], float(p[best] / p.sum())
+        return predict_text(text, *self.parts())
+
+
+def predict_text(text: str | None, languages: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float) -> tuple[str, float]:
+    counts = gram_counts(text)
+    if counts is None or not languages:
+        return UNKNOWN, 0.0
+    at = np.flatnonzero(counts)
+    z = (vector(at, counts[at], idf) @ weights[at] + bias) / temperature
+    p = np.exp(z - z.max())
+    best = int(np.argmax(p))
+    return languages[best], float(p[best] / p.sum())
 
 
 class Ftrl:
@@ -230,14 +256,14 @@ def train(docs: DataFrame, *, sample: int = 3000, seed: int = 11) -> Model:
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score (replaced if they exist), from the text alone."""
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "lang_pred string", "score double"])
+    rows = docs.select(*[own(c) for c in columns])
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            found = [known.predict(value.as_py()) for value in batch.column("text")]
+            found = [predict_text(value.as_py(), *known) for value in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     return rows.mapInArrow(work, schema)
@@ -251,6 +277,5 @@ def identify(docs: DataFrame, *, sample: int = 3000) -> DataFrame:
 
 def keep_identified(docs: DataFrame, *, least: float = 0.3, sample: int = 3000) -> DataFrame:
     """``docs``, in its own columns, less those whose language is unknown or scored below ``least``."""
-    found = predict(docs.withColumnsRenamed({"score": "__score", "lang_pred": "__lang_pred"}), train(docs, sample=sample))
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"__score": "score", "__lang_pred": "lang_pred"})
+    found = predict(packed(docs, "text"), train(docs, sample=sample))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*unpacked(docs.columns))

@@ -6,16 +6,17 @@ merged and removed, so a passage of many lines goes as one piece while its first
 
 Defined cases: null text stays null and has no windows; texts with fewer than three non-blank lines stay as they
 are; blank lines are never removed. Rows equal in doc_id and text count as one occurrence and get the same result;
-rows that share a doc_id with other text are ordered by a hash of it. A null doc_id comes last. Only DataFrame
-functions are used. Windows are compared by 128 bits of hash.
+rows that share a doc_id with other text are ordered by a hash of it. A null doc_id comes last. Other columns, of any name,
+are carried through; ``dedup_lines`` replaces an n_lines and an n_removed. Only DataFrame functions are used. Windows are
+compared by 128 bits of hash. Texts are only shuffled if the documents with repeats are too many for a broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind, written
+from .common import bind, packed, small, unpacked, written
 
 WINDOW = 3
 _BLANK_TEXT = r"\A[\x20\x09-\x0D]*\z"
@@ -46,35 +47,40 @@ def repeats(windows: DataFrame) -> DataFrame:
     return again.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with its text less the repeated passages, and n_lines and n_removed (replaced if they exist)."""
-    again = repeats(written(line_windows(docs), "line-windows", as_dealt=True)).select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("starts").alias("__starts"))
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(again, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left")
-    covered = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1)))))
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """(row, text, n_lines, n_removed): the packed row, and its text less the repeated passages."""
+    again = repeats(written(line_windows(docs), "line-windows", as_dealt=True)).select(F.col("doc_id").alias("again_id"), F.col("version").alias("again_version"), "starts")
+    again = written(again, "line-repeats")
+    rows = packed(docs, "doc_id", "text").withColumn("version", F.xxhash64("text"))
+    joined = rows.join(small(again, again.count()), F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("version") == F.col("again_version")), "left")
+    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (WINDOW - 1)))))
 
-    def left(lines):
+    def left(lines: Column) -> Column:
         numbers = F.sequence(F.lit(0), F.size(lines) - 1)
         solid = F.filter(numbers, lambda i: ~F.get(lines, i).rlike(_BLANK))
         gone = bind(solid, lambda at: F.transform(covered, lambda k: F.get(at, k)))
         return F.array_join(F.transform(F.array_except(numbers, gone), lambda i: F.get(lines, i)), "\n")
 
-    text = F.when(F.col("__starts").isNull(), F.col("text")).otherwise(bind(F.split("text", "\n", -1), left))
-    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    return joined.select(
-        *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.coalesce(n_lines, F.lit(0)).alias("n_lines"),
-        F.when(F.col("__starts").isNull(), F.lit(0)).otherwise(F.size(covered)).alias("n_removed"),
-    )
+    text = F.when(F.col("starts").isNull(), F.col("text")).otherwise(bind(F.split("text", "\n", -1), left))
+    n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    n_removed = F.when(F.col("starts").isNull(), F.lit(0)).otherwise(F.size(covered))
+    return joined.select("row", text.alias("text"), n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+
+
+def _columns(columns: list[str]) -> list[Column]:
+    return [F.col("text") if c == "text" else field for c, field in zip(columns, unpacked(columns), strict=True)]
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with its text less the repeated passages, and n_lines and n_removed (replaced if they exist)."""
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return without_repeats(docs).select(*_columns(columns), "n_lines", "n_removed")
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` in its own columns, repeated passages removed from its texts; rows of which no line with text is left go."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    hidden = {c: f"__own_{c}" for c in docs.columns if c in ("n_lines", "n_removed")}
-    out = dedup_lines(docs.withColumnsRenamed(hidden))
-    out = out.where((F.col("n_removed") == 0) | ~F.col("text").rlike(_BLANK_TEXT)).drop("n_lines", "n_removed")
-    return out.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*columns)
+    out = without_repeats(docs)
+    return out.where((F.col("n_removed") == 0) | ~F.col("text").rlike(_BLANK_TEXT)).select(*_columns(docs.columns))
 
 
 #: The same in DuckDB, on the lines themselves.

@@ -1,22 +1,26 @@
 """Token counts as rollups that deltas maintain.
 
 Totals of documents and tokens by source, language and tokenizer version are sums of signed rows, so they are updated
-by adding a batch's rows: an insert adds a document's count, a delete takes away whatever its id has, a revision does
-both. A batch is committed by creating a marker that names the files it wrote; the creation is atomic and never
-overwrites, so a batch that is sent again, or twice at once, counts once, and files of a broken attempt are never read.
+by adding a batch's rows: an insert adds a document's count, a delete takes away whatever its id has, in every version, a
+revision does both. A batch is committed by an entry in a numbered log, made by a creation that never overwrites; the entry
+names the batch and the files it wrote. So a batch that is sent again counts once, files of a broken attempt are never read,
+and of two batches that were computed on the same state one is committed and the other computed anew.
 
 A ledger keeps the signed rows per document, from which the counts that a deletion takes away are known without its
-text; revisions that change neither text, source nor language are left out before anything is tokenised.
+text; revisions that change neither text, source, language nor tokenizer are left out before anything is tokenised. Every
+``COMPACT`` entries the net ledger and rollup are written anew, and older files are read no more.
 
 Defined cases: null and empty texts have 0 tokens; a null doc_id, source or language is a value like any other; repeated
 rows of a batch count as often as they are given, under one key; texts are tokenised whole; special tokens' strings are
-ordinary text; an empty batch is committed and changes nothing; other columns play no part.
+ordinary text; an empty batch is committed and changes nothing; other columns play no part. An entry that its writer never
+filled stops further batches with an error that names it.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import uuid
 
 import pyarrow as pa
@@ -65,9 +69,15 @@ def public_tokenizer(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -
     return Tokenizer(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
+class Conflict(RuntimeError):
+    """A log entry that another writer made first."""
+
+
 class TokenRollup:
     """Rollups under ``root``, a folder that the driver and all executors share."""
 
+    COMPACT, ATTEMPTS = 32, 8
+
     def __init__(self, spark: SparkSession, root: str, tokenizer: Tokenizer):
         self.spark, self.root, self.tokenizer = spark, root.rstrip("/"), tokenizer
 
@@ -76,61 +86,93 @@ class TokenRollup:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def batches(self) -> list[str]:
-        """The attempts that count, in the order of their batches' names."""
-        fs, path = self._path("commits")
+    def log(self) -> list[dict]:
+        """The entries since the last compaction, it included, oldest first: small files, read from the newest back."""
+        fs, path = self._path("log")
         if not fs.exists(path):
             return []
-        names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getLen() > 0)
-        return [self.spark.read.text(f"{self.root}/commits/{n}").first()[0] for n in names]
-
-    def committed(self, batch_id: str) -> bool:
-        fs, path = self._path(f"commits/{self._name(batch_id)}")
-        return fs.exists(path)
-
-    @staticmethod
-    def _name(batch_id: str) -> str:
-        return base64.urlsafe_b64encode(batch_id.encode()).decode().rstrip("=") + ".commit"
-
-    def _commit(self, batch_id: str, attempt: str) -> bool:
-        """Whether this attempt is the batch's first to be committed."""
-        fs, mine = self._path(f"attempts/{attempt}.name")
-        stream = fs.create(mine, True)
-        stream.write(bytearray(attempt.encode()))
+        found = []
+        for name in sorted((s.getPath().getName() for s in fs.listStatus(path)), reverse=True):
+            stream = fs.open(self._path(f"log/{name}")[1])
+            try:
+                data = bytes(stream.readAllBytes())
+            finally:
+                stream.close()
+            if not data:
+                raise Conflict(f"{self.root}/log/{name} is empty: its writer is at work, or died; delete it in that case")
+            found.append(json.loads(data))
+            if found[-1]["compacted"]:
+                break
+        return found[::-1]
+
+    def _enter(self, number: int, entry: dict) -> None:
+        fs, path = self._path(f"log/{number:012d}")
+        try:
+            stream = fs.create(path, False)  # an error if it is there
+        except Exception as error:
+            if "FileAlreadyExists" in str(error):
+                raise Conflict(f"entry {number} was made by another writer") from error
+            raise
+        stream.write(bytearray(json.dumps({"number": number, **entry}).encode()))
         stream.close()
-        _, marker = self._path(f"commits/{self._name(batch_id)}")
-        fs.mkdirs(marker.getParent())
-        if fs.exists(marker):
-            return False
-        return bool(fs.rename(mine, marker))  # never replaces a file
-
-    def _read(self, part: str, schema: str) -> DataFrame:
-        paths = [f"{self.root}/{part}/{a}" for a in self.batches()]
+
+    def batches(self) -> set[str]:
+        """The batches that count."""
+        return {b for entry in self.log() for b in entry["batches"]}
+
+    def _read(self, part: str, schema: str, log: list[dict] | None = None) -> DataFrame:
+        paths = [f"{self.root}/{part}/{entry['attempt']}" for entry in (self.log() if log is None else log)]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def ledger(self) -> DataFrame:
+    def ledger(self, log: list[dict] | None = None) -> DataFrame:
         """What every document counts now, by source, language and tokenizer."""
-        held = self._read("ledger", LEDGER).groupBy("key", "version", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        held = self._read("ledger", LEDGER, log).groupBy("key", "version", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return held.where("docs <> 0 or tokens <> 0")
 
-    def totals(self) -> DataFrame:
+    def totals(self, log: list[dict] | None = None) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens), from the batches' rollups alone."""
-        sums = self._read("rollup", ROLLUP).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        sums = self._read("rollup", ROLLUP, log).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs <> 0 or tokens <> 0")
 
+    def compact(self) -> None:
+        """Writes the net ledger and rollup as one entry that stands for all before it."""
+        log = self.log()
+        if len(log) < 2:
+            return
+        attempt = f"compacted-{uuid.uuid4().hex}"
+        self.ledger(log).write.parquet(f"{self.root}/ledger/{attempt}")
+        self.totals(log).write.parquet(f"{self.root}/rollup/{attempt}")
+        self._enter(log[-1]["number"] + 1, {"batches": sorted({b for e in log for b in e["batches"]}), "attempt": attempt, "compacted": True})
+
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Counts a batch: rows of (op, doc_id, source, lang, text), op insert, delete or revise. False if it was
         committed before, which changes nothing."""
-        if self.committed(batch_id):
-            return False
-        attempt = f"{self._name(batch_id)}-{uuid.uuid4().hex}"
+        for turn in range(self.ATTEMPTS):
+            log = self.log()
+            if any(batch_id in entry["batches"] for entry in log):
+                return False
+            attempt = f"{base64.urlsafe_b64encode(batch_id.encode()).decode().rstrip('=')[:80]}-{uuid.uuid4().hex}"
+            self._write(attempt, changes, log)
+            try:
+                self._enter(log[-1]["number"] + 1 if log else 0, {"batches": [batch_id], "attempt": attempt, "compacted": False})
+            except Conflict:
+                if turn == self.ATTEMPTS - 1:
+                    raise
+                continue
+            if len(log) + 1 >= self.COMPACT:
+                self.compact()
+            return True
+        return False
+
+    def _write(self, attempt: str, changes: DataFrame, log: list[dict]) -> None:
+        """The signed rows of a batch against the state of ``log``, and their sums."""
         key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
         rows = changes.select("op", key.alias("key"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), "text")
-        held = self.ledger().where(F.col("tokenizer") == self.tokenizer.version)
-        if self.batches():
+        if log:
+            held = self.ledger(log)
             # a key whose revisions are what it holds already is left out, whole: its texts aren't tokenised again
-            revised = rows.where("op = 'revise'")
-            own = ["key", "version", "source", "lang"]
+            revised = rows.where("op = 'revise'").withColumn("tokenizer", F.lit(self.tokenizer.version))
+            own = ["key", "version", *KEYS]
             now = held.join(revised.select("key").distinct(), "key", "left_semi").select(*own, (-F.col("docs")).alias("d"))
             changed = revised.select(*own, F.lit(1).cast("long").alias("d")).unionByName(now).groupBy(*own).agg(F.sum("d").alias("d")).where("d <> 0").select("key").distinct()
             changed = written(changed, "token-changes")
@@ -145,15 +187,25 @@ class TokenRollup:
         more.unionByName(less).write.parquet(f"{self.root}/ledger/{attempt}")
         signed = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger/{attempt}")
         signed.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.parquet(f"{self.root}/rollup/{attempt}")
-        return self._commit(batch_id, attempt)
 
 
 def corpus_totals(docs: DataFrame, root: str, tokenizer: Tokenizer) -> DataFrame:
-    """The totals of a corpus after its load, the same load sent again, and a refresh that revises every document."""
+    """The totals of a corpus that reached its present state by deltas.
+
+    Documents fall in 20 classes by a hash of their id. The load has those of one class as drafts, under another source and
+    with a line more, and is sent twice; a batch deletes another class and revises the drafts to what the table holds; the next
+    one inserts the deleted documents again and revises a third class without a change. Then the log is compacted.
+    """
     spark = docs.sparkSession
     rollup = TokenRollup(spark, root, tokenizer)
-    load = docs.select(F.lit("insert").alias("op"), "doc_id", "source", "lang", "text")
-    rollup.apply("load", load)
-    rollup.apply("load", load)
-    rollup.apply("refresh", load.withColumn("op", F.lit("revise")))
+    part = F.pmod(F.xxhash64(F.lit("delta"), F.col("doc_id").cast("string")), F.lit(20))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), "lang", "text").withColumn("part", part)
+    op = lambda name: F.lit(name).alias("op")
+    draft = rows.withColumns({"source": F.when(F.col("part") == 0, F.concat(F.lit("draft of "), F.coalesce("source", F.lit("?")))).otherwise(F.col("source")), "text": F.when(F.col("part") == 0, F.concat(F.coalesce("text", F.lit("")), F.lit("\nto be revised"))).otherwise(F.col("text"))})
+    load = draft.select(op("insert"), "*")
+    changes = rows.where("part = 1").select(op("delete"), "*").withColumn("text", F.lit(None).cast("string")).unionByName(rows.where("part = 0").select(op("revise"), "*"))
+    again = rows.where("part = 1").select(op("insert"), "*").unionByName(rows.where("part = 2").select(op("revise"), "*"))
+    for name, batch in (("load", load), ("load", load), ("changes", changes), ("again", again), ("changes", changes)):
+        rollup.apply(name, batch)
+    rollup.compact()
     return rollup.totals()

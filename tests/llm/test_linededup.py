@@ -57,3 +57,15 @@ def test_stage_drops_what_is_left_blank(spark):
 def test_sql(spark, sf_dir, duck):
     out = linededup.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text", "n_lines", "n_removed")
     same(out, duck, linededup.SQL)
+
+
+def test_columns_of_any_name_come_through(spark):
+    passage = "\n".join(f"line {k} of it" for k in range(4))
+    docs = spark.createDataFrame([(1, passage), (2, f"start\n{passage}"), (3, passage)], "doc_id long, text string")
+    names = ["__id", "__version", "version", "row", "starts", "again_id", "n_lines", "n_removed", "a.b"]
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] * 10 + k)
+    out = linededup.drop_repeated_lines(docs)
+    rows = out.collect()
+    assert out.columns == docs.columns and {r["doc_id"]: r["text"] for r in rows} == {1: passage, 2: "start"}
+    assert all(r[name] == r["doc_id"] * 10 + k for r in rows for k, name in enumerate(names))

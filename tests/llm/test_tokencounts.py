@@ -2,6 +2,7 @@ import base64
 from collections import defaultdict
 
 import public_tokenizers
+import pytest
 import tiktoken
 
 from millrace.llm import tokencounts
@@ -38,7 +39,11 @@ def change(op, doc_id, text, lang="en", source="a"):
 
 def test_load_of_odd_rows(spark):
     rows = odd_rows(rng()) + [(20, "<|endoftext|> as plain text", "en", "a")]
-    out = tokencounts.corpus_totals(frame(spark, rows), new_path(spark, "r"), tokencounts.public_tokenizer(spark))
+    rows += [(100 + i, f"document {i} of some", "en", "a") for i in range(300)]  # of every class of changes
+    root = new_path(spark, "r")
+    out = tokencounts.corpus_totals(frame(spark, rows), root, tokencounts.public_tokenizer(spark))
+    ledger = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/ledger")
+    assert ledger.where("docs < 0 and source like 'draft of %'").count() and ledger.where("docs < 0 and source = 'a'").count()
     assert {(r["source"], r["lang"]): (r["docs"], r["tokens"]) for r in out.collect()} == brute(rows)
 
 
@@ -62,9 +67,44 @@ def test_files_of_an_uncommitted_attempt_do_not_count(spark):
     roll = tokencounts.TokenRollup(spark, root, tokencounts.public_tokenizer(spark))
     roll.apply("1", changes(spark, [change("insert", 1, "one two")]))
     before = totals(roll)
-    spark.read.parquet(f"{root}/rollup/{roll.batches()[0]}").write.parquet(f"{root}/rollup/broken-attempt")
-    assert totals(roll) == before
-    assert not roll._commit("1", "a-later-attempt") and totals(roll) == before
+    spark.read.parquet(f"{root}/rollup/{roll.log()[0]['attempt']}").write.parquet(f"{root}/rollup/broken-attempt")
+    assert totals(roll) == before and roll.batches() == {"1"}
+    fs, path = roll._path("log/000000000001")
+    fs.create(path, False).close()
+    with pytest.raises(tokencounts.Conflict, match="is empty"):
+        roll.apply("2", changes(spark, [change("insert", 2, "x")]))
+    fs.delete(path, False)
+    assert roll.apply("2", changes(spark, [change("insert", 2, "x")]))
+
+
+def test_batches_at_once_are_serialised(spark):
+    """Another writer commits while a batch is being computed: it is computed anew on the state that is then."""
+    root = new_path(spark, "r")
+    mine, theirs = (tokencounts.TokenRollup(spark, root, tokencounts.public_tokenizer(spark)) for _ in range(2))
+    mine.apply("load", changes(spark, [change("insert", 1, "one two"), change("insert", 2, "three")]))
+    write, turns = mine._write, []
+
+    def slow(attempt, rows, log):
+        write(attempt, rows, log)
+        if not turns:
+            assert theirs.apply("theirs", changes(spark, [change("delete", 1, None)]))
+        turns.append(attempt)
+
+    mine._write = slow
+    assert mine.apply("mine", changes(spark, [change("delete", 1, None), change("revise", 2, "three four")]))
+    assert len(turns) == 2 and totals(mine) == brute([(2, "three four", "en", "a")])
+    assert not mine.apply("theirs", changes(spark, [])) and mine.batches() == {"load", "mine", "theirs"}
+
+
+def test_compaction_changes_nothing(spark):
+    root = new_path(spark, "r")
+    roll = tokencounts.TokenRollup(spark, root, tokencounts.public_tokenizer(spark))
+    roll.COMPACT = 3
+    for i in range(5):
+        assert roll.apply(str(i), changes(spark, [change("insert", i, f"text {i}"), change("delete", i - 2, None)]))
+    assert len(roll.log()) <= 3 and any(e["compacted"] for e in roll.log())
+    assert totals(roll) == brute([(3, "text 3", "en", "a"), (4, "text 4", "en", "a")])
+    assert not roll.apply("0", changes(spark, [change("insert", 9, "again")])) and roll.batches() == set("01234")
 
 
 def test_versions_are_kept_apart(spark):
@@ -75,3 +115,7 @@ def test_versions_are_kept_apart(spark):
     tokencounts.TokenRollup(spark, root, one).apply("1", changes(spark, [change("insert", 1, "one two")]))
     tokencounts.TokenRollup(spark, root, two).apply("2", changes(spark, [change("insert", 1, "one two")]))
     assert {r["tokenizer"] for r in tokencounts.TokenRollup(spark, root, one).totals().collect()} == {one.version, two.version}
+    later = tokencounts.TokenRollup(spark, root, two)
+    later.apply("3", changes(spark, [change("insert", 2, "three")]))
+    later.apply("4", changes(spark, [change("delete", 1, None)]))  # whatever the id has, in every version
+    assert [(r["tokenizer"], r["docs"]) for r in later.totals().collect()] == [(two.version, 1)]
