@@ -1,8 +1,12 @@
 """The corpus pipeline: five stages from raw documents to a training mix, each on all that its predecessor kept.
 
 Every function takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's result to the shared
-folder and reads it again as the next one's documents. Null and empty texts end at the first stage, which rejects
-what has no letter.
+folder, deletes what the stage wrote on its way, and reads the result again as the next one's documents.
+
+Null and empty texts end at the first stage, which rejects what has no letter. Rows that repeat an earlier one wholly stay
+together until near-dedup, which keeps or drops all rows of one doc_id and text alike; ties are broken by doc_id, null last.
+Columns of any name are carried through every stage; only the last one adds ``epoch``, in place of one that is there.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, langid, linededup, mixing, neardup
-from millrace.llm.common import written
+from millrace.llm.common import new_path, save, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +57,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}", as_dealt=True)
+        path = new_path(spark, f"pipeline-{k}")
+        with scratch(spark):
+            docs = save(stage(spark, docs, sf_dir), path)
     return docs
