@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import ast
 import hashlib
-import io
-import tokenize
+import re
 import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType
+from pyspark.sql.types import BooleanType, IntegerType, StringType
 
 
 def _each(values: pa.Array, fn, kind: pa.DataType) -> pa.Array:
@@ -37,45 +36,435 @@ def python_valid(text: str) -> bool:
         return False
 
 
-#: Words with which a statement of SQL begins.
-SQL_STARTS = ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE", "ALTER", "DROP", "WITH", "MERGE", "GRANT", "REVOKE", "TRUNCATE", "EXPLAIN", "BEGIN", "COMMIT", "ROLLBACK", "SET", "SHOW", "USE", "VALUES")
-
-
-def sql_plausible(text: str) -> bool:
-    """A light check in place of a full SQL parser: every statement starts with a statement word, quotes and brackets
-    are balanced, and none ends on an operator or a comma."""
-    statements, current, depth, quote = [], [], 0, ""
-    for c in text:
-        if quote:
-            quote = "" if c == quote else quote
-        elif c in "'\"`":
-            quote = c
-        elif c == "(":
-            depth += 1
-        elif c == ")":
-            depth -= 1
-            if depth < 0:
-                return False
-        elif c == ";" and not depth:
-            statements.append("".join(current))
-            current = []
-            continue
-        current.append(c)
-    statements = [s.strip() for s in [*statements, "".join(current)] if s.strip()]
-    if quote or depth or not statements:
+class SqlSyntax:
+    """Whether a text is statements of SQL, by recursive descent over a subset of the language.
+
+    queries     [WITH name [(cols)] AS (query), ...] SELECT [DISTINCT] items [FROM tables, joins] [WHERE] [GROUP BY] [HAVING] [WINDOW]
+                [ORDER BY] [LIMIT] [OFFSET], set operations, VALUES, parentheses
+    changes     INSERT INTO .. [(cols)] query, UPDATE .. SET .. [FROM] [WHERE], DELETE FROM .. [USING] [WHERE], with RETURNING
+    tables      CREATE [OR REPLACE] [TEMPORARY] TABLE [IF NOT EXISTS] name (columns) | AS query, CREATE VIEW, CREATE INDEX, ALTER TABLE,
+                DROP, TRUNCATE
+    expressions operators, CASE, CAST and ::, IN, BETWEEN, LIKE, IS, EXISTS, calls with OVER and FILTER, intervals, subqueries
+
+    Column definitions and ALTER actions are read as balanced words. Other statements aren't SQL to this.
+    """
+
+    TOKEN = re.compile(r"""(\s+|--[^\n]*|/\*.*?\*/)|('(?:[^']|'')*'|\$\$.*?\$\$)|("(?:[^"]|"")+"|`[^`]+`|\[[A-Za-z_][^\]]*\])|((?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)|([A-Za-z_\u0080-\uffff][\w$]*)|(::|<>|<=|>=|!=|\|\||->>|->|[-+*/%=<>(),.;:?@^&|~\[\]])""", re.DOTALL)
+    RESERVED = set("select from where group having order limit offset union except intersect on using join inner left right full cross natural when then else end and or not in is like ilike between case as set values returning window by into distinct with".split())
+    DEEPEST = 200
+
+    def __init__(self, text: str):
+        self.kinds, self.words, at = [], [], 0
+        while at < len(text):
+            m = self.TOKEN.match(text, at)
+            if not m:
+                raise ValueError(at)
+            at = m.end()
+            if m.lastindex > 1:
+                self.kinds.append(" snkwo"[m.lastindex - 1] if m.lastindex != 3 else "i")
+                self.words.append(m.group().lower() if m.lastindex in (5, 6) else m.group())
+        self.at, self.depth, self.no_query = 0, 0, set()
+
+    def peek(self, *words: str) -> bool:
+        return self.at < len(self.words) and self.kinds[self.at] in "wo" and self.words[self.at] in words
+
+    def took(self, *words: str) -> bool:
+        found = self.peek(*words)
+        self.at += found
+        return found
+
+    def need(self, *words: str) -> None:
+        if not self.took(*words):
+            raise ValueError(self.at)
+
+    def phrase(self, *words: str) -> bool:
+        """Takes these words in a row, or nothing."""
+        at = self.at
+        if all(self.took(w) for w in words):
+            return True
+        self.at = at
+        return False
+
+    def name(self) -> None:
+        self.ident()
+        while self.took("."):
+            if not self.took("*"):
+                self.ident()
+
+    def ident(self) -> None:
+        if self.at >= len(self.words) or not (self.kinds[self.at] == "i" or (self.kinds[self.at] == "w" and self.words[self.at] not in self.RESERVED)):
+            raise ValueError(self.at)
+        self.at += 1
+
+    def is_ident(self) -> bool:
+        return self.at < len(self.words) and (self.kinds[self.at] == "i" or (self.kinds[self.at] == "w" and self.words[self.at] not in self.RESERVED))
+
+    def each(self, rule) -> None:
+        rule()
+        while self.took(","):
+            rule()
+
+    def names_in_brackets(self) -> None:
+        self.need("(")
+        self.each(self.name)
+        self.need(")")
+
+    def statements(self) -> bool:
+        n = 0
+        while self.at < len(self.words):
+            if self.took(";"):
+                continue
+            self.statement()
+            n += 1
+            if self.at < len(self.words):
+                self.need(";")
+        return n > 0
+
+    def statement(self) -> None:
+        if self.peek("select", "with", "values", "("):
+            self.query()
+        elif self.phrase("insert", "into"):
+            self.name()
+            if self.peek("(") and self.words[self.at + 1 : self.at + 2] != ["select"]:
+                self.names_in_brackets()
+            self.query()
+            self.returning()
+        elif self.took("update"):
+            self.table()
+            self.need("set")
+            self.each(self.assignment)
+            if self.took("from"):
+                self.each(self.joined)
+            self.condition()
+        elif self.phrase("delete", "from"):
+            self.table()
+            if self.took("using"):
+                self.each(self.joined)
+            self.condition()
+        elif self.took("create"):
+            self.create()
+        elif self.phrase("alter", "table") or self.phrase("drop", "table") or self.phrase("drop", "view") or self.phrase("drop", "index") or self.phrase("truncate", "table") or self.took("truncate"):
+            self.phrase("if", "exists")
+            self.name()
+            self.balanced()
+        else:
+            raise ValueError(self.at)
+
+    def assignment(self) -> None:
+        self.name()
+        self.need("=")
+        self.expression()
+
+    def condition(self) -> None:
+        if self.took("where"):
+            self.expression()
+        self.returning()
+
+    def returning(self) -> None:
+        if self.took("returning"):
+            self.each(self.item)
+
+    def create(self) -> None:
+        self.phrase("or", "replace")
+        self.took("temporary", "temp", "unique", "materialized")
+        if not self.took("table", "view", "index"):
+            raise ValueError(self.at)
+        self.phrase("if", "not", "exists")
+        self.name()
+        if self.took("on"):  # an index
+            self.name()
+        if self.peek("("):
+            self.balanced(1)
+        if self.took("as"):
+            self.query()
+        else:
+            self.balanced()
+
+    def balanced(self, groups: int = 0) -> None:
+        """Words up to the end of the statement, or a number of bracketed groups."""
+        open_ = 0
+        while self.at < len(self.words) and not (self.peek(";") and not open_):
+            open_ += self.peek("(") - self.peek(")")
+            if open_ < 0:
+                raise ValueError(self.at)
+            self.at += 1
+            if groups and not open_:
+                return
+        if open_:
+            raise ValueError(self.at)
+
+    def query(self) -> None:
+        if self.took("with"):
+            self.took("recursive")
+            self.each(self.shared)
+        self.part()
+        while self.took("union", "except", "intersect"):
+            self.took("all", "distinct")
+            self.part()
+        if self.phrase("order", "by"):
+            self.each(self.ordered)
+        for word in ("limit", "offset", "limit"):
+            if self.took(word):
+                self.expression()
+                if self.took(","):
+                    self.expression()
+
+    def shared(self) -> None:
+        self.ident()
+        if self.peek("("):
+            self.names_in_brackets()
+        self.need("as")
+        self.bracketed()
+
+    def bracketed(self) -> None:
+        self.need("(")
+        self.deeper(self.query)
+        self.need(")")
+
+    def took_query(self) -> bool:
+        """Takes a query in brackets, or nothing. Where one was looked for in vain is remembered, so time stays linear."""
+        at, depth, ahead = self.at, self.depth, self.at
+        while ahead < len(self.words) and self.words[ahead] == "(":
+            ahead += 1
+        if at in self.no_query or ahead >= len(self.words) or self.words[ahead] not in ("select", "with", "values"):
+            return False
+        try:
+            self.bracketed()
+            return True
+        except ValueError:
+            self.no_query.add(at)
+            self.at, self.depth = at, depth
+            return False
+
+    def deeper(self, rule) -> None:
+        self.depth += 1
+        if self.depth > self.DEEPEST:
+            raise ValueError(self.at)
+        rule()
+        self.depth -= 1
+
+    def part(self) -> None:
+        if self.peek("("):
+            return self.bracketed()
+        if self.took("values"):
+            return self.each(self.row)
+        self.need("select")
+        self.took("distinct", "all")
+        self.each(self.item)
+        if self.took("from"):
+            self.each(self.joined)
+        if self.took("where"):
+            self.expression()
+        if self.phrase("group", "by"):
+            self.each(self.expression)
+        if self.took("having"):
+            self.expression()
+        return None
+
+    def row(self) -> None:
+        self.need("(")
+        self.each(self.expression)
+        self.need(")")
+
+    def item(self) -> None:
+        if self.took("*"):
+            return
+        self.expression()
+        if self.took("as") or self.is_ident():
+            self.ident()
+
+    def table(self) -> None:
+        if self.peek("("):
+            if not self.took_query():
+                self.need("(")
+                self.deeper(self.joined)
+                self.need(")")
+        else:
+            self.name()
+            if self.peek("("):
+                self.arguments()
+        if self.took("as") or self.is_ident():
+            self.ident()
+            if self.peek("("):
+                self.names_in_brackets()
+
+    def joined(self) -> None:
+        self.took("lateral")
+        self.table()
+        while True:
+            kind = self.took("natural", "cross", "inner", "left", "right", "full")
+            self.took("outer")
+            if not self.took("join"):
+                if kind:
+                    raise ValueError(self.at)
+                return
+            self.took("lateral")
+            self.table()
+            if self.took("on"):
+                self.expression()
+            elif self.took("using"):
+                self.names_in_brackets()
+
+    def ordered(self) -> None:
+        self.expression()
+        self.took("asc", "desc")
+        if self.took("nulls"):
+            self.need("first", "last")
+
+    def expression(self) -> None:
+        self.deeper(self.conjunction)
+
+    def conjunction(self) -> None:
+        while True:
+            while self.took("not"):
+                pass
+            self.comparison()
+            if not self.took("and", "or"):
+                return
+
+    def comparison(self) -> None:
+        self.sum()
+        while True:
+            if self.took("=", "<", ">", "<=", ">=", "<>", "!="):
+                self.took("any", "all", "some")
+                self.sum()
+            elif self.took("is"):
+                self.took("not")
+                self.need("null", "true", "false", "unknown", "distinct")
+                if self.took("from"):
+                    self.sum()
+            else:
+                at = self.at
+                self.took("not")
+                if self.took("in"):
+                    self.need("(")
+                    if self.peek("select", "with"):
+                        self.deeper(self.query)
+                    else:
+                        self.each(self.expression)
+                    self.need(")")
+                elif self.took("between"):
+                    self.sum()
+                    self.need("and")
+                    self.sum()
+                elif self.took("like", "ilike"):
+                    self.sum()
+                else:
+                    self.at = at
+                    return
+
+    def sum(self) -> None:
+        self.unary()
+        while self.took("+", "-", "*", "/", "%", "||", "->", "->>", "^", "&", "|"):
+            self.unary()
+
+    def unary(self) -> None:
+        while self.took("+", "-", "~"):
+            pass
+        self.primary()
+        while True:
+            if self.took("::"):
+                self.kind()
+            elif self.took("["):
+                self.expression()
+                self.need("]")
+            else:
+                return
+
+    def kind(self) -> None:
+        """A type's name."""
+        self.name()
+        while self.is_ident() and self.words[self.at] in ("precision", "varying", "time", "zone", "without", "unsigned"):
+            self.at += 1
+        if self.took("("):
+            self.each(self.expression)
+            self.need(")")
+
+    def primary(self) -> None:
+        if self.at >= len(self.words):
+            raise ValueError(self.at)
+        if self.kinds[self.at] in "sk":
+            self.at += 1
+        elif self.took("?"):
+            pass
+        elif self.took(":", "@"):
+            self.ident()
+        elif self.peek("("):
+            if not self.took_query():
+                self.row()
+        elif self.took("case"):
+            if not self.peek("when"):
+                self.expression()
+            self.need("when")
+            self.at -= 1
+            while self.took("when"):
+                self.expression()
+                self.need("then")
+                self.expression()
+            if self.took("else"):
+                self.expression()
+            self.need("end")
+        elif self.phrase("cast", "("):
+            self.expression()
+            self.need("as")
+            self.kind()
+            self.need(")")
+        elif self.took("exists"):
+            self.bracketed()
+        elif self.took("left", "right"):  # functions, too
+            self.arguments()
+        else:
+            self.name()
+            if self.peek("("):
+                self.arguments()
+            elif self.at < len(self.kinds) and self.kinds[self.at] == "s":  # date '...', interval '...'
+                self.at += 1
+
+    def arguments(self) -> None:
+        self.need("(")
+        if not self.took(")"):
+            self.took("distinct")
+            if self.peek("select", "with"):
+                self.deeper(self.query)
+            else:
+                self.each(self.argument)
+            if self.phrase("order", "by"):
+                self.each(self.ordered)
+            self.need(")")
+        if self.phrase("filter", "("):
+            self.need("where")
+            self.expression()
+            self.need(")")
+        if self.took("over"):
+            if self.peek("("):
+                self.balanced(1)
+            else:
+                self.ident()
+
+    def argument(self) -> None:
+        if not self.took("*"):
+            self.expression()
+            if self.took("from", "as", "for"):  # extract(year from d) and the like
+                self.expression()
+
+
+def sql_valid_text(text: str) -> bool:
+    """Whether the text is one or more statements of the subset of SQL that ``SqlSyntax`` reads."""
+    try:
+        return SqlSyntax(text).statements()
+    except (ValueError, RecursionError):
         return False
-    return all(s.split()[0].upper().strip("(") in SQL_STARTS and len(s.split()) > 1 and s[-1] not in "=<>+-*/,:" for s in statements)
 
 
 @arrow_udf(BooleanType())
 def syntax_valid(values: pa.Array) -> pa.Array:
-    """Parses as Python without an error, or else looks like SQL."""
-    return _each(values, lambda s: python_valid(s) or sql_plausible(s), pa.bool_())
+    """Parses as Python without an error, or else as SQL."""
+    return _each(values, lambda s: python_valid(s) or sql_valid_text(s), pa.bool_())
 
 
 @arrow_udf(BooleanType())
 def sql_valid(values: pa.Array) -> pa.Array:
-    return _each(values, sql_plausible, pa.bool_())
+    return _each(values, sql_valid_text, pa.bool_())
 
 
 class _Shape(ast.NodeTransformer):
@@ -132,68 +521,43 @@ def cyclomatic(values: pa.Array) -> pa.Array:
     return _each(values, complexity, pa.int32())
 
 
-def lexer_errors(text: str) -> float:
-    """Error tokens among tokens; 0 for an empty text. Uses a lexer library where it is installed, else Python's own."""
-    try:
-        from pygments.lexers import guess_lexer
-        from pygments.token import Error
-        from pygments.util import ClassNotFound
-    except ImportError:
-        try:
-            kinds = [t.type for t in tokenize.generate_tokens(io.StringIO(text).readline)]
-        except (tokenize.TokenError, SyntaxError, IndentationError):
-            return 0.0
-        return kinds.count(tokenize.ERRORTOKEN) / len(kinds) if kinds else 0.0
-    try:
-        lexer = guess_lexer(text[:1000])
-    except ClassNotFound:
-        return 0.0
-    kinds = [kind for kind, _ in lexer.get_tokens(text)]
-    return sum(kind in Error for kind in kinds) / len(kinds) if kinds else 0.0
-
-
-@arrow_udf(DoubleType())
-def lexer_error_ratio(values: pa.Array) -> pa.Array:
-    return _each(values, lexer_errors, pa.float64())
-
-
-def common_substring(a: str, b: str) -> int:
-    """Length of the longest common substring, by a suffix automaton of the shorter text."""
-    if len(a) > len(b):
-        a, b = b, a
-    moves, link, length, last = [{}], [-1], [0], 0
-    for c in a:
-        new = len(moves)
-        moves.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        p = last
-        while p != -1 and c not in moves[p]:
-            moves[p][c] = new
-            p = link[p]
-        if p != -1:
-            q = moves[p][c]
-            if length[p] + 1 == length[q]:
-                link[new] = q
-            else:
-                copy = len(moves)
-                moves.append(dict(moves[q]))
-                link.append(link[q])
-                length.append(length[p] + 1)
-                while p != -1 and moves[p].get(c) == q:
-                    moves[p][c] = copy
-                    p = link[p]
-                link[q] = link[new] = copy
-        last = new
-    state = run = best = 0
-    for c in b:
-        while state and c not in moves[state]:
-            state = link[state]
-            run = length[state]
-        if c in moves[state]:
-            state, run = moves[state][c], run + 1
-        best = max(best, run)
-    return best
+class Passages:
+    """Texts, to tell whether another one shares a substring of a given length with any of them. Windows are compared by hash,
+    64 bits of a polynomial read off prefix sums, and what meets is compared itself."""
+
+    BASE, KEPT = 0x9E3779B97F4A7C15, 8
+
+    def __init__(self, texts: list[str]):
+        import numpy as np
+
+        self.np, self.texts = np, [t for t in texts if t]
+        self.known: dict[int, tuple] = {}
+
+    def shares(self, text: str, k: int) -> bool:
+        """Whether k characters in a row of ``text`` stand in one of the texts."""
+        np = self.np
+        if k <= 0:
+            return True
+        if k not in self.known:
+            if len(self.known) >= self.KEPT:
+                self.known.pop(next(iter(self.known)))
+            rows = [self._scaled(t, k) for t in self.texts]
+            self.known[k] = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
+        mine = self._scaled(text, k)
+        hits = np.flatnonzero(np.isin(mine, self.known[k]))
+        return any(any(text[i : i + k] in t for t in self.texts) for i in hits)
+
+    def _scaled(self, text: str, k: int):
+        """Windows' hashes that don't depend on where in a text they stand."""
+        np = self.np
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        n = len(codes)
+        if n < k:
+            return np.zeros(0, np.uint64)
+        inverse = np.uint64(pow(self.BASE, -1, 1 << 64))
+        up, down = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (np.uint64(self.BASE), inverse))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up[:-1])])
+        return (sums[k:] - sums[:-k]) * down[: n - k + 1]
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -208,31 +572,20 @@ def common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def _pairwise(fn):
-    @arrow_udf(IntegerType())
-    def pairs(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([fn(x.as_py() or "", y.as_py() or "") for x, y in zip(a, b, strict=True)], pa.int32())
-
-    return pairs
-
-
-substring_length = _pairwise(common_substring)
-subsequence_length = _pairwise(common_subsequence)
-
-
 def minhash(words: list[str], permutations: int, seed: int = 1) -> list[int]:
-    """Signature of a bag of strings: minima of universal hashes over a 61-bit prime."""
+    """Signature of a bag of strings: minima of universal hashes over a 61-bit prime, over a bounded number of words at once."""
     import numpy as np
     import xxhash
 
-    if not words:
-        words = [""]
     prime = np.uint64((1 << 61) - 1)
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 1 << 29, permutations, dtype=np.uint64)
     b = rng.integers(0, 1 << 60, permutations, dtype=np.uint64)
-    h = np.array(sorted({xxhash.xxh32_intdigest(w) for w in words}), np.uint64)
-    return np.min((h[:, None] * a[None, :] + b) % prime, axis=0).astype(np.int64).tolist()
+    h = np.array(sorted({xxhash.xxh32_intdigest(w) for w in (words or [""])}), np.uint64)
+    least = np.full(permutations, prime, np.uint64)
+    for at in range(0, len(h), 4096):
+        least = np.minimum(least, ((h[at : at + 4096, None] * a[None, :] + b) % prime).min(axis=0))
+    return least.astype(np.int64).tolist()
 
 
 def minhash_rows(batches):

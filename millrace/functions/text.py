@@ -32,6 +32,8 @@ CODE_SYMBOLS = ["{", "}", ";", "[", "]", "=", "->", "<", ">"]
 CODE_MARKS = ["{", "}", ";"]
 DANGLING = ["+", "-", "=", "&&", "||", "==", "!=", "<", ">", "*", "/", ":", ","]
 FENCE = r"(?s)(?:```|<pre><code>)(.*?)(?:```|</code></pre>)"
+#: Tokens of code in any language: white space, comments, closed strings, numbers, names, operators.
+TOKENS = r"""[\t\n\f\r ]+|(?:#|//)[^\n]*|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[0-9][0-9A-Za-z_.]*|[A-Za-z_][0-9A-Za-z_]*|[-+*/%=<>!&|^~?:;,.(){}\[\]@]"""
 #: Entity patterns of the redactor, in the order in which they are replaced.
 ENTITIES = {
     "EMAIL_ADDRESS": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -162,6 +164,13 @@ def gram_hash(c: Column, digits: int = 16) -> Column:
     return F.substring(F.sha2(c, 256), 1, digits)
 
 
+def lexer_error_ratio(c: Column) -> Column:
+    """Characters that start no token, among tokens; 0 without any. Where a token begins it is taken whole, so counting all
+    tokens, with and without a last resort of any character, tells the errors."""
+    every = F.regexp_count(c, F.lit(f"(?s){TOKENS}|."))
+    return F.when(every > 0, (every - F.regexp_count(c, F.lit(TOKENS))) / every).otherwise(F.lit(0.0))
+
+
 def for_model(c: Column, limit: int, one_line: bool = True) -> Column:
     """What a scorer reads: line feeds as spaces, at most ``limit`` characters."""
     return F.substring(F.replace(c, F.lit("\n"), F.lit(" ")) if one_line else c, 1, limit)
@@ -240,10 +249,16 @@ def numbers_match(a: Column, b: Column, rel: float = 1e-5) -> Column:
     return F.coalesce(F.when(x.isNotNull() & y.isNotNull(), close).otherwise(same), F.lit(False))
 
 
+def is_json_object(c: Column) -> Column:
+    """Whether the whole text is one JSON object. The parser stops after a value, so the text is read as the first of two."""
+    two = F.try_parse_json(F.concat(F.lit("["), c, F.lit(",0]")))
+    whole = (F.try_variant_get(two, "$[1]", "int") == 0) & F.try_variant_get(two, "$[2]", "string").isNull()
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT") & whole, F.lit(False))
+
+
 def json_has_keys(c: Column, keys: list[str]) -> Column:
     """Whether the text is a JSON object with all keys."""
-    parsed = F.try_parse_json(c)
-    object_ = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    object_ = is_json_object(c)
     names = F.when(object_, F.json_object_keys(c))
     return F.coalesce(object_ & reduce(lambda x, y: x & y, [F.array_contains(names, k) for k in keys], F.lit(True)), F.lit(False))
 
@@ -254,5 +269,4 @@ def judge_winner(c: Column) -> Column:
     said = trim_all(F.coalesce(F.get_json_object(body, "$.winner"), F.lit("")))
     by_json = F.when(said.contains("Candidate 1"), "Candidate 1").when(said.contains("Candidate 2"), "Candidate 2").otherwise("Tie")
     by_words = F.when(c.rlike(r"(?iU)Candidate\s*1"), "Candidate 1").when(c.rlike(r"(?iU)Candidate\s*2"), "Candidate 2").otherwise("Tie")
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(body)).startswith("OBJECT"), F.lit(False))
-    return F.when(is_object, by_json).otherwise(by_words)
+    return F.when(is_json_object(body), by_json).otherwise(by_words)

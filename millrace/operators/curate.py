@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import arrow, text as tx
+from millrace.tables import small, written
 
 #: Provenance that marks technical documents.
 TECHNICAL_SOURCES = ["github_repo", "financial_pdf", "financial_audit_pdfs", "latex_research", "stack_overflow", "code_corpus"]
@@ -51,14 +52,20 @@ def strip_boilerplate(df: DataFrame, *, stamp: str | None = None) -> DataFrame:
 def exact_dedup(df: DataFrame, history: DataFrame | None = None, *, order: str = "doc_id", stamp: str | None = None) -> DataFrame:
     """The first row of each content signature that history doesn't have; adds document_hash_signature.
 
-    The engine limits ranks to the first row before the shuffle too, so a text copied many times sends a row per task.
+    Only signatures and the order's values are shuffled, the least of each task. Rows that aren't the first of a text that
+    occurs more than once are dropped by a join with them, which is a broadcast while they are few; texts that occur once,
+    and those without history, never move. Rows of one text that share the least value count as one: any of them stays.
     """
     signed = df.withColumn("document_hash_signature", tx.content_signature(tx.text("text")))
     if history is not None:
         signed = signed.join(history.select("document_hash_signature").distinct(), "document_hash_signature", "left_anti")
-    w = Window.partitionBy("document_hash_signature").orderBy(F.col(order).asc_nulls_last())
-    out = signed.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
-    return stamped(out.select(*df.columns, "document_hash_signature"), stamp)
+    place = F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("first"))
+    groups = signed.groupBy(F.col("document_hash_signature").alias("signature")).agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1")
+    groups = small(written(groups.select("signature", "least"), "dedup-groups"))
+    found = signed.join(groups, F.col("document_hash_signature") == F.col("signature"), "left")
+    once = found.where("signature is null")
+    firsts = found.where("signature is not null").where(place == F.col("least")).dropDuplicates(["document_hash_signature"])
+    return stamped(once.unionByName(firsts).select(*df.columns, "document_hash_signature"), stamp)
 
 
 def route(df: DataFrame, *, least_density: float = 0.15, is_code: Scorer | None = None, stamp: str | None = None) -> DataFrame:
@@ -127,14 +134,15 @@ def quality_filter(df: DataFrame, label: Scorer | None = None, probability: Scor
 def domain_quality(df: DataFrame, scorer: Scorer | None = None, *, errors: float = 0.05, low: int = 2, high: int = 50, least: float = 0.60, stamp: str | None = None) -> DataFrame:
     """Keeps code with few lexer errors, middling complexity and a good score; adds domain_quality_score."""
     t = tx.text("text")
-    out = df.where(arrow.lexer_error_ratio(t) <= errors).where(arrow.cyclomatic(t).between(low, high))
+    out = df.where(tx.lexer_error_ratio(t) <= errors).where(arrow.cyclomatic(t).between(low, high))
     out = out.withColumn("domain_quality_score", (scorer(t) if scorer else F.lit(1.0)).cast("double"))
     return stamped(out.where(F.col("domain_quality_score") >= least), stamp)
 
 
 def foreign_share(t: Column, target: str, detect: Scorer) -> Column:
-    """Characters in paragraphs of another language than the target's, of all characters."""
-    foreign = F.aggregate(tx.paragraphs(t), F.lit(0), lambda acc, p: acc + F.when(detect(tx.for_model(p, 1500)) != target, F.length(p)).otherwise(0))
+    """Characters in paragraphs of another language than the target's, of all characters. The detector sees paragraphs whole; one
+    with a limit cuts for itself (``tx.for_model``)."""
+    foreign = F.aggregate(tx.paragraphs(t), F.lit(0), lambda acc, p: acc + F.when(detect(p) != target, F.length(p)).otherwise(0))
     return foreign / F.greatest(F.length(t), F.lit(1))
 
 
@@ -143,14 +151,17 @@ def language_filter(df: DataFrame, detect: Scorer, *, target: str = "en", most:
     return stamped(df.where(foreign_share(tx.text("text"), target, detect) <= most), stamp)
 
 
+#: Function words.
+FUNCTION_WORDS = {
+    "en": "the and of to in is that was for with", "de": "der die und das ist nicht ein mit den von",
+    "fr": "le la les des et est une dans que pour", "es": "el los las de que una con por para del",
+}
+
+
 def guess_language(p: Column) -> Column:
     """A native stand-in for a language model: whose function words are commonest."""
-    lists = {  # fixed values: function words
-        "en": "the and of to in is that was for with", "de": "der die und das ist nicht ein mit den von",
-        "fr": "le la les des et est une dans que pour", "es": "el los las de que una con por para del",
-    }
     low = F.concat(F.lit(" "), F.regexp_replace(F.lower(p), r"(?U)[^\w]+", "  "), F.lit(" "))
-    counts = F.array(*[F.struct(sum((tx.occurrences(low, f" {w} ") for w in words.split()), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("lang")) for i, (name, words) in enumerate(lists.items())])
+    counts = F.array(*[F.struct(sum((tx.occurrences(low, f" {w} ") for w in words.split()), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("lang")) for i, (name, words) in enumerate(FUNCTION_WORDS.items())])
     return F.array_max(counts)["lang"]
 
 
@@ -161,10 +172,25 @@ def syntax_filter(df: DataFrame, *, stamp: str | None = None) -> DataFrame:
     return stamped(df.where(good), stamp)
 
 
-def toxicity_filter(df: DataFrame, score: Scorer | None, *, most: float = 0.4, stamp: str | None = None) -> DataFrame:
-    """Drops texts scored above ``most``; empty texts and failed scores (null) stay."""
+#: Plain insults.
+INSULTS = ["idiot", "moron", "scum", "stupid", "dumb", "pathetic", "loser", "worthless", "trash", "garbage", "disgusting", "clown", "imbecile", "jerk"]
+
+
+def insult_score(t: Column) -> Column:
+    """A native stand-in for a toxicity model, over whole texts: each insult leaves three quarters of the doubt, so two and more
+    score above 0.4."""
+    n = F.regexp_count(F.lower(t), F.lit(r"(?<![a-z])(?:" + "|".join(INSULTS) + r")s?(?![a-z])"))
+    return F.lit(1.0) - F.pow(F.lit(0.75), n.cast("double"))
+
+
+def toxicity_filter(df: DataFrame, score: Scorer | None, *, most: float = 0.4, whole: bool = False, stamp: str | None = None) -> DataFrame:
+    """Drops texts scored above ``most``; empty texts and failed scores (null) stay. A model sees what fits it, a native scorer
+    the ``whole`` text."""
+    if score is None:
+        return stamped(df, stamp)
     t = tx.text("text")
-    return stamped(df.where((tx.trim_all(t) == "") | (F.coalesce(score(tx.for_model(t, 2000, one_line=False)), F.lit(0.0)) <= most)) if score else df, stamp)
+    seen = t if whole else tx.for_model(t, 2000, one_line=False)
+    return stamped(df.where((tx.trim_all(t) == "") | (F.coalesce(score(seen), F.lit(0.0)) <= most)), stamp)
 
 
 def redact(df: DataFrame, *, stamp: str | None = None) -> DataFrame:
@@ -203,10 +229,9 @@ def pack(tokens: DataFrame, *, length: int = 4096, order: str = "doc_id", emit_t
 
     Offsets come from a running sum in two levels, ranges of the order and rows within a range, so no task sees all rows.
     """
-    spark = tokens.sparkSession
     sized = tokens.select(F.col(order).alias("o"), F.col("input_ids").alias("ids"), F.size("input_ids").cast("long").alias("n"))
     parts = sized.repartitionByRange("o").sortWithinPartitions("o").withColumn("p", F.spark_partition_id())
-    parts = parts.persist()  # the ranges must not be drawn anew between the two reads
+    parts = written(parts, "pack-ranges")  # ranges must not be drawn anew between the two reads, whatever is lost
     sums = parts.groupBy("p").agg(F.sum("n").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     before = F.sum("n").over(Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, -1))
     placed = parts.join(F.broadcast(sums.select("p", "base")), "p").withColumn("off", F.col("base") + F.coalesce(before, F.lit(0))).where("n > 0")
@@ -242,11 +267,49 @@ def gram_hits(docs: DataFrame, grams: DataFrame, n: int = 13, *, alnum: bool = F
 def decontaminate(docs: DataFrame, items: DataFrame, *, n: int = 13, mode: str = "substring", share: float = 0.20, longest: int = 100, stamp: str | None = None) -> DataFrame:
     """Drops documents that share an n-gram with the benchmark and, but for mode "drop", a long common substring or
     subsequence with any item: over ``share`` of the document or ``longest`` characters."""
-    hits = gram_hits(docs, benchmark_grams(items, n), n)
+    hits = written(gram_hits(docs, benchmark_grams(items, n), n), "gram-hits")
     if mode == "drop":
-        return stamped(docs.join(hits, "doc_id", "left_anti"), stamp)
-    length = arrow.substring_length if mode == "substring" else arrow.subsequence_length
-    suspects = docs.join(hits, "doc_id", "left_semi").select("doc_id", tx.text("text").alias("text"))
-    tested = suspects.crossJoin(items.select(tx.text("text").alias("item"))).withColumn("common", length("text", "item"))
-    bad = tested.where((F.col("common") > F.length("text") * share) | (F.col("common") > longest)).select("doc_id").distinct()
-    return stamped(docs.join(bad, "doc_id", "left_anti"), stamp)
+        return stamped(docs.join(small(hits), "doc_id", "left_anti"), stamp)
+    suspects = docs.join(small(hits), "doc_id", "left_semi").select("doc_id", tx.text("text").alias("text"))
+    bad = written(confirmed(suspects, items, mode, share, longest), "confirmed")
+    return stamped(docs.join(small(bad), "doc_id", "left_anti"), stamp)
+
+
+#: Characters of items, and of suspects, that meet in one task.
+ITEM_BLOCK, SUSPECT_BLOCK = 1 << 20, 8 << 20
+
+
+def confirmed(suspects: DataFrame, items: DataFrame, mode: str, share: float, longest: int) -> DataFrame:
+    """doc_id of the suspects that have over ``share`` of themselves or over ``longest`` characters in common with an item.
+
+    Items are dealt in blocks, suspects in shares of bounded size for each block; a block's windows are hashed once for all of
+    a share's suspects, so no pair of a suspect and an item is ever a row.
+    """
+    suspects = written(suspects, "suspects")
+    items = items.select(tx.text("text").alias("item")).where("item <> ''").distinct()
+    blocks = max(1, -(-(items.agg(F.sum(F.length("item"))).first()[0] or 0) // ITEM_BLOCK))
+    shares = max(1, -(-(suspects.agg(F.sum(F.length("text"))).first()[0] or 0) // SUSPECT_BLOCK), suspects.sparkSession.sparkContext.defaultParallelism)
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = suspects.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int").alias("share"), upto(blocks).alias("block"))
+    right = items.select("item", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block"), upto(shares).alias("share"))
+
+    blocks_of, subsequence = arrow.Passages, arrow.common_subsequence  # what travels, not the module with its user-defined functions
+
+    def meet(mine, theirs):
+        import math
+
+        import pandas as pd
+
+        texts, found = theirs["item"].tolist(), []
+        passages = blocks_of(texts)
+        # in order of the length asked for, so that windows of one length are hashed once
+        wanted = sorted((min(math.floor(len(t) * share), longest) + 1, i, t) for i, t in enumerate(mine["text"]))
+        for k, i, t in wanted:
+            hit = passages.shares(t, k) if mode == "substring" else any(subsequence(t, x) >= k for x in texts)
+            if hit:
+                found.append(i)
+        return pd.DataFrame({"doc_id": mine["doc_id"].iloc[sorted(found)]})
+
+    kind = suspects.schema["doc_id"].dataType.simpleString()
+    pairs = left.groupBy("block", "share").cogroup(right.groupBy("block", "share"))
+    return pairs.applyInPandas(meet, f"doc_id {kind}").distinct()

@@ -63,8 +63,9 @@ def silver_rules(spark: SparkSession, path: str) -> list[tuple[str, str, str, bo
     if not files or empty:
         return rules
     df = spark.read.parquet(path)
-    held = {r[0] for r in df.groupBy(F.col("_metadata.file_name")).agg(F.count("*")).select("file_name").collect()}
-    without = [f.path for f in files if f.path.rpartition("/")[2] not in held]
+    held = df.select(F.col("_metadata.file_name").alias("name")).distinct()
+    listed = spark.createDataFrame([(f.path, f.path.rpartition("/")[2]) for f in files], "path string, name string")
+    without = [r["path"] for r in listed.join(held, "name", "left_anti").orderBy("path").limit(5).collect()]
     rules.append(("2", "every file has rows", ", ".join(without[:5]) or "all have", not without))
     n, ids, texts = silver_audit(df).first()
     return [*rules, ("2", "has rows", str(n), n > 0), ("2", "no null ids", str(ids), ids == 0), ("2", "no null texts", str(texts), texts == 0)]

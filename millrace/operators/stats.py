@@ -94,6 +94,13 @@ def poisson_bootstrap(answers: DataFrame, key: str, *, resamples: int = 200, see
     return means.groupBy(key).agg(F.percentile("mean", F.lit(0.025)).alias("low"), F.percentile("mean", F.lit(0.975)).alias("high"))
 
 
+def intervals(answers: DataFrame, key: str, *, most: int = 1_000_000, resamples: int = 10_000) -> DataFrame:
+    """(key, low, high): resampled exactly where every benchmark's answers fit one task, by Poisson weights beyond ``most``."""
+    largest = answers.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    exact = largest <= most
+    return (bootstrap_by_key(answers, key, resamples=resamples) if exact else poisson_bootstrap(answers, key)).select(key, "low", "high")
+
+
 def composite(scores: dict[str, Column], weights: dict[str, float] | None = None) -> Column:
     weights = weights or dict.fromkeys(scores, 1 / len(scores))
     return sum((scores[k] * F.lit(weights[k]) for k in scores), F.lit(0.0))

@@ -1,19 +1,22 @@
 """Every query of the library's own operators: name -> callable, and its DuckDB SQL where SQL can express it.
 
-Queries run over whole tables. Stand-ins are named as such: ``labels`` and ``lang`` stand for the scores of models, so that
-what is done with scores can be checked; the scorers themselves work from text.
+Queries run over whole tables. Stand-ins are named as such: ``labels`` stands for the scores of a quality model, so that what
+is done with scores can be checked; texts of code and of judges, of which the tables have none, are made up of event ids.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import arrow, text as tx
-from millrace.operators import curate, gates, lsh, stats
-from millrace.sources import ingest
+from millrace.operators import curate, gates, lsh, registry, stats
+from millrace.sources import ingest, seed
+from millrace.sources.files import FileStore
+from millrace.tables import shared_dir, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +40,7 @@ def query(name: str, sql: str | None = None):
 
 # --- SQL pieces -------------------------------------------------------------------------------------------------------
 
+# The rules' patterns in DuckDB's dialect.
 CONTROLS_SQL = r"[\x00-\x08\x0B-\x1F\x7F\x{200B}\x{200C}\x{00AD}\x{FFFD}]"
 BOILERPLATE_SQL = r"(?is:<(?:script|style)\b[^>]*>.*?</(?:script|style)>)|<[^>]+>|(?i:\bpage\s+\d+\s+of\s+\d+\b)|(?i:copyright\s+(?:\(c\)|©)?\s*\d{4}[^.\n]*\.)|(?i:\b(?:confidential - internal use only|confidential|draft copy)\b)"
 
@@ -55,7 +59,31 @@ PUNCTUATION_SQL = f"cast({_total('text', tx.PUNCTUATION)} as double) / {_WORDS}"
 SYMBOL_SQL = f"cast({_total('text', tx.SYMBOLS)} as double) / {_WORDS}"
 STOP_SQL = f"cast({_total(_LOW, [f' {w} ' for w in tx.STOP_WORDS])} as double) / {_WORDS}"
 DENSITY_SQL = f"cast({_total('t', tx.CODE_SYMBOLS)} as double) / greatest(length(regexp_replace(t, '\\s+', '', 'g')), 1)"
-STRIP_SQL = rf"trim(regexp_replace(regexp_replace(coalesce(html, ''), '{BOILERPLATE_SQL}', '', 'g'), '\n[ \t\n]*\n', chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def strip_sql(c: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace({c}, '{BOILERPLATE_SQL}', '', 'g'), '\n[ \t\n]*\n', chr(10), 'g'), {_BLANKS})"
+
+
+STRIP_SQL = strip_sql("coalesce(html, '')")
+CLEAN_SQL = rf"regexp_replace(regexp_replace(coalesce(text, ''), '{CONTROLS_SQL}', '', 'g'), '\b([A-Za-z]{{2,}})-\s*\n\s*([A-Za-z]{{2,}})\b', '\1\2', 'g')"
+REDACT_SQL = "regexp_replace(" * len(tx.ENTITIES) + "text" + "".join(f", '{p}', '[{e}]', 'g')" for e, p in tx.ENTITIES.items())
+
+
+def language_sql(c: str) -> str:
+    """The language whose function words are commonest, the first of equals."""
+    low = rf"(' ' || regexp_replace(lower({c}), '[^\p{{L}}\p{{M}}\p{{N}}_]+', '  ', 'g') || ' ')"
+    counts = ", ".join(_total(low, [f" {w} " for w in words.split()]) for words in curate.FUNCTION_WORDS.values())
+    return f"list_element([{', '.join(repr(x) for x in curate.FUNCTION_WORDS)}], list_position([{counts}], list_max([{counts}])))"
+
+
+def foreign_sql(source: str) -> str:
+    """doc_id of texts that have over 15 % of their characters in paragraphs of other languages than English."""
+    return rf"""(select doc_id from (select doc_id, n, trim(p, {_BLANKS}) as p from (select doc_id, length(text) as n, unnest(regexp_split_to_array(text, '\n\s*\n')) as p from {source})) where p <> ''
+      group by doc_id, n having sum(case when {language_sql('p')} <> 'en' then length(p) else 0 end) / greatest(n, 1) > 0.15)"""
+
+
 SIGNATURE_SQL = "md5_number_upper(text)"
 TOKENS_SQL = r"list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '')"
 ALNUM_SQL = r"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_\s]', ' ', 'g'), '\s+'), lambda w: w <> '')"
@@ -81,10 +109,11 @@ def repeats_sql(source: str) -> str:
 # --- cleaning and signatures ------------------------------------------------------------------------------------------
 
 
-@query("normalize_controls", f"select doc_id, length(regexp_replace(text, '{CONTROLS_SQL}', '', 'g')) as n_clean, length(text) as n_raw from documents")
+@query("normalize_controls", f"select doc_id, md5(regexp_replace(coalesce(text, ''), '{CONTROLS_SQL}', '', 'g')) as digest, cast(length(regexp_replace(coalesce(text, ''), '{CONTROLS_SQL}', '', 'g')) as bigint) as n_clean from documents")
 def normalize_controls(spark, sf_dir):
     """Control and phantom characters out."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(tx.strip_controls(tx.text("text"))).alias("n_clean").cast("long"), F.length(tx.text("text")).cast("long").alias("n_raw"))
+    out = table(spark, sf_dir, "documents").select("doc_id", tx.strip_controls(tx.text("text")).alias("t"))
+    return out.select("doc_id", F.md5(F.col("t").cast("binary")).alias("digest"), F.length("t").cast("long").alias("n_clean"))
 
 
 @query("normalize_full")
@@ -220,20 +249,26 @@ def quality_filter(spark, sf_dir):
     return curate.quality_filter(docs, lambda _: name, lambda _: F.lit(1.0)).select("doc_id", "cqf_quality_score")
 
 
-@query("toxicity_filter", "select d.doc_id from documents d left join labels l using (doc_id) where trim(d.text) = '' or coalesce(l.toxic, 0) <= 0.4")
+@query("toxicity_filter", rf"select doc_id from (select doc_id, coalesce(text, '') as t from documents) where trim(t, {_BLANKS}) = '' or 1 - pow(0.75, len(string_split_regex(regexp_replace(lower(t), '[^a-z]+', '  ', 'g'), '(?:^|[ ])(?:{'|'.join(curate.INSULTS)})s?(?:$|[ ])')) - 1) <= 0.4")
 def toxicity_filter(spark, sf_dir):
-    """Documents that aren't toxic; labels stand for scores."""
+    """Documents that aren't toxic, by the native scorer over whole texts."""
+    return curate.toxicity_filter(table(spark, sf_dir, "documents"), curate.insult_score, whole=True).select("doc_id")
+
+
+@query("toxicity_filter_labels", "select d.doc_id from documents d left join labels l using (doc_id) where trim(d.text) = '' or coalesce(l.toxic, 0) <= 0.4")
+def toxicity_filter_labels(spark, sf_dir):
+    """The same with a model's scores, for which labels stand; no label is a failed score, which passes."""
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
     return curate.toxicity_filter(docs, lambda _: F.col("toxic").cast("double")).select("doc_id")
 
 
-@query("language_filter", "select doc_id from documents where lang = 'en'")
+@query("language_filter", f"select doc_id from documents where doc_id not in {foreign_sql('documents')}")
 def language_filter(spark, sf_dir):
-    """English documents; the lang column stands for a detector, so a document is all of one language."""
-    return curate.language_filter(table(spark, sf_dir, "documents").where("lang is not null"), lambda _: F.col("lang")).select("doc_id")
+    """Documents with little in other languages than English, paragraph by paragraph, by the native detector."""
+    return curate.language_filter(table(spark, sf_dir, "documents"), curate.guess_language).select("doc_id")
 
 
-@query("language_agreement")
+@query("language_agreement", f"select lang, {language_sql("coalesce(text, '')")} as guess, count(*) as n_docs from documents group by 1, 2")
 def language_agreement(spark, sf_dir):
     """The function-word detector, over whole texts, against the lang column: counts of each pair."""
     docs = table(spark, sf_dir, "documents").select("lang", curate.guess_language(tx.text("text")).alias("guess"))
@@ -256,12 +291,14 @@ def pii_counts(spark, sf_dir):
 # --- fuzzy dedup and decontamination ----------------------------------------------------------------------------------
 
 
-@query("shingle_jaccard_pairs", f"""with s as (select distinct doc_id, gram from {grams_sql('documents', 'doc_id', 3)} union select doc_id, text from documents where len({TOKENS_SQL}) < 3),
-  n as (select doc_id, count(*) as n from s group by doc_id),
-  c as (select a.doc_id as id_a, b.doc_id as id_b, count(*) as c from s a join s b on a.gram = b.gram and a.doc_id < b.doc_id group by a.doc_id, b.doc_id)
-  select id_a, id_b, c / (x.n + y.n - c) as jaccard from c join n x on x.doc_id = id_a join n y on y.doc_id = id_b where c / (x.n + y.n - c) >= 0.8""")
+@query("shingle_jaccard_pairs", f"""with s as (select distinct doc_id, gram from {grams_sql('documents', 'doc_id', 3)} union select doc_id, coalesce(text, '') from documents where coalesce(len({TOKENS_SQL}), 0) < 3),
+  n as (select doc_id, count(*) as n, md5(string_agg(gram, chr(10) order by gram)) as h from s group by doc_id),
+  k as (select doc_id, n, min(doc_id) over (partition by h) as first from n),
+  t as (select s.doc_id, gram, n from s join k on k.doc_id = s.doc_id and k.first = s.doc_id),
+  c as (select a.doc_id as id_a, b.doc_id as id_b, a.n as x, b.n as y, count(*) as c from t a join t b on a.gram = b.gram and a.doc_id < b.doc_id group by all)
+  select id_a, id_b, c / (x + y - c) as jaccard from c where c / (x + y - c) >= 0.8 union all select first, doc_id, 1.0 from k where first <> doc_id""")
 def shingle_jaccard_pairs(spark, sf_dir):
-    """Exactly similar pairs over word 3-grams, 0.8 and more."""
+    """Exactly similar pairs over word 3-grams, 0.8 and more, of distinct sets; copies with their first."""
     return lsh.similar_pairs(table(spark, sf_dir, "documents"))
 
 
@@ -277,7 +314,11 @@ def decontaminate_ngram(spark, sf_dir):
     return curate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), mode="drop").select("doc_id")
 
 
-@query("decontaminate_lcs")
+@query("decontaminate_lcs", f"""with hit as (select distinct doc_id from {grams_sql('documents', 'doc_id', 13)} where gram in (select gram from {grams_sql('benchmark', 'item_id', 13)})),
+  d as (select doc_id, text, cast(least(floor(length(text) * 0.2::double), 100) as bigint) + 1 as k from documents where doc_id in (select doc_id from hit)),
+  w as (select doc_id, k, substr(text, i, k) as part from (select *, unnest(range(1, length(text) - k + 2)) as i from d)),
+  b as (select distinct k, substr(text, i, k) as part from (select k, text, unnest(range(1, length(text) - k + 2)) as i from benchmark, (select distinct k from d) where length(text) >= k))
+  select doc_id from documents where doc_id not in (select doc_id from w join b using (k, part))""")
 def decontaminate_lcs(spark, sf_dir):
     """As before, but a long common substring must confirm a shared 13-gram."""
     return curate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id")
@@ -458,16 +499,183 @@ def snapshot_retention(spark, sf_dir):
     return stats.newest(rows, 3, "event_type", order="event_id").select("event_type", "event_id")
 
 
-@query("final_number_extract", r"""select conv_id, turn, regexp_extract(regexp_replace(text, '[,$]', '', 'g'), '(?s).*(?:^|[^0-9.-]|-)(-?\d+(?:\.\d+)?)', 0) <> '' as has_number from conversations""")
+@query("final_number_extract", rf"""with t as (select conv_id, turn, coalesce(text, '') || case turn % 3 when 0 then ' #### $1,' || turn || '00.5 in all' when 1 then ' that is -' || conv_id || '.25 or 7,000' else '' end as t from conversations),
+  p as (select conv_id, turn, t, regexp_replace(t, '[,$]', '', 'g') as plain from t)
+  select conv_id, turn, coalesce(case when contains(t, '####') then nullif(regexp_extract(trim(list_extract(string_split(plain, '####'), -1), {_BLANKS}), '^-?[0-9]+(?:\.[0-9]+)?'), '') end, list_extract(regexp_extract_all(plain, '-?[0-9]+(?:\.[0-9]+)?'), -1)) as number from p""")
 def final_number_extract(spark, sf_dir):
-    """Whether a turn ends on a number."""
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.final_number(tx.text("text")).isNotNull().alias("has_number"))
+    """The final number of each turn, with two kinds of endings added."""
+    kind = F.col("turn") % 3
+    end = F.when(kind == 0, F.concat(F.lit(" #### $1,"), "turn", F.lit("00.5 in all"))).when(kind == 1, F.concat(F.lit(" that is -"), "conv_id", F.lit(".25 or 7,000"))).otherwise("")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.final_number(F.concat(tx.text("text"), end)).alias("number"))
 
 
-@query("json_keys", "select event_id, coalesce(json_type(try_cast(props as json)) = 'OBJECT', false) as valid from events")
+@query("json_keys", """select event_id, coalesce(json_type(try_cast(props as json)) = 'OBJECT' and list_contains(json_keys(try_cast(props as json)), 'k'), false) as has_k, event_id % 4 = 0 and coalesce(json_type(try_cast(props as json)) = 'OBJECT', false) as has_both,
+  false as of_broken from events""")
 def json_keys(spark, sf_dir):
-    """Whether events' properties are JSON objects."""
-    return table(spark, sf_dir, "events").select("event_id", tx.json_has_keys(F.col("props"), []).alias("valid"))
+    """Which events' properties are objects with a key, with two keys (one is added to every fourth), and that broken ones have none."""
+    more = F.when(F.col("event_id") % 4 == 0, F.replace("props", F.lit("{"), F.lit('{"m": null, '))).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", tx.json_has_keys(F.col("props"), ["k"]).alias("has_k"), tx.json_has_keys(more, ["m", "k"]).alias("has_both"), tx.json_has_keys(F.concat("props", F.lit("}")), ["k"]).alias("of_broken"))
+
+
+# --- code, judges, releases: texts and numbers made up of event ids ----------------------------------------------------
+
+
+def _code(spark: SparkSession, sf_dir: str, *parts) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts]).alias("text"))
+
+
+def _id(n: int):
+    return (F.col("event_id") % n).cast("string")
+
+
+@query("code_cleaning", rf"""with p as (select page_id, coalesce(html, '') as t from pages),
+  c as (select page_id, t, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(?s)\"\"\".*?\"\"\"', '', 'g'), '(?s)''''''.*?''''''', '', 'g'), '#[^\n]*', '', 'g'), '\n\s*\n', chr(10), 'g'), {_BLANKS}) as bare from p)
+  select page_id, md5(bare) as digest, len(list_filter(list_transform(string_split(bare, chr(10)), lambda l: trim(l, {_BLANKS})), lambda l: l <> '')) as n_lines,
+    regexp_matches(rtrim(t, {_BLANKS}), '(?:[-+=<>*/:,]|&&|\|\|)$') as dangling from c""")
+def code_cleaning(spark, sf_dir):
+    """Pages without comments, how many lines are left, and whether they break off on an operator."""
+    out = table(spark, sf_dir, "pages").select("page_id", tx.text("html").alias("t")).withColumn("bare", tx.strip_comments(F.col("t")))
+    return out.select("page_id", F.md5(F.col("bare").cast("binary")).alias("digest"), F.size(tx.solid_lines(F.col("bare"))).cast("long").alias("n_lines"), tx.dangling_end(F.col("t")).alias("dangling"))
+
+
+@query("lexer_error_ratio", f"select page_id, case when a > 0 then (a - b) / a else 0.0 end as ratio from (select page_id, len(regexp_extract_all(t, '(?s){tx.TOKENS.replace(chr(39), chr(39) * 2)}|.')) as a, len(regexp_extract_all(t, '{tx.TOKENS.replace(chr(39), chr(39) * 2)}')) as b from (select page_id, coalesce(html, '') as t from pages))")
+def lexer_error_ratio(spark, sf_dir):
+    """Characters of pages that start no token of code, among tokens."""
+    return table(spark, sf_dir, "pages").select("page_id", tx.lexer_error_ratio(tx.text("html")).alias("ratio"))
+
+
+@query("domain_quality", "select event_id as doc_id, case when event_id % 2 = 0 then 0.9 else 0.6 end::double as domain_quality_score from events where event_id % 60 between 1 and 49 and event_id % 7 <> 0 and event_id % 5 <> 0")
+def domain_quality(spark, sf_dir):
+    """Functions of 0 to 59 branches: those of middling complexity, without stray characters, that a scorer likes."""
+    body = F.expr("repeat('    if x > 1:\n        x = x - 1\n', cast(event_id % 60 as int))")
+    stray = F.when(F.col("event_id") % 7 == 0, F.lit("`" * 400)).otherwise(F.lit(""))
+    docs = _code(spark, sf_dir, "def f(x):\n", body, "    return x\n# ", stray)
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.replace("text", F.lit("# `"), F.lit("``"))).otherwise(F.col("text")))
+    score = lambda _: F.when(F.col("doc_id") % 5 == 0, 0.59).when(F.col("doc_id") % 2 == 0, 0.9).otherwise(0.6)
+    return curate.domain_quality(docs, score).select("doc_id", "domain_quality_score")
+
+
+_SAMPLES = [
+    ("def f(x):\n    return x\n", True), ("def f(x)\n    return x\n", False), ("SELECT a, count(*) FROM t WHERE b IN (1, 2) GROUP BY a", True), ("SELECT a FROM t WHERE", False), ("x = 1 +", False), ("SELECT *", True), ("hello there, world", False),
+    ("INSERT INTO t (a) VALUES (1); DELETE FROM u", True), ("UPDATE t SET a = b,", False), ("", True),
+]
+
+
+@query("syntax_filter", f"select event_id as doc_id from events where event_id % 10 in ({', '.join(str(k) for k, (_, good) in enumerate(_SAMPLES) if good)})")
+def syntax_filter(spark, sf_dir):
+    """Code that parses, or SQL that does though it ends on an operator."""
+    pick = F.get(F.array(*[F.lit(t) for t, _ in _SAMPLES]), (F.col("event_id") % 10).cast("int"))
+    return curate.syntax_filter(_code(spark, sf_dir, pick)).select("doc_id")
+
+
+@query("structure_dedup", "select min(event_id) as doc_id from events group by event_id % 50")
+def structure_dedup(spark, sf_dir):
+    """One of each structure: functions with names of their own, alike but for one of 50 numbers."""
+    name = F.col("event_id").cast("string")
+    return lsh.structure_dedup(_code(spark, sf_dir, "def f", name, "(a", name, "):\n    b", name, " = a", name, " + ", _id(50), "\n    return b", name)).select("doc_id")
+
+
+@query("code_fuzzy_dedup", "select min(event_id) as doc_id from events group by event_id % 40")
+def code_fuzzy_dedup(spark, sf_dir):
+    """One of each set of lines, whatever their order and comments: five lines of one of 40 families."""
+    lines = [F.concat(F.lit(f"v{k}_"), _id(40), F.lit(f" = {k}")) for k in range(5)]
+    order = F.when(F.col("event_id") % 3 == 0, F.concat_ws("\n", *lines)).otherwise(F.concat_ws("\n", *lines[::-1]))
+    return lsh.code_fuzzy_dedup(_code(spark, sf_dir, order, "  # by ", _id(97))).select("doc_id")
+
+
+@query("provenance_routing", "select doc_id, cast(case when source in ('src0', 'src1') then 1 else 0 end as tinyint) as branch_id from documents")
+def provenance_routing(spark, sf_dir):
+    """Documents of technical sources to the technical branch; the scorer says that no prose is code."""
+    known = F.when(F.col("source") == "src0", "github_repo").when(F.col("source") == "src1", "latex_research").otherwise("web")
+    return curate.route(table(spark, sf_dir, "documents").withColumn("source_type", known), is_code=lambda _: F.lit(False)).select("doc_id", "branch_id")
+
+
+@query("fenced_answers", rf"""select conv_id, turn, md5(trim(t, {_BLANKS})) as digest from (select conv_id, turn, coalesce(text, '') as t from conversations) where not contains(t, '```')""")
+def fenced_answers(spark, sf_dir):
+    """Answers in a fence of their kind, in another one or in none, taken out again."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.text("text").alias("t")).where(~F.col("t").contains("```"))
+    kind = F.col("turn") % 3
+    said = F.when(kind == 0, F.concat(F.lit("Here:\n```json\n"), "t", F.lit("\n```\nDone"))).when(kind == 1, F.concat(F.lit("So ```\n"), "t", F.lit("```"))).otherwise(F.col("t"))
+    return rows.select("conv_id", "turn", F.md5(tx.unfence(said, "json").cast("binary")).alias("digest"))
+
+
+@query("numeric_match", "select event_id % 6 as kind, event_id % 6 in (0, 2, 4) as same, count(*) as n from events group by 1, 2")
+def numeric_match(spark, sf_dir):
+    """Answers against the truth: close, too far, equal words, other words, exponents, none."""
+    x = (F.col("event_id") + 1000).cast("double")
+    pairs = [(x, x * 1.000001), (x, x * 1.001), (F.lit(" Yes"), F.lit("yes ")), (F.lit("yes"), F.lit("1")), (F.lit("1e3"), F.lit("1000.0")), (F.lit(None), F.lit("1"))]
+    a, b = (F.get(F.array(*[p[k].cast("string") for p in pairs]), (F.col("event_id") % 6).cast("int")) for k in (0, 1))
+    rows = table(spark, sf_dir, "events").select((F.col("event_id") % 6).alias("kind"), tx.numbers_match(a, b).alias("same"))
+    return rows.groupBy("kind", "same").agg(F.count("*").alias("n"))
+
+
+_JUDGED = [('```json\n{"winner": "Candidate 1"}\n```', "Candidate 1"), ("I find Candidate  2 better", "Candidate 2"), ('{"winner": "Candidate 2", "why": "Candidate 1 fails"}', "Candidate 2"), ("no idea", "Tie"), ('```\n{"winner": "both"}\n```', "Tie"), ('{"why": "Candidate 1"}', "Tie")]
+
+
+@query("judge_parsing", "select event_type, case event_id % 6 " + " ".join(f"when {k} then '{w}'" for k, (_, w) in enumerate(_JUDGED)) + " end as winner, count(*) as n from events group by 1, 2")
+def judge_parsing(spark, sf_dir):
+    """Winners named in judges' answers of six kinds."""
+    said = F.get(F.array(*[F.lit(x) for x, _ in _JUDGED]), (F.col("event_id") % 6).cast("int"))
+    return table(spark, sf_dir, "events").select("event_type", tx.judge_winner(said).alias("winner")).groupBy("event_type", "winner").agg(F.count("*").alias("n"))
+
+
+_DISCORDANT = "select event_type, count(*) filter (event_id % 4 = 0 and event_id % 3 <> 0) as n_regressions, count(*) filter (event_id % 4 <> 0 and event_id % 3 = 0) as n_improvements from events group by event_type"
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("item"), (F.col("event_id") % 4 == 0).cast("int").alias("base"), (F.col("event_id") % 3 == 0).cast("int").alias("cand"))
+
+
+@query("mcnemar_test", f"""with c as ({_DISCORDANT}), x as (select event_type, n_regressions + n_improvements as n, pow(abs(n_improvements - n_regressions) - 1, 2) / (n_regressions + n_improvements) as chi2 from c)
+  select event_type, round(case when n >= 25 then chi2 else 0 end, 9) as statistic, n >= 25 and chi2 > 3.841458820694124 as significant from x""")
+def mcnemar_test(spark, sf_dir):
+    """McNemar's statistic per benchmark, and whether it is significant at 5 %; every benchmark has more than 25 discordant pairs."""
+    counts = stats.paired_counts(_answers(spark, sf_dir), "event_type").collect()  # a row per benchmark
+    tests = [(r["event_type"], *stats.mcnemar(r["n_regressions"], r["n_improvements"])) for r in counts]
+    return spark.createDataFrame([(k, round(x, 9), p < 0.05) for k, x, p in tests], "event_type string, statistic double, significant boolean")
+
+
+@query("paired_bootstrap", "select event_type, round(avg((case when event_id % 3 = 0 then 1 else 0 end) - (case when event_id % 4 = 0 then 1 else 0 end)), 9) as mean, true as inside from events group by event_type")
+def paired_bootstrap(spark, sf_dir):
+    """Mean differences per benchmark, and that they lie within their resampled interval."""
+    rows = _answers(spark, sf_dir)
+    means = rows.groupBy("event_type").agg(F.avg(F.col("cand") - F.col("base")).alias("mean"))
+    joined = means.join(stats.intervals(rows, "event_type", resamples=500), "event_type")
+    return joined.select("event_type", F.round("mean", 9).alias("mean"), ((F.col("low") <= F.col("mean")) & (F.col("mean") <= F.col("high")) & (F.col("low") < F.col("high"))).alias("inside"))
+
+
+@query("release_verdict", """with j as (select count(*) filter (event_id % 3 = 0) as wins, count(*) filter (event_id % 3 = 2) as ties, count(*) as n from events), p as (select (wins + 0.5 * ties) / n as p, cast(n as double) as n from j)
+  select 'PROMOTED' as verdict, cast(0 as bigint) as n_failed, 'good' as candidate where (select p from p) < 2 union all
+  select 'QUARANTINED', 2 + cast(((p + 3.8416 / (2 * n)) - 1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n) < 0.5 as bigint) + cast(p < 0.52 as bigint), 'leaky' from p""")
+def release_verdict(spark, sf_dir):
+    """Verdicts on two candidates: one without fault, one with a leak, slow, and judged by the events."""
+    wins, ties, total = table(spark, sf_dir, "events").agg(F.count_if(F.col("event_id") % 3 == 0), F.count_if(F.col("event_id") % 3 == 2), F.count("*")).first()
+    m = {"ast_syntax_rate": 1.0, "eos_rate": 1.0, "kv_delta": 1e-5, "pii_leaks": 0, "ece": 0.01, "itl_ms": 10.0, "itl_sla_ms": 25.0, "vram_gb": 12.0, "vram_limit_gb": 24.0}
+    good = stats.verdict(stats.release_rules(m, {"b": ([0, 1] * 50, [1, 1] * 50)}, (90, 5, 5, 100), resamples=200))
+    bad = stats.verdict(stats.release_rules(m | {"pii_leaks": 3, "itl_ms": 30.0}, {"b": ([0, 1] * 50, [0, 1] * 50)}, (wins, total - wins - ties, ties, total), resamples=200))
+    return spark.createDataFrame([(v["verdict"], len(v["rejection_reasons"]), k) for k, v in (("good", good), ("leaky", bad))], "verdict string, n_failed long, candidate string")
+
+
+@query("registry_states", "select * from (values ('archived', 'v1'), ('champion', 'v1'), ('champion', 'v2'), ('quarantined', 'v2'), ('staged', 'v2')) as t(alias, version)")
+def registry_states(spark, sf_dir):
+    """The aliases that two versions go through: staged, champion, archived, quarantined after a rollback."""
+    import uuid
+
+    found, model = set(), registry.Registry(FileStore(spark, f"{shared_dir(spark)}/millrace/registry-{uuid.uuid4().hex}"), "m")
+    model.register("v1", {"verdict": "PROMOTED"}, "a")
+    model.promote("v1")
+    for step in (lambda: model.register("v2", {"verdict": "PROMOTED", "sha256": "b"}, "b"), lambda: model.promote("v2"), model.rollback):
+        step()
+        found |= set(model.state()["aliases"].items())
+    return spark.createDataFrame(sorted(found), "alias string, version string")
+
+
+@query("record_bootstrap", "select (select count(*) from customer) * 3 as n, (select count(*) from customer) * 3 as n_keys, cast(0 as bigint) as n_outside from region limit 1")
+def record_bootstrap(spark, sf_dir):
+    """Suppliers replicated to three times the customers: rows, distinct keys, and amounts off by more than 5 % and rounding."""
+    seeds = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("audit_uuid"), F.col("s_acctbal").cast("double").alias("amount"), F.lit("AAPL by Trader-12").alias("narrative"), F.col("s_acctbal").cast("double").alias("own"))
+    rows = seed.replicate(seeds, 3 * table(spark, sf_dir, "customer").count(), order="audit_uuid")
+    return rows.agg(F.count("*").alias("n"), F.count_distinct("audit_uuid").alias("n_keys"), F.count_if(F.abs(F.col("amount") - F.col("own")) > F.abs("own") * 0.05 + 0.011).alias("n_outside"))
 
 
 @query("dataset_fingerprint")
@@ -480,9 +688,10 @@ def dataset_fingerprint(spark, sf_dir):
 
 
 def funnel(docs: DataFrame, items: DataFrame) -> list[tuple[str, DataFrame]]:
-    """Exact dedup, the rules for prose, decontamination; without compatibility composition, which SQL lacks."""
+    """Exact dedup, the rules for prose, decontamination; without compatibility composition, which SQL lacks. Each stage is
+    computed once: its rows are written for the next one and for the counts."""
     unique = curate.exact_dedup(docs)
-    prose = curate.prose_filter(unique)
+    prose = written(curate.prose_filter(unique), "funnel-prose")
     return [("deduplicated", unique), ("prose", prose), ("decontaminated", curate.decontaminate(prose, items, mode="drop"))]
 
 
@@ -506,6 +715,57 @@ def curation_survivors(spark, sf_dir):
     return clean.groupBy("lang").agg(F.count("*").alias("n_docs"), F.round(F.avg(tx.punctuation_ratio(t)), 9).alias("punctuation"), F.round(F.avg(tx.stop_word_ratio(t)), 9).alias("stop_words"))
 
 
+def curated(docs: DataFrame, items: DataFrame, *, sql_only: bool = False) -> dict[str, DataFrame]:
+    """The whole run from raw to curated, by stage. Documents are written where branches or counts read them again. What SQL
+    can't say (compatibility composition, MinHash, syntax trees) is left out if ``sql_only``."""
+    out = {}
+    clean = curate.strip_boilerplate(curate.normalise(docs, compose=not sql_only))
+    out["deduplicated"] = trunk = written(curate.route(curate.exact_dedup(clean)), "curated-trunk")
+    prose, code = curate.branch(trunk, 0), curate.branch(trunk, 1)
+    prose = curate.prose_filter(prose)
+    out["prose rules"] = prose = written(prose if sql_only else lsh.fuzzy_dedup(prose), "curated-prose")
+    out["quality"] = prose = curate.quality_filter(prose)
+    out["language"] = prose = written(curate.language_filter(prose, curate.guess_language), "curated-language")
+    out["code band"] = code = written(curate.code_filter(code), "curated-code")
+    if not sql_only:
+        out["code structure"] = code = written(lsh.structure_dedup(code), "curated-structure")
+        out["code quality"] = code = curate.syntax_filter(curate.domain_quality(code))
+    both = curate.toxicity_filter(curate.union_branches(prose, code), curate.insult_score, whole=True)
+    out["safe"] = both = written(curate.drop_empty(curate.redact(both)), "curated-safe")
+    out["decontaminated"] = curate.decontaminate(both, items, mode="drop" if sql_only else "substring")
+    return out
+
+
+def _stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
+    counts = [df.agg(F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars")).select(F.lit(name).alias("stage"), "n_docs", F.coalesce("n_chars", F.lit(0)).alias("n_chars")) for name, df in stages.items()]
+    return functools.reduce(DataFrame.union, counts)
+
+
+_TOXIC_SQL = rf"1 - pow(0.75, len(string_split_regex(regexp_replace(lower(text), '[^a-z]+', '  ', 'g'), '(?:^|[ ])(?:{'|'.join(curate.INSULTS)})s?(?:$|[ ])')) - 1) <= 0.4"
+_CURATED_SQL = f"""with a as (select doc_id, {strip_sql(CLEAN_SQL)} as text from documents),
+  b as materialized (select doc_id, text from (select *, row_number() over (partition by md5(text) order by doc_id) as nth from a) where nth = 1),
+  d as materialized (select doc_id, text, {DENSITY_SQL.replace('(t,', '(text,').replace('length(t)', 'length(text)').replace('replace(t,', 'replace(text,')} as density from b),
+  p0 as materialized (select doc_id, text from d where density < 0.15), p1 as materialized (select * from p0 where {RATIOS_SQL} and doc_id not in {repeats_sql('p0')}),
+  p2 as materialized (select * from p1 where doc_id not in {foreign_sql('p1')}),
+  c1 as materialized (select doc_id, text from d where density >= 0.15 and density <= 0.45 and list_max(list_transform(string_split(text, chr(10)), lambda l: length(l))) <= 2000),
+  s as materialized (select doc_id, {REDACT_SQL} as text from (select * from p2 union all select * from c1) where (trim(text, {_BLANKS}) = '' or {_TOXIC_SQL})),
+  s1 as materialized (select * from s where length(text) > 0),
+  z as (select * from s1 where doc_id not in (select doc_id from {grams_sql('s1', 'doc_id', 13)} where gram in (select gram from {grams_sql('benchmark', 'item_id', 13)})))
+  """
+
+
+@query("curation_full", _CURATED_SQL + " union all ".join(f"select '{name}' as stage, count(*) as n_docs, cast(coalesce(sum(length(text)), 0) as bigint) as n_chars from {source}" for name, source in (("deduplicated", "d"), ("prose rules", "p1"), ("quality", "p1"), ("language", "p2"), ("code band", "c1"), ("safe", "s1"), ("decontaminated", "z"))))
+def curation_full(spark, sf_dir):
+    """The whole run, in what SQL can say: documents and characters that each stage leaves."""
+    return _stage_counts(curated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), sql_only=True))
+
+
+@query("curation_run")
+def curation_run(spark, sf_dir):
+    """The whole run with composition, MinHash, syntax trees and long common substrings."""
+    return _stage_counts(curated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 # --- chat -------------------------------------------------------------------------------------------------------------
 
 

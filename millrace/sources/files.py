@@ -57,11 +57,10 @@ class FileStore:
         finally:
             stream.close()
 
-    def copy(self, path: str, target: FileStore) -> None:
-        a, one = self._at(path)
-        b, two = target._at(path)
-        b.mkdirs(two.getParent())
-        self._jvm.org.apache.hadoop.fs.FileUtil.copy(a, one, b, two, False, True, self.spark.sparkContext._jsc.hadoopConfiguration())
+    def delete(self) -> None:
+        """The folder and all in it, if it is there."""
+        fs, top = self._at()
+        fs.delete(top, True)
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:

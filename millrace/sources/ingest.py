@@ -98,20 +98,32 @@ class WatermarkStore:
         self.files.write(f"{stream}.json", json.dumps({"stream": stream, "watermark": value.isoformat()}).encode())
 
 
+#: Rows of a date that one task writes.
+ROWS_A_TASK = 1_000_000
+
+
 def ingest(source: DataFrame, path: str, store: WatermarkStore, stream: str, *, ts_col: str = "created_at", division_col: str | None = "corporate_division") -> int:
-    """New rows of ``source`` appended under ``path``, by date; the watermark advances to the newest of them.
+    """New rows of ``source`` added under ``path``, by date; the watermark advances to the newest of them.
 
-    The watermark is read back from what was written, so the source is read once.
+    The watermark is read back from what was written, so the source is read once. A load's rows go to a folder named after the
+    watermark that it starts from; if the load dies before the watermark advances, the next one starts from the same and
+    replaces them, so no row counts twice.
     """
     since = store.get(stream)
     new = source.where(newer(F.col(ts_col), since))
     new = division_filter(new, division_col) if division_col else new
-    batch = f"{path}/_landing/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
-    new.write.parquet(batch)
+    name = "initial" if since is None else f"{since:%Y%m%dT%H%M%S%f}"
+    batch = f"{path}/_landing/{name}"
+    new.write.mode("overwrite").parquet(batch)
     landed = source.sparkSession.read.schema(source.schema).parquet(batch)
     rows, top = landed.agg(F.count("*"), F.max(ts_col)).first()
     if guard(rows, since):
-        with_date_parts(landed, ts_col).repartition("year", "month", "day").write.mode(write_mode(since)).partitionBy("year", "month", "day").parquet(f"{path}/data")
+        if write_mode(since) == "overwrite":
+            FileStore(source.sparkSession, f"{path}/data").delete()
+        # a busy day is written by several tasks
+        spread = F.pmod(F.xxhash64(*landed.columns), F.lit(max(1, -(-rows // ROWS_A_TASK))))
+        dated = with_date_parts(landed, ts_col).repartition("year", "month", "day", spread)
+        dated.write.mode("overwrite").partitionBy("year", "month", "day").parquet(f"{path}/data/load={name}")
         store.put(stream, top)
     return rows
 
@@ -122,16 +134,42 @@ def landed_files(spark: SparkSession, path: str, since: dt.datetime | None = Non
     return found.where(newer(F.col("modificationTime"), since))
 
 
-def land(spark: SparkSession, source: str, target: FileStore, since: dt.datetime | None = None) -> int:
-    """Copies changed files byte by byte, keeping their relative paths; returns how many, under the guard."""
-    files = FileStore(spark, source)
-    new = [f for f in files.list() if since is None or f.modified > since]
-    for f in new:
-        files.copy(f.path, target)
+def land(spark: SparkSession, source: str, target: FileStore, since: dt.datetime | None = None, *, at_once: int = 256) -> int:
+    """Copies changed files byte by byte, keeping their relative paths; returns how many, under the guard. The listing is the
+    driver's; the files are copied in pieces where tasks run, ``at_once`` tasks at most, and a repeated task writes the same."""
+    new = [f.path for f in FileStore(spark, source).list() if since is None or f.modified > since]
+    if new:
+        goal, tasks = target.root, min(at_once, len(new))
+
+        def copy(batches):
+            import pyarrow as pa
+            from pyarrow import fs
+
+            (one, top), (two, under) = (fs.FileSystem.from_uri(x) for x in (source.rstrip("/"), goal))
+            for batch in batches:
+                sizes = []
+                for path in batch.column("path").to_pylist():
+                    two.create_dir(f"{under}/{path}".rpartition("/")[0], recursive=True)
+                    size = 0
+                    with one.open_input_stream(f"{top}/{path}", compression=None) as taken, two.open_output_stream(f"{under}/{path}", compression=None) as given:
+                        while piece := taken.read(1 << 20):
+                            size += given.write(piece)
+                    sizes.append(size)
+                yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], names=["path", "size"])
+
+        listed = spark.createDataFrame([(x,) for x in new], "path string").repartition(tasks, "path")
+        copied = listed.mapInArrow(copy, "path string, size long").agg(F.count("*")).first()[0]
+        if copied != len(new):
+            raise IngestError(f"{copied} of {len(new)} files were copied")
     guard(len(new), since)
     return len(new)
 
 
+def has_file_delta(spark: SparkSession, path: str, since: dt.datetime | None = None, *, deep: bool = False) -> bool:
+    """Whether a file with an ending changed after the watermark, in the folder itself or at any depth."""
+    return any("." in f.path.rpartition("/")[2] and (deep or "/" not in f.path) and (since is None or f.modified > since) for f in FileStore(spark, path).list())
+
+
 def has_delta(df: DataFrame, since: dt.datetime | None, ts_col: str) -> bool:
     """Whether anything is newer; reads no more than it takes to find a row."""
     return not df.where(newer(F.col(ts_col), since)).limit(1).isEmpty()

@@ -3,12 +3,27 @@ row's number, so reruns agree and rows can be made anywhere."""
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tickers that are exchanged for others, and prefixes of a log header.
-TICKERS = ["AAPL", "MSFT", "GOOGL", "AMZN", "JPM", "GS", "TSLA", "NVDA"]
-PREFIXES = ["AUDIT", "TRADE", "RISK", "SYSTEM"]
+#: The pool of tickers, those of them that are exchanged, and prefixes of a log header.
+TICKERS = ["AAPL", "MSFT", "GOOGL", "AMZN", "JPM", "GS", "BAC", "NVDA", "TSLA", "WFC", "C", "MS", "BLK"]
+EXCHANGED = ["AAPL", "MSFT", "GOOGL", "AMZN", "JPM", "GS", "TSLA", "NVDA"]
+PREFIXES = ["SYSTEM_AUDIT_TRACE", "SEC_MONITOR_ALERT", "COMPLIANCE_ENGINE_v4", "FINRA_AUTO_FLAG", "GITHUB_REPO_SYNC", "DB_QUERY_LOG"]
+#: What is renumbered, by kind, as (pattern, new text); {low..high} is a number drawn from that range, {x low..high} one in hexadecimal.
+RENUMBERED = {
+    "address": (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "{10..192}.{0..255}.{0..255}.{1..254}"),
+    "hex": (r"0x[0-9A-Fa-f]{6,8}", "0x{x 1048576..16777215}"),
+    "order": (r"ORD-[0-9]+", "ORD-{100000..999999}"),
+    "account": (r"Account #[0-9]+", "Account #{100000..999999}"),
+    "operator": (r"Operator ID:\s*[0-9]+", "Operator ID: {1000..9999}"),
+    "trader": (r"Trader-[0-9]+", "Trader-{1000..9999}"),
+}
+#: How a header is put before a text of each kind, the first that the pattern finds.
+HEADERS = [(r"def |import ", "# {}\n"), (r"(?is)SELECT |INSERT |\{.*\}|\}.*\{", "/* {} */\n"), ("", "{} - ")]
 
 
 def _draw(seed: int, row: Column, what: str, low: int, high: int) -> Column:
@@ -16,22 +31,32 @@ def _draw(seed: int, row: Column, what: str, low: int, high: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), row, F.lit(what)), F.lit(high - low + 1)) + low
 
 
+def _filled(template: str, seed: int, row: Column, what: str) -> Column:
+    """A template with its numbers drawn."""
+    parts = []
+    for k, part in enumerate(re.split(r"(\{(?:x )?[0-9]+\.\.[0-9]+\})", template)):
+        if m := re.fullmatch(r"\{(x )?([0-9]+)\.\.([0-9]+)\}", part):
+            number = _draw(seed, row, f"{what}{k}", int(m[2]), int(m[3]))
+            parts.append(F.lower(F.hex(number)) if m[1] else number.cast("string"))
+        else:
+            parts.append(F.lit(part))
+    return F.concat(*parts)
+
+
+def _exchanged(text: Column, row: Column, seed: int) -> Column:
+    """Every word that is a ticker as another one, the same throughout a text; one pass over the words."""
+    moved = [F.array(*[F.lit(x) for x in TICKERS if x != t])[_draw(seed, row, t, 0, len(TICKERS) - 2).cast("int")] for t in EXCHANGED]
+    new = F.map_from_arrays(F.array(*map(F.lit, EXCHANGED)), F.array(*moved))
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(r"\w+|\W+"), F.lit(0)), lambda w: F.coalesce(F.try_element_at(new, w), w)), "")
+
+
 def mutate(text: Column, row: Column, seed: int = 7) -> Column:
-    """Tickers, ids, hex numbers and addresses exchanged, and a header that the kind of content can bear put before."""
-    out = text
-    for i, ticker in enumerate(TICKERS):
-        others = F.array(*[F.lit(x) for x in TICKERS if x != ticker])
-        out = F.regexp_replace(out, F.lit(rf"\b{ticker}\b"), F.element_at(others, (_draw(seed, row, f"ticker{i}", 1, len(TICKERS) - 1)).cast("int")))
-    number = lambda what, low, high: _draw(seed, row, what, low, high).cast("string")
-    for pattern, prefix, low, high in ((r"Trader-[0-9]+", "Trader-", 1000, 9999), (r"Operator ID:\s*[0-9]+", "Operator ID: ", 1000, 9999), (r"Account #[0-9]+", "Account #", 100000, 999999), (r"ORD-[0-9]+", "ORD-", 100000, 999999)):
-        out = F.regexp_replace(out, F.lit(pattern), F.concat(F.lit(prefix), number(prefix, low, high)))
-    out = F.regexp_replace(out, F.lit(r"0x[0-9A-Fa-f]{6,8}"), F.concat(F.lit("0x"), F.lower(F.hex(_draw(seed, row, "hex", 0x100000, 0xFFFFFF)))))
-    address = F.concat_ws(".", number("a", 10, 192), number("b", 0, 255), number("c", 0, 255), number("d", 1, 254))
-    out = F.regexp_replace(out, F.lit(r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"), address)
-    tag = F.concat(F.lit("["), F.element_at(F.array(*map(F.lit, PREFIXES)), _draw(seed, row, "prefix", 1, len(PREFIXES)).cast("int")), F.lit("] TRACE_ID:"), F.upper(F.lpad(F.hex(_draw(seed, row, "trace", 0, 2**32 - 1)), 8, "0")))
-    python = text.contains("def ") | text.contains("import ")
-    block = F.upper(text).contains("SELECT ") | F.upper(text).contains("INSERT ") | (text.contains("{") & text.contains("}"))
-    return F.when(python, F.concat(F.lit("# "), tag, F.lit("\n"), out)).when(block, F.concat(F.lit("/* "), tag, F.lit(" */\n"), out)).otherwise(F.concat(tag, F.lit(" - "), out))
+    """Tickers exchanged, ids, hex numbers and addresses renumbered, and a header that the kind of content can bear."""
+    out = reduce(lambda t, rule: F.regexp_replace(t, F.lit(rule[1][0]), _filled(rule[1][1], seed, row, rule[0])), RENUMBERED.items(), _exchanged(text, row, seed))
+    trace = F.upper(F.lpad(F.hex(_draw(seed, row, "trace", 0, 2**32 - 1)), 8, "0"))
+    tag = F.concat(F.lit("["), F.array(*map(F.lit, PREFIXES))[_draw(seed, row, "prefix", 0, len(PREFIXES) - 1).cast("int")], F.lit("] TRACE_ID:"), trace)
+    headed = [(text.rlike(pattern), F.concat(*[tag if x is None else F.lit(x) for x in (*template.partition("{}")[:1], None, template.partition("{}")[2])])) for pattern, template in HEADERS]
+    return F.concat(F.coalesce(*[F.when(kind, header) for kind, header in headed]), out)
 
 
 def replicate(seeds: DataFrame, target: int, *, order: str, amount: str = "amount", narrative: str = "narrative", key: str = "audit_uuid", seed: int = 7) -> DataFrame:

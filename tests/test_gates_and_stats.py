@@ -165,6 +165,13 @@ def test_incremental_ingest(spark, tmp_path):
     assert ingest.ingest(second, out, store, "s") == 0 and store.get("s") == at(4)
     rows = spark.read.parquet(f"{out}/data")
     assert sorted(r["id"] for r in rows.collect()) == [1, 4, 6] and {"year", "month", "day"} <= set(rows.columns)
+    third, put = second.union(spark.createDataFrame([(7, at(9), "A")], LEDGER)), store.put
+    store.put = lambda *_: (_ for _ in ()).throw(RuntimeError("the driver dies here"))
+    with pytest.raises(RuntimeError):
+        ingest.ingest(third, out, store, "s")
+    store.put = put
+    assert ingest.ingest(third, out, store, "s") == 1  # again, from the same watermark: nothing counts twice
+    assert sorted(r["id"] for r in spark.read.parquet(f"{out}/data").collect()) == [1, 4, 6, 7]
     with pytest.raises(ingest.IngestError):
         ingest.ingest(first.limit(0), f"{out}2", store, "t")
     assert ingest.bounds(first, "id") == (1, 4) and ingest.bounds(first.limit(0), "id") is None
@@ -180,6 +187,7 @@ def test_files(spark, tmp_path):
     assert [e.path for e in target.list() if not e.path.endswith(".crc")] == ["b.bin", "sub/a.txt"]
     assert target.read("sub/a.txt") == (tmp_path / "in/sub/a.txt").read_bytes()
     assert ingest.land(spark, f"file://{tmp_path}/in", target, dt.datetime(2999, 1, 1)) == 0
+    assert ingest.has_file_delta(spark, f"file://{tmp_path}/in") and not ingest.has_file_delta(spark, f"file://{tmp_path}/in", dt.datetime(2999, 1, 1))
     docs = ingest.boundary_documents(spark, f"file://{tmp_path}/in/sub").orderBy("seq").collect()
     assert [r["text"] for r in docs] == ["one", "two\nlines", "three"]
     assert ingest.landed_files(spark, f"file://{tmp_path}/in").count() == 1

@@ -14,7 +14,7 @@ def test_replication(spark):
         base = (100.0, 50.0, 10.0)[r["row"] % 3]
         assert 0.95 * base - 0.01 <= r["amount"] <= 1.05 * base + 0.01
         if r["row"] % 3 == 0:
-            m = re.fullmatch(r"\[[A-Z]+\] TRACE_ID:[0-9A-F]{8} - (\w+) by Trader-\d{4} from (\d+\.){3}\d+, ORD-\d{6} and Account #\d{6} at 0x[0-9a-f]{6}", r["narrative"])
+            m = re.fullmatch(r"\[\w+\] TRACE_ID:[0-9A-F]{8} - (\w+) by Trader-\d{4} from (\d+\.){3}\d+, ORD-\d{6} and Account #\d{6} at 0x[0-9a-f]{6}", r["narrative"])
             assert m and m[1] in seed.TICKERS and "10.0.0.1," not in r["narrative"]
         else:
             assert r["narrative"].startswith(("# [", "/* [")[r["row"] % 3 - 1])

@@ -120,7 +120,22 @@ def test_syntax(spark):
     assert arrow.canonical("def f(a):\n    return a + 1") == arrow.canonical("def g(b):\n    return b + 1") != arrow.canonical("def g(b):\n    return b + 2")
     assert arrow.complexity("x = 1") == 0 and arrow.complexity("def f(x): return x") == 1 and arrow.complexity("def f(") == 10
     assert arrow.complexity("def f(x):\n    if x and x > 1:\n        return 1\n    for y in x: pass\n") == 4
-    assert arrow.lexer_errors("") == 0.0
+    assert apply(spark, tx.lexer_error_ratio, ["", "x = 1", "a $ b", "'open", "$$$$"]) == [0.0, 0.0, 0.2, 0.5, 1.0]
+
+
+GOOD_SQL = [
+    "SELECT a, b AS c FROM t WHERE x = 'it''s' AND y IN (1, 2) ORDER BY a DESC NULLS LAST LIMIT 5;", "select count(*) filter (where a > 1), sum(x) over (partition by y order by z) from s.t u left join v using (id)",
+    "WITH r AS (SELECT 1 UNION ALL SELECT 2) SELECT * FROM r, (VALUES (1, 'a')) AS w(x, y) WHERE EXISTS (SELECT 1 FROM q WHERE q.id = r.id)", "INSERT INTO t (a, b) VALUES (1, NULL), (2, DEFAULT)", "UPDATE t SET a = a + 1, b = lower(b) WHERE id BETWEEN 1 AND 9 RETURNING id",
+    "DELETE FROM t WHERE d < date '2020-01-01' -- old ones", "CREATE TABLE IF NOT EXISTS t (id bigint PRIMARY KEY, x numeric(10, 2) DEFAULT 0, CHECK (x > 0)); DROP TABLE IF EXISTS u", "SELECT CASE WHEN a IS NOT NULL THEN a::text ELSE CAST(b AS varchar(9)) END FROM t GROUP BY 1 HAVING max(c) > 3",
+    "SELECT extract(year from d), a[1], -x * (y + 2) FROM t WHERE NOT a LIKE 'x%' OR b NOT IN (SELECT b FROM u)", "CREATE VIEW v AS SELECT 1", "(SELECT 1) UNION (SELECT 2) ORDER BY 1",
+]
+BAD_SQL = ["", "  ;", "hello there", "SELECT", "SELECT a FROM", "SELECT a FROM t WHERE", "SELECT (a FROM t", "SELECT a b c FROM t", "SELECT a,, b FROM t", "INSERT t VALUES (1", "UPDATE t a = 1", "DELETE t", "SELECT 'open FROM t", "SELECT a FROM t GROUP a", "def f(x): return x +", "SELECT a FROM t SELECT b FROM u", "select a from t left u on x = y", "CREATE TABLE t (a int"]
+
+
+def test_sql_subset():
+    assert [s for s in GOOD_SQL if not arrow.sql_valid_text(s)] == []
+    assert [s for s in BAD_SQL if arrow.sql_valid_text(s)] == []
+    assert not arrow.sql_valid_text("select " + "(" * 5000) and arrow.sql_valid_text("select " + "(" * 20 + "1" + ")" * 20)
 
 
 def brute_substring(a, b):
@@ -135,7 +150,10 @@ def brute_subsequence(a, b):
     return best[-1][-1]
 
 
-@given(st.text(alphabet="abc", max_size=14), st.text(alphabet="abcd", max_size=14))
-def test_common_parts(a, b):
-    assert arrow.common_substring(a, b) == brute_substring(a, b)
-    assert arrow.common_subsequence(a, b) == brute_subsequence(a, b)
+@given(st.text(alphabet="abc", max_size=14), st.lists(st.text(alphabet="abcd", max_size=14), max_size=3))
+def test_common_parts(a, others):
+    passages = arrow.Passages(others)
+    for k in range(1, 9):
+        assert passages.shares(a, k) == any(brute_substring(a, b) >= k for b in others)
+    for b in others:
+        assert arrow.common_subsequence(a, b) == brute_subsequence(a, b)
