@@ -2,11 +2,11 @@
 
 A document is its set of distinct five-word shingles. Sets are sketched into 256 registers: the top byte of a
 shingle's hash picks the register, which stores the least remaining value as its leading-zero count and ten mantissa
-bits. Documents with equal sets form one class and only classes are compared. Bands of compressed registers (empty
-ones filled by rotation) give candidates. Sets of up to ``SPARSE`` shingles would leave too many registers empty: theirs
-are minima over the whole set under a hash of each register's own, compressed likewise; sets between ``DENSE`` and
-``SPARSE`` have both kinds. Sets of up to ``SMALL`` shingles meet by their prefix under a fixed order, which loses no pair. A candidate's similarity is estimated from the registers, less
-the collisions expected by chance, and what may reach the threshold is verified on the full sets.
+bits. Documents with equal sets form one class and only classes are compared. Bands of compressed registers give
+candidates; a register that is empty has, in bands, the minimum of the whole set under a hash of its own, so every register
+of two sets is equal with the chance of their similarity. Sets of up to ``SMALL`` shingles meet by their prefix under a
+fixed order, which loses no pair. A candidate's similarity is estimated from the registers, less the collisions expected by
+chance, and what may reach the threshold is verified on the full sets.
 
 Pairs in a band's bucket are not expanded. Every member meets the bucket's centre, another one in each band, in two
 turns; members already connected then need no pair of their own, and only buckets that still hold several components are
@@ -38,8 +38,6 @@ from .shingles import mix, shingle_set
 WORDS = 5
 REGISTERS, MANTISSA, REST = 256, 10, 56
 BAND, BANDS = 4, 34
-#: Sets of up to SPARSE shingles have registers of one hash each, those over DENSE shared ones; a pair at 75 % and more shares a kind.
-DENSE, SPARSE = 120, 160
 #: The share of buckets, one in so many, whose stars are looked at first.
 EARLY = 8
 SMALL = 40
@@ -63,40 +61,31 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-#: The registers in a fixed shuffled order, so that the registers of a band don't borrow from each other.
-_ORDER = np.argsort(mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(977)))
-
-
+#: The registers of the bands, in a fixed shuffled order.
+_ORDER = np.argsort(mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(977)))[: BANDS * BAND]
 _SEEDS = mix(np.arange(BANDS * BAND, dtype=np.uint64) + np.uint64(31337))
 
 
-def _bands(values: np.ndarray, salt: int) -> np.ndarray:
-    rows = values[: BANDS * BAND].astype(np.uint64).reshape(BANDS, BAND)
-    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(salt)
+def band_keys(shingles: np.ndarray, regs: np.ndarray) -> np.ndarray:
+    """A key for each band of ``BAND`` registers of a set."""
+    values = regs[_ORDER].astype(np.uint64)
+    empty = np.flatnonzero(values == 0)
+    if len(empty):
+        values[empty] = compressed(mix(shingles[None, :] ^ _SEEDS[empty, None]).min(1), 64)
+    rows = values.reshape(BANDS, BAND)
+    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
     for k in range(BAND):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
     return key
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A key for each band of ``BAND`` shared registers."""
-    full = np.flatnonzero(regs)
-    lent = full[np.searchsorted(full, np.arange(REGISTERS)) % len(full)]
-    return _bands(regs[lent][_ORDER], 1)
-
-
-def sparse_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band of ``BAND`` registers with a hash of their own."""
-    return _bands(compressed(mix(shingles[None, :] ^ _SEEDS[:, None]).min(1), 64), 1000)
-
-
-def set_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The keys by which a set meets others besides those of shared registers."""
+def set_keys(shingles: np.ndarray, regs: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The keys by which a set meets others."""
     n, out = len(shingles), []
     if 0 < n <= SMALL * den // num + 1:
         out.append(mix(prefix_keys(shingles, num, den)))
-    if SMALL < n <= SPARSE:
-        out.append(sparse_keys(shingles))
+    if n > SMALL:
+        out.append(band_keys(shingles, regs))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -124,8 +113,8 @@ def may_reach(equal, either, by_chance, threshold: float):
 def signatures(docs: DataFrame, num: int, den: int) -> DataFrame:
     """(doc_id, version, n_shingles, h1, h2, regs, keys): one read of the texts.
 
-    version tells texts of one doc_id apart; h1 and h2 are 128 bits of the set, null without shingles; keys are those of
-    sets of up to ``SPARSE`` shingles.
+    version tells texts of one doc_id apart; h1 and h2 are 128 bits of the set, null without shingles; keys are those by
+    which it meets others.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, version long, n_shingles long, h1 long, h2 long, regs binary, keys binary"
@@ -139,8 +128,9 @@ def signatures(docs: DataFrame, num: int, den: int) -> DataFrame:
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 h1.append(int.from_bytes(digest[:8], "little", signed=True) if len(found) else None)
                 h2.append(int.from_bytes(digest[8:], "little", signed=True) if len(found) else None)
-                regs.append(registers(found).tobytes() if len(found) else None)
-                keys.append(set_keys(found, num, den).tobytes() or None)
+                own = registers(found)
+                regs.append(own.tobytes() if len(found) else None)
+                keys.append(set_keys(found, own, num, den).tobytes() or None)
             columns = [batch.column("doc_id"), batch.column("version"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(regs, pa.binary()), pa.array(keys, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "n_shingles", "h1", "h2", "regs", "keys"])
 
@@ -161,15 +151,14 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             nodes, keys = [], []
-            for node, n, regs, own in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "regs", "keys")), strict=True):
-                for found in ([band_keys(np.frombuffer(regs, np.uint16))] if n > DENSE else []) + ([np.frombuffer(own, np.uint64)] if own else []):
-                    keys.append(found.view(np.int64))
-                    nodes.append(np.full(len(found), node, np.int64))
+            for node, own in zip(*(batch.column(c).to_pylist() for c in ("node", "keys")), strict=True):
+                keys.append(np.frombuffer(own, np.int64))
+                nodes.append(np.full(len(keys[-1]), node, np.int64))
             if keys:
                 key = np.concatenate(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate(nodes) ^ key)], names=["key", "x"])
 
-    return classes.select("node", "n_shingles", "regs", "keys").mapInArrow(work, "key long, x long")
+    return classes.select("node", "keys").mapInArrow(work, "key long, x long")
 
 
 def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -246,12 +235,10 @@ def compare_block(one: list[np.ndarray], two: list[np.ndarray], allowed: np.ndar
 
     def sides(sets, none):
         regs = np.stack([registers(x) for x in sets])
-        keys = np.full((len(sets), 2 * BANDS), none, np.uint64)  # ``none`` differs between the sides, so it never meets itself
+        keys = np.full((len(sets), BANDS), none, np.uint64)  # ``none`` differs between the sides, so it never meets itself
         for row, r, x in zip(keys, regs, sets, strict=True):
-            if SMALL < len(x) <= SPARSE:
-                row[:BANDS] = sparse_keys(x)
-            if len(x) > DENSE:
-                row[BANDS:] = band_keys(r)
+            if len(x) > SMALL:
+                row[:] = band_keys(x, r)
         return regs, keys.view(np.int64), np.array([len(x) for x in sets])
 
     rows = np.flatnonzero(allowed.any(1))
@@ -275,19 +262,19 @@ def compare_block(one: list[np.ndarray], two: list[np.ndarray], allowed: np.ndar
             yield k, i
 
 
-def cross_links(members: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): the links between components in buckets that hold several (key, node, label), found on full sets in blocks.
+def cross_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the links between components in buckets that hold several, of members (key, node, label, n_shingles), found on
+    full sets in blocks.
 
     A bucket's members, and those outside of its largest component once more, are cut into chunks of about ``BLOCK`` shingles
     by hash of the node; each chunk of outsiders meets each of all members in a group of its own, so a group's size is bounded
     and only links leave it.
     """
-    sized = members.join(classes.select("node", "n_shingles"), "node")
-    each = sized.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
-    top = each.groupBy("key").agg(F.max(F.struct("n", "label", "w")).alias("top"), F.sum("w").alias("w"))
+    each = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    top = each.groupBy("key").agg(F.max(F.struct("n", "label", "w")).alias("top"), F.sum("w").alias("w"), F.count("*").alias("labels")).where("labels > 1")
     chunks = lambda w: F.greatest(F.ceil(w / F.lit(BLOCK)), F.lit(1)).cast("int")
     top = top.select("key", F.col("top.label").alias("main"), chunks(F.col("w")).alias("n_all"), chunks(F.col("w") - F.col("top.w")).alias("n_out"))
-    rows = members.join(top, "key").join(sets, "node").withColumn("out", F.col("label") != F.col("main"))
+    rows = members.select("key", "node", "label").join(top, "key").join(sets, "node").withColumn("out", F.col("label") != F.col("main"))
     dealt = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = rows.where("out").select("key", dealt("n_out", 1).alias("i"), upto("n_all").alias("j"), F.lit(True).alias("asks"), "out", "node", "label", "shingles")
@@ -328,10 +315,9 @@ def links(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     late = late.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
     sure = sure.unionByName(linked(late))
     labels = components(sure, least=False)
-    member = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    member = written(member, "neardup-members")
-    open_keys = member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    more = written(cross_links(member.join(open_keys, "key"), sets, classes, num, den), "neardup-links")
+    member = met.select("key", "node").join(labels, "node", "left").join(classes.select("node", "n_shingles"), "node")
+    member = written(member.select("key", "node", F.coalesce("label", "node").alias("label"), "n_shingles"), "neardup-members")
+    more = written(cross_links(member, sets, num, den), "neardup-links")
     if more.limit(1).count():
         labels = components(sure.unionByName(more), least=False)
     return labels
