@@ -137,19 +137,25 @@ def ngrams(words: Column, n: int) -> Column:
     return bind(words, lambda w: F.when(F.size(w) >= n, runs(w)).otherwise(F.array().cast("array<string>")))
 
 
+def gram_hashes(words: Column, n: int) -> Column:
+    """64-bit hashes of runs of n words; none with fewer words. Eight bytes a run to explode, sort or join by."""
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))
+    return bind(words, lambda w: F.when(F.size(w) >= n, runs(w)).otherwise(F.array().cast("array<bigint>")))
+
+
 def top_gram_share(c: Column, n: int = 3, least: int = 15) -> Column:
-    """The commonest n-gram's share of all n-grams; 0 with fewer than ``least`` words. One pass over sorted n-grams."""
+    """The commonest n-gram's share of all n-grams; 0 with fewer than ``least`` words. One pass over sorted hashes."""
 
     def share(grams):
-        start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("top"))
+        start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("top"))
 
         def step(s, g):
-            run = F.when(g == s["last"], s["run"] + 1).otherwise(1)
+            run = F.when(g.eqNullSafe(s["last"]), s["run"] + 1).otherwise(1)
             return F.struct(g.alias("last"), run.alias("run"), F.greatest(s["top"], run).alias("top"))
 
         return F.aggregate(F.array_sort(grams), start, step, lambda s: s["top"]) / F.size(grams)
 
-    return bind(tokens(c), lambda w: F.when(F.size(w) >= least, bind(ngrams(w, n), share)).otherwise(F.lit(0.0)))
+    return bind(tokens(c), lambda w: F.when(F.size(w) >= least, bind(gram_hashes(w, n), share)).otherwise(F.lit(0.0)))
 
 
 def content_signature(c: Column) -> Column:

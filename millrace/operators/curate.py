@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from millrace.functions import arrow, text as tx
@@ -245,6 +246,37 @@ def pack(tokens: DataFrame, *, length: int = 4096, order: str = "doc_id", emit_t
     return rows.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
 
 
+def tokenise(df: DataFrame, path: str, pattern: str, *, end: int | None = None) -> DataFrame:
+    """``df`` with input_ids, the byte-pair tokens of the whole text and perhaps an end mark. ``path`` is a rank file (a token
+    in base64 and its rank a line) that the driver reads and sends to the workers once; ``pattern`` splits texts."""
+    with open(path, "rb") as f:
+        shared = df.sparkSession.sparkContext.broadcast((f.read(), pattern))  # a vocabulary: a few MB
+    fields = [f for f in df.schema.fields if f.name != "input_ids"]
+    schema = StructType([*fields, StructField("input_ids", ArrayType(IntegerType()))])
+
+    def work(batches):
+        import base64
+
+        import pyarrow as pa
+        import tiktoken
+
+        data, own = shared.value
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
+        encoding, mark = tiktoken.Encoding("own", pat_str=own, mergeable_ranks=ranks, special_tokens={}), [] if end is None else [end]
+        for batch in batches:
+            ids = [encoding.encode_ordinary(v.as_py() or "") + mark for v in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(ids, pa.list_(pa.int32()))], names=[*(f.name for f in fields), "input_ids"])
+
+    return df.select(*[f"`{f.name}`" for f in fields]).mapInArrow(work, schema)
+
+
+def write_packed(rows: DataFrame, path: str) -> int:
+    """Packed windows as a Parquet table of arrays of integers, in ranges of their number; returns how many."""
+    out = rows.select("chunk", F.col("input_ids").cast("array<int>").alias("input_ids"), F.col("attention_mask").cast("array<tinyint>").alias("attention_mask"))
+    out.repartitionByRange("chunk").sortWithinPartitions("chunk").write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path).count()
+
+
 def hash_tokens(df: DataFrame, vocabulary: int = 50_000) -> DataFrame:
     """A native stand-in for a tokenizer: a number for each word."""
     return df.withColumn("input_ids", F.transform(tx.tokens(tx.text("text")), lambda w: F.pmod(F.xxhash64(w), F.lit(vocabulary)).cast("int")))
@@ -256,18 +288,26 @@ def benchmark_grams(items: DataFrame, n: int = 13, *, alnum: bool = False) -> Da
     return items.select(F.explode(tx.ngrams(words(tx.text("text")), n)).alias("gram")).distinct()
 
 
-def gram_hits(docs: DataFrame, grams: DataFrame, n: int = 13, *, alnum: bool = False, id_col: str = "doc_id") -> DataFrame:
-    """doc_id of the documents that share an n-gram. The benchmark's n-grams are joined by hash and then compared; the engine
-    broadcasts them while they are small."""
+def gram_candidates(docs: DataFrame, items: DataFrame, n: int, *, alnum: bool, id_col: str, text_col: str = "text") -> DataFrame:
+    """id_col of the documents that may share an n-gram with an item: by hashes, which miss nothing and all but never add one."""
+    words = tx.alnum_tokens if alnum else tx.tokens
+    known = small(written(items.select(F.explode(tx.gram_hashes(words(tx.text("text")), n)).alias("h")).distinct(), "gram-hashes"))
+    mine = docs.select(id_col, F.explode(tx.gram_hashes(words(tx.text(text_col)), n)).alias("h"))
+    return written(mine.join(known, "h", "left_semi").select(id_col).distinct(), "gram-candidates")
+
+
+def gram_hits(docs: DataFrame, items: DataFrame, n: int = 13, *, alnum: bool = False, id_col: str = "doc_id") -> DataFrame:
+    """id_col of the documents that share an n-gram with the benchmark: candidates by hash, then the n-grams themselves."""
     words = tx.alnum_tokens if alnum else tx.tokens
-    mine = docs.select(id_col, F.explode(tx.ngrams(words(tx.text("text")), n)).alias("gram"))
-    return mine.join(grams, "gram", "left_semi").select(id_col).distinct()
+    near = docs.join(small(gram_candidates(docs, items, n, alnum=alnum, id_col=id_col)), id_col, "left_semi")
+    mine = near.select(id_col, F.explode(tx.ngrams(words(tx.text("text")), n)).alias("gram"))
+    return mine.join(benchmark_grams(items, n, alnum=alnum), "gram", "left_semi").select(id_col).distinct()
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, n: int = 13, mode: str = "substring", share: float = 0.20, longest: int = 100, stamp: str | None = None) -> DataFrame:
     """Drops documents that share an n-gram with the benchmark and, but for mode "drop", a long common substring or
     subsequence with any item: over ``share`` of the document or ``longest`` characters."""
-    hits = written(gram_hits(docs, benchmark_grams(items, n), n), "gram-hits")
+    hits = written(gram_hits(docs, items, n), "gram-hits")
     if mode == "drop":
         return stamped(docs.join(small(hits), "doc_id", "left_anti"), stamp)
     suspects = docs.join(small(hits), "doc_id", "left_semi").select("doc_id", tx.text("text").alias("text"))

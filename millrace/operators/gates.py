@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.sources.files import FileStore
 
-from .curate import gram_hits
+from .curate import gram_candidates, gram_hits
 from millrace.functions import text as tx
+from millrace.tables import small
 
 RULES = "gate string, rule string, observed string, passed boolean"
 #: Canary texts whose 13-grams must not occur in a curated corpus.
@@ -77,6 +78,8 @@ def leakage(df: DataFrame, items: DataFrame, *, n: int = 13) -> DataFrame:
     text_col = next((c for c in ("text", "raw_audit_narrative") if c in df.columns), None)
     if id_col is None or text_col is None:
         raise GateFailure(f"missing {'an id column' if id_col is None else 'a text column'}")
+    near = gram_candidates(df, items, n, alnum=True, id_col=id_col, text_col=text_col)
+    df = df.join(small(near), id_col, "left_semi")
     known = items.select("item_id", F.explode(tx.ngrams(tx.alnum_tokens(tx.text("text")), n)).alias("gram")).groupBy("gram").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     mine = df.select(F.col(id_col).alias("doc_id"), F.explode(F.array_distinct(tx.ngrams(tx.alnum_tokens(tx.text(text_col)), n))).alias("gram"))
     return mine.join(known, "gram").select("doc_id", "gram", "items")

@@ -359,9 +359,18 @@ def gate3_canaries(spark, sf_dir):
 # --- chunks, tokens, packing ------------------------------------------------------------------------------------------
 
 
-@query("audit_chunks")
+@query("audit_chunks", f"""with recursive d as (select doc_id, text from documents where length(text) > 0),
+  l as materialized (select doc_id, unnest(string_split(text, chr(10))) as p, unnest(range(len(string_split(text, chr(10))))) as i from d where length(text) > 4000),
+  s as materialized (select doc_id, i, cast(length(p) as bigint) as n, trim(p, {_BLANKS}) <> '' as solid from l),
+  walk as (
+    select doc_id, i, cast(0 as bigint) as chunk, n + 2 as size, n, solid from s where i = 0
+    union all
+    select s.doc_id, s.i, case when w.size + s.n > 4000 then w.chunk + 1 else w.chunk end, case when w.size + s.n > 4000 then s.n else w.size + s.n + 2 end, s.n, s.solid from walk w join s on s.doc_id = w.doc_id and s.i = w.i + 1
+  )
+  select doc_id, cast(chunk as integer) as chunk, cast(sum(n) + count(*) - 1 as integer) as n_chars, false as preserve_whitespace from walk group by doc_id, chunk having bool_or(solid)
+  union all select doc_id, 0, cast(length(text) as integer), false from d where length(text) <= 4000 and trim(text, {_BLANKS}) <> ''""")
 def audit_chunks(spark, sf_dir):
-    """Long documents cut between lines, 4000 characters and more; greedy and stateful, tested against plain Python."""
+    """Documents cut between lines where they are longer than 4000 characters."""
     return curate.chunk(table(spark, sf_dir, "documents"), most=4000, separator="\n").select("doc_id", "chunk", F.length("text").alias("n_chars"), "preserve_whitespace")
 
 
