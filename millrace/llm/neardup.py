@@ -10,8 +10,8 @@ chance, and what may reach the threshold is verified on the full sets.
 
 Pairs in a band's bucket are not expanded. Every member meets the bucket's centre, another one in each band, in two
 turns; members already connected then need no pair of their own, and only buckets that still hold several components are
-compared, on full sets: the members outside of the bucket's largest component with all members, in blocks of about ``BLOCK``
-shingles a side, where only links are given out. So a group of near copies makes about its size times the number of bands
+compared, on full sets: the members outside of the bucket's largest component, in chunks of about ``BLOCK`` shingles, with all
+members, in chunks of about ``PART``; only links are given out. So a group of near copies makes about its size times the number of bands
 rows, not its square, and is copied once for each block of outsiders.
 
 Defined cases: null and empty texts and texts without words have no shingles, link with nothing and are their own
@@ -41,7 +41,8 @@ BAND, BANDS = 4, 34
 #: The share of buckets, one in so many, whose stars are looked at first.
 EARLY = 8
 SMALL = 40
-BLOCK = 60_000
+#: Shingles of a chunk of a bucket's outsiders, and of all its members.
+BLOCK, PART = 60_000, 15_000
 
 
 def compressed(minima: np.ndarray, bits: int) -> np.ndarray:
@@ -266,14 +267,14 @@ def cross_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     """(a, b): the links between components in buckets that hold several, of members (key, node, label, n_shingles), found on
     full sets in blocks.
 
-    A bucket's members, and those outside of its largest component once more, are cut into chunks of about ``BLOCK`` shingles
-    by hash of the node; each chunk of outsiders meets each of all members in a group of its own, so a group's size is bounded
+    A bucket's members, and those outside of its largest component once more, are cut into chunks of bounded size by hash of
+    the node; each chunk of outsiders meets each of all members in a group of its own, so a group's size is bounded
     and only links leave it.
     """
     each = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
     top = each.groupBy("key").agg(F.max(F.struct("n", "label", "w")).alias("top"), F.sum("w").alias("w"), F.count("*").alias("labels")).where("labels > 1")
-    chunks = lambda w: F.greatest(F.ceil(w / F.lit(BLOCK)), F.lit(1)).cast("int")
-    top = top.select("key", F.col("top.label").alias("main"), chunks(F.col("w")).alias("n_all"), chunks(F.col("w") - F.col("top.w")).alias("n_out"))
+    chunks = lambda w, size: F.greatest(F.ceil(w / F.lit(size)), F.lit(1)).cast("int")
+    top = top.select("key", F.col("top.label").alias("main"), chunks(F.col("w"), PART).alias("n_all"), chunks(F.col("w") - F.col("top.w"), BLOCK).alias("n_out"))
     rows = members.select("key", "node", "label").join(top, "key").join(sets, "node").withColumn("out", F.col("label") != F.col("main"))
     dealt = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

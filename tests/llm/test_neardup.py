@@ -61,6 +61,7 @@ def test_one_large_group(spark):
 
 def test_groups_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 900)
+    monkeypatch.setattr(neardup, "PART", 500)
     check(spark, near_copies(6, 2, 60, (100, 130)))
 
 
@@ -115,6 +116,7 @@ def test_columns_of_any_name_come_through(spark):
 def test_outsiders_of_a_large_group_are_found_in_small_blocks(spark, monkeypatch):
     """Several groups over one passage, so that buckets hold many components."""
     monkeypatch.setattr(neardup, "BLOCK", 500)
+    monkeypatch.setattr(neardup, "PART", 300)
     r, rows = rng(9), []
     base = sentence(r, 200).split()
     for group in range(8):
