@@ -1,10 +1,13 @@
+from collections import defaultdict
+
 import corpus_pipeline
 from millrace.llm import queries
 
-from .helpers import frame, odd_rows, rng
+from .helpers import WORDS, frame, odd_rows, rng
 from .test_decontaminate import brute as brute_leaks
 from .test_langid import corpus as texts
 from .test_linededup import brute as brute_lines
+from .test_mixing import brute_targets
 from .test_neardup import brute as brute_near
 
 
@@ -38,7 +41,20 @@ def test_stages_one_by_one_against_brute_force(spark, tmp_path):
     four = corpus_pipeline.STAGES[3][1](spark, three, where)
     assert {x["doc_id"] for x in four.collect()} == {x[0] for x in kept} - {d for d, _ in brute_leaks(kept, [(1, item)])} and four.columns == columns
     five = corpus_pipeline.STAGES[4][1](spark, four, where)
-    assert five.columns == [*columns, "epoch"] and five.count() > 0
+    taken = five.collect()
+    assert five.columns == [*columns, "epoch"]
+    kept, sizes, words, times = plain(four), defaultdict(int), defaultdict(int), defaultdict(list)
+    for _, text, _, source in kept:
+        sizes[source] += len(WORDS.findall(text))
+    for x in taken:
+        words[x["source"]] += len(WORDS.findall(x["text"]))
+        times[x["doc_id"]].append(x["epoch"])
+    longest = max(len(WORDS.findall(x[1])) for x in kept)
+    targets = brute_targets(dict(sizes))
+    assert all(abs(words[s] - target) <= longest for s, target in targets.items())  # the last document is given whole or not at all
+    assert all(sorted(e) == list(range(len(e))) and len(e) <= 3 for e in times.values())
+    whole = {s: int(targets[s] // n) for s, n in sizes.items() if n}
+    assert all(len(times[i]) in (whole[s], whole[s] + 1) for i, text, _, s in kept if WORDS.search(text))
 
 
 def test_run_on_odd_rows_and_on_nothing(spark, tmp_path):
