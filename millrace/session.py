@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 #: Adaptive execution re-plans joins and splits skewed partitions at run time; UTC keeps
@@ -18,7 +22,12 @@ DEFAULTS = {
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster use the session the cluster gives."""
+    """A local session for tests and benchmarks, with a folder for intermediate tables that goes with the process; on a cluster
+    use the session the cluster gives."""
+    if "spark.checkpoint.dir" not in conf:
+        folder = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        conf = {**conf, "spark.checkpoint.dir": f"file://{folder}"}
     builder = SparkSession.builder.master(f"local[{cores}]").appName("millrace")
     settings = DEFAULTS | {"spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.driver.memory": memory} | conf
     for key, value in settings.items():
