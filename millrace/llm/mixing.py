@@ -23,7 +23,7 @@ from .common import packed, small, unpacked, word_count, written
 
 #: The seeded order of a source is cut into a power of two of ranges of about so many of all rows; only the range in which
 #: a source's budget ends is sorted.
-RANGE_ROWS = 8192
+RANGE_ROWS = 512
 KEY_BITS = 60
 
 
