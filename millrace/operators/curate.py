@@ -162,8 +162,12 @@ FUNCTION_WORDS = {
 def guess_language(p: Column) -> Column:
     """A native stand-in for a language model: whose function words are commonest."""
     low = F.concat(F.lit(" "), F.regexp_replace(F.lower(p), r"(?U)[^\w]+", "  "), F.lit(" "))
-    counts = F.array(*[F.struct(sum((tx.occurrences(low, f" {w} ") for w in words.split()), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("lang")) for i, (name, words) in enumerate(FUNCTION_WORDS.items())])
-    return F.array_max(counts)["lang"]
+
+    def commonest(low: Column) -> Column:
+        counts = [F.struct(sum((tx.occurrences(low, f" {w} ") for w in words.split()), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("lang")) for i, (name, words) in enumerate(FUNCTION_WORDS.items())]
+        return F.array_max(F.array(*counts))["lang"]
+
+    return tx.bind(low, commonest)
 
 
 def syntax_filter(df: DataFrame, *, stamp: str | None = None) -> DataFrame:
