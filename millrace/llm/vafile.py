@@ -34,7 +34,7 @@ from .common import small, written
 BLOCK = 4096
 QUERY_BLOCK = 512
 LANES = 4096
-SHARES = 32
+SHARES = 8
 LARGEST = 2.0**500
 SHARED = -(2**63) + 1  # in place of an owner, for a class that several ids share
 
