@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small, written
+from .common import BROADCAST_BYTES, BROADCAST_ROWS, small, written
 
 BLOCK = 4096
 QUERY_BLOCK = 512
 LANES = 4096
+#: Bytes of query vectors that a task of the scan holds.
+TILE = 16 << 20
 SHARES = 8
 LARGEST = 2.0**500
 SHARED = -(2**63) + 1  # in place of an owner, for a class that several ids share
@@ -123,34 +125,47 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 
 
 def scan(cells: DataFrame, grid: DataFrame, queries: DataFrame, k: int, bits: int) -> DataFrame:
-    """(query, row, lower, upper) for what a block of cells can still add to a query's k best."""
-    # every lane has a share of the cells and all queries, so that block pairs are spread over tasks
-    lanes = max(1, min(LANES, -(-cells.count() // 4)))
-    laned = queries.withColumn("qlane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    dealt = cells.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    pairs = dealt.join(grid, "dim").join(laned, (F.col("dim") == F.col("qdim")) & (F.col("lane") == F.col("qlane")))
+    """(query, row, lower, upper) for what a tile's cells can still add to a query's k best.
+
+    Cells are dealt over lanes and query blocks over lanes of their own; each pair of lanes is a tile, whose task holds its
+    query blocks, about ``TILE`` bytes, and sees its cells one after another. No join, so nothing of it is ever broadcast."""
+    n, size = cells.count(), queries.agg(F.sum(F.length("values"))).first()[0] or 0
+    lanes, qlanes = max(1, min(LANES, -(-n // min(64, max(4, n // 64))))), max(1, -(-size // TILE))
+    dealt = lambda column, of: F.pmod(F.xxhash64(column), F.lit(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
+    coded = cells.join(grid, "dim").select(dealt("ids", lanes).alias("lane"), every(qlanes).alias("qlane"), F.lit(True).alias("cell"), "dim", "ids", "owners", "codes", "low", "width")
+    none = F.lit(None).cast("array<double>")
+    asked = queries.select(every(lanes).alias("lane"), dealt("queries", qlanes).alias("qlane"), F.lit(False), F.col("qdim"), "queries", "qowners", "values", none, none)
+    tiles = asked.toDF(*coded.columns).union(coded).repartition(min(LANES, lanes * qlanes), "lane", "qlane").sortWithinPartitions("lane", "qlane", "cell")
     schema = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("lower", pa.float64()), ("upper", pa.float64())])
     kind = np.uint16 if bits > 8 else np.uint8
 
     def bound(batches):
+        tile, blocks = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                ids, owners = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["owners"], np.int64)
-                names, own = np.frombuffer(r["queries"], np.int64), np.frombuffer(r["qowners"], np.int64)
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                dim, ids, owners = r["dim"], np.frombuffer(r["ids"], np.int64), np.frombuffer(r["owners"], np.int64)
+                if tile != (r["lane"], r["qlane"]):
+                    tile, blocks = (r["lane"], r["qlane"]), []
+                if not r["cell"]:
+                    blocks.append((dim, ids, owners, np.frombuffer(r["codes"], np.float64).reshape(len(ids), dim), np.full((len(ids), k), -np.inf)))
+                    continue
+                if not any(b[0] == dim for b in blocks):
+                    continue
                 least, most = cell_bounds(np.frombuffer(r["codes"], kind).reshape(len(ids), dim).astype(np.float64), np.array(r["low"], np.float64), np.array(r["width"], np.float64))
-                lower, upper = score_bounds(np.frombuffer(r["values"], np.float64).reshape(len(names), dim), least, most)
-                mine = own[:, None] == owners[None, :]  # a query's own rows take no part
-                lower[mine] = upper[mine] = -np.inf
-                if len(ids) > k:
-                    kth = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
-                    near = (upper >= kth[:, None]) & ~mine
-                else:
-                    near = ~mine
-                q, c = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[q], ids[c], lower[q, c], upper[q, c])], schema=schema)
+                for qdim, names, own, values, best in blocks:
+                    if qdim != dim:
+                        continue
+                    lower, upper = score_bounds(values, least, most)
+                    mine = own[:, None] == owners[None, :]  # a query's own rows take no part
+                    lower[mine] = upper[mine] = -np.inf
+                    top = np.partition(lower, len(ids) - k, axis=1)[:, -k:] if len(ids) > k else lower
+                    best[:] = np.partition(np.hstack([best, top]), top.shape[1], axis=1)[:, -k:]  # of all cells of the tile so far
+                    q, c = np.nonzero((upper >= best.min(1)[:, None]) & ~mine)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[q], ids[c], lower[q, c], upper[q, c])], schema=schema)
 
-    return pairs.mapInArrow(bound, "query long, row long, lower double, upper double")
+    return tiles.mapInArrow(bound, "query long, row long, lower double, upper double")
 
 
 def best_of(rows: DataFrame, key: str, order: list[Column], k: int, rank: str | None = None) -> DataFrame:
@@ -163,10 +178,18 @@ def best_of(rows: DataFrame, key: str, order: list[Column], k: int, rank: str |
     return rows if rank else rows.drop("n")
 
 
-def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame, n_queries: int) -> DataFrame:
-    """(query, query_id, row, ids, score, wide, slack), reading the exact vectors of ``pairs`` only; wide is the score as a
-    double, which is off by at most slack."""
-    joined = pairs.join(classes.select("row", "v", "ids"), "row").join(small(queries, n_queries).select("query", "query_id", F.col("v").alias("q")), "query")
+def beside(queries: DataFrame) -> DataFrame:
+    """(query, query_id, q), with a broadcast hint if the rows are small in memory. Files hold components in a byte or so each, so
+    they don't tell; where the rows are large, the engine, which goes by files, is kept from a broadcast of its own."""
+    n, size = queries.agg(F.count("*"), F.sum(8 * F.size("v") + 64)).first()
+    side = queries.select("query", "query_id", F.col("v").alias("q"))
+    return F.broadcast(side) if n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else side.hint("merge")
+
+
+def exact_scores(pairs: DataFrame, asked: DataFrame, classes: DataFrame) -> DataFrame:
+    """(query, query_id, row, ids, score, wide, slack), reading the exact vectors of ``pairs`` only; ``asked`` is ``beside`` of the
+    queries; wide is the score as a double, which is off by at most slack."""
+    joined = pairs.join(classes.select("row", "v", "ids"), "row").join(asked, "query")
     total = lambda values, kind: F.aggregate(values, F.lit(0).cast(kind), lambda a, x: a + x)
     products = F.zip_with("q", "v", lambda x, y: x * y)
     joined = joined.withColumns({"wide": total(products, "double"), "size": total(F.transform(products, F.abs), "double")})
@@ -182,8 +205,9 @@ def top_k(vectors: DataFrame, *, k: int = 5, bits: int = 7, every: int = 50, id_
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, its k best others."""
     rows = keyed(vectors, id_col, vector_col)
     classes = written(vector_classes(rows, k), "va-exact")
-    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "h1", "h2").agg(F.first("v").alias("v"))
-    queries = written(asked.select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), F.size("v").alias("dim"), "v"), "va-asked")
+    chosen = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "h1", "h2").agg(F.first("v").alias("v"))
+    queries = written(chosen.select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), F.size("v").alias("dim"), "v"), "va-asked")
+    asked = beside(queries)
     cells, grid = approximations(classes, bits)
     bounds = written(scan(cells, grid, query_blocks(queries), k, bits), "va-bounds")
     # lower bounds of all blocks together: what cannot be among the k best any more is never read
@@ -193,11 +217,11 @@ def top_k(vectors: DataFrame, *, k: int = 5, bits: int = 7, every: int = 50, id_
     left = bounds.join(small(kth, n), "query").where((F.col("have") < k) | (F.col("upper") >= F.col("least")))
     left = written(left.select("query", "row", "upper"), "va-left")
     first = best_of(left, "query", [F.desc("upper"), F.col("row")], 2 * k).drop("upper")
-    first = written(exact_scores(first, queries, classes, n), "va-first")
+    first = written(exact_scores(first, asked, classes), "va-first")
     nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.desc("wide")))  # 2k rows a query
     sure = written(first.withColumn("n", nth).where(F.col("n") == k).select("query", (F.col("wide") - F.col("slack")).alias("sure")), "va-sure")
     rest = left.join(small(sure, n), "query").where(F.col("upper") >= F.col("sure")).select("query", "row").join(first.select("query", "row"), ["query", "row"], "left_anti")
-    found = first.unionByName(exact_scores(rest, queries, classes, n))
+    found = first.unionByName(exact_scores(rest, asked, classes))
     each = found.select("query_id", "row", "score", "wide", F.explode("ids").alias("vec_id")).where(~F.col("vec_id").eqNullSafe(F.col("query_id")))
     beyond = F.when(F.abs("wide") >= 2.0**63, F.col("wide")).otherwise(0.0)
     return best_of(each, "query_id", [F.desc("score"), F.desc(beyond), F.col("vec_id").isNull(), F.col("vec_id")], k, "rank").select("query_id", "rank", "vec_id", "score")

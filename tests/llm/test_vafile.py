@@ -82,6 +82,33 @@ def test_a_common_vector_is_scored_once(spark):
     assert len(classes) == 130 and max(len(c["ids"]) for c in classes) == 6
 
 
+def test_queries_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch):
+    """Each lane of cells meets all queries; what files hold of them, once and compressed, says nothing of that."""
+    monkeypatch.setattr(vafile, "BLOCK", 40)
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in r.integers(-2, 3, 16) / 4]) for i in range(400)]
+    plans, write = {}, vafile.written
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(vafile, "written", kept)
+    assert run(spark, rows, every=4) == brute(rows, every=4)
+    assert plans["va-bounds"].count("BroadcastExchange") <= 1  # the cells' geometry, a row for each number of components
+
+
+def test_queries_are_broadcast_by_their_size_in_memory(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "queries")
+    spark.range(200).selectExpr("id as query", "id as query_id", "array_repeat(1.0D, 64) as v").write.parquet(path)
+    queries, pairs = spark.read.parquet(path), spark.range(1000).selectExpr("id as row", "id % 200 as query")
+    classes = spark.range(1000).selectExpr("id as row", "array_repeat(2.0D, 64) as v", "array(id) as ids")
+    plan = lambda: vafile.exact_scores(pairs, vafile.beside(queries), classes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan()
+    monkeypatch.setattr(vafile, "BROADCAST_BYTES", 50_000)  # 200 rows of 64 doubles have twice that, their files a tenth
+    assert "rightHint=(strategy=merge)" in plan()
+
+
 def test_bounds_hold():
     r = np.random.default_rng(5)
     v, q = r.integers(-300, 300, (50, 8)), r.integers(-300, 300, (6, 8))
