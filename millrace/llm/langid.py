@@ -253,8 +253,9 @@ def train(docs: DataFrame, *, sample: int = 3000, seed: int = 11) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and score (replaced if they exist), from the text alone."""
+def predict(docs: DataFrame, model: Model, *, within: str | None = None) -> DataFrame:
+    """``docs`` with lang_pred and score (replaced if they exist), from the text alone; it is a column, or a field of the struct
+    ``within``, so that packed rows travel to the workers and back without a second copy of their texts."""
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(*[own(c) for c in columns])
     shared = docs.sparkSession.sparkContext.broadcast(model.parts())
@@ -263,7 +264,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            found = [predict_text(value.as_py(), *known) for value in batch.column("text")]
+            texts = batch.column(within).field("text") if within else batch.column("text")
+            found = [predict_text(value.as_py(), *known) for value in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     return rows.mapInArrow(work, schema)
@@ -277,5 +279,5 @@ def identify(docs: DataFrame, *, sample: int = 3000) -> DataFrame:
 
 def keep_identified(docs: DataFrame, *, least: float = 0.3, sample: int = 3000) -> DataFrame:
     """``docs``, in its own columns, less those whose language is unknown or scored below ``least``."""
-    found = predict(packed(docs, "text"), train(docs, sample=sample))
+    found = predict(packed(docs), train(docs, sample=sample), within="row")
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*unpacked(docs.columns))

@@ -182,6 +182,16 @@ def test_sample_is_bounded(spark):
     assert len(langid.sample_features(docs, 40, 1)) == 40
 
 
+def test_texts_travel_to_the_workers_once(spark):
+    """Beside a packed row no copy of its text is sent to Python and back."""
+    kept = langid.keep_identified(frame(spark, [(i, "some words of a text", "en", "a") for i in range(20)]), least=0.0)
+    found = [kept._jdf.queryExecution().analyzed()]
+    while found[0].nodeName() != "MapInArrow":
+        found = [found[0].children().head()]
+    assert found[0].children().head().output().size() == 1
+    assert kept.count() == 20
+
+
 def test_columns_of_any_name_come_through(spark):
     docs = frame(spark, corpus(80)).select("doc_id", "text", "lang")
     names = ["lang_pred", "score", "__score", "row", "h", "version", "a.b"]
